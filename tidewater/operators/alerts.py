@@ -12,22 +12,18 @@ from pyspark.sql import functions as F
 from tidewater.contracts import MaskingPolicy
 from tidewater.functions.scalars import error_fingerprint, short_message
 from tidewater.operators.sequences import first_after, mark_chain
+from tidewater.session import written
 
 # Look-ups are split by minute: no task sorts more than one minute of one fingerprint.
 BUCKET_MICROS = 60_000_000
 
 
-def notifications(occurrences: DataFrame, policy: MaskingPolicy, keys: tuple[str, ...] = ("error_fingerprint",)) -> DataFrame:
-    """The occurrence times (``at``, in microseconds) of each fingerprint that notify."""
-    times = occurrences.select(*keys, F.unix_micros("occurred_at").alias("at")).distinct()
-    # A whole-number bucket of the time that is looked up.
-    points = times.withColumn("bucket", F.floor(F.col("at") / BUCKET_MICROS))
+def notifications(times: DataFrame, policy: MaskingPolicy, keys: tuple[str, ...] = ("error_fingerprint",)) -> DataFrame:
+    """The times of each fingerprint that notify.  ``times`` has one row per (keys, ``at``), in microseconds."""
+    bucket = F.floor(F.col("at") / BUCKET_MICROS).alias("bucket")
     silence = policy.silence_hours * 3_600_000_000
-    ends = times.select(
-        *keys,
-        (F.col("at") + silence).alias("ends"),
-        F.col("at").alias("start"),
-    ).select(*keys, F.col("ends").alias("at"), F.floor(F.col("ends") / BUCKET_MICROS).alias("bucket"), "start")
+    points = times.select(*keys, "at", bucket)
+    ends = times.select(*keys, F.col("at").alias("start"), (F.col("at") + silence).alias("at")).select("*", bucket)
     jumps = first_after(ends, points, keys, "at", "bucket", "next_at").select(
         *keys, F.col("start").alias("at"), "next_at"
     )
@@ -41,32 +37,40 @@ def mask_alerts(occurrences: DataFrame, policy: MaskingPolicy) -> DataFrame:
     occurred_at.  ``occurrence_count`` counts notifications, as each of them
     updates the log; silent occurrences only move ``last_occurrence``.
     """
-    keyed = occurrences.withColumn("error_fingerprint", error_fingerprint(F.col("error_type"), F.col("error_message")))
     first = F.min(
         F.struct(
-            "occurred_at",
-            "batch_id",
+            F.col("batch_id").cast("string").alias("batch_id"),
             "domain",
             "error_type",
             short_message(F.col("error_message")).alias("error_message"),
         )
     )
-    log = keyed.groupBy("error_fingerprint").agg(first.alias("first"), F.max("occurred_at").alias("last_occurrence"))
+    # Occurrences of one moment collapse first; all later steps read this smaller table.
+    times = written(
+        occurrences.groupBy(
+            error_fingerprint(F.col("error_type"), F.col("error_message")).alias("error_fingerprint"),
+            F.unix_micros("occurred_at").alias("at"),
+        ).agg(first.alias("details")),
+        "alerts",
+    )
+    log = times.groupBy("error_fingerprint").agg(
+        F.min(F.struct("at", "details")).alias("first"), F.max("at").alias("last_at")
+    )
     notified = (
-        notifications(keyed, policy)
+        notifications(times, policy)
         .groupBy("error_fingerprint")
         .agg(F.count("*").alias("occurrence_count"), F.max("at").alias("last_notified"))
     )
     silence = F.make_dt_interval(hours=F.lit(policy.silence_hours))
     return log.join(notified, "error_fingerprint").select(
         F.col("error_fingerprint").alias("alert_id"),
-        "first.error_type",
-        "first.error_message",
+        "first.details.error_type",
+        "first.details.error_message",
         "error_fingerprint",
-        F.col("first.occurred_at").alias("first_occurrence"),
-        "last_occurrence",
+        F.timestamp_micros("first.at").alias("first_occurrence"),
+        F.timestamp_micros("last_at").alias("last_occurrence"),
         "occurrence_count",
         (F.timestamp_micros("last_notified") + silence).alias("silenced_until"),
-        "first.domain",
-        F.col("first.batch_id").cast("string").alias("batch_id"),
+        "first.details.domain",
+        "first.details.batch_id",
     )

@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from tidewater.contracts import BreakerPolicy
 from tidewater.operators.sequences import first_after, mark_chain
+from tidewater.session import written
 
 CLOSED, OPEN, HALF_OPEN = "CLOSED", "OPEN", "HALF_OPEN"
 
@@ -62,6 +63,8 @@ def breaker_states(batches: DataFrame, policy: BreakerPolicy) -> DataFrame:
     batches at once; following the jumps marks the batches that really opened it,
     and each batch takes its state from the last opening before it.
     """
+    # One row per batch from here on; the rows they were counted from are read once.
+    batches = written(batches, "batches")
     position = F.struct(F.unix_micros("batch_time").alias("clock"), F.col("batch_id").cast("long").alias("batch_id"))
     facts = batches.filter("error_pct IS NOT NULL").select(
         "domain", position.cast(POSITION).alias("pos"), (F.col("error_pct") > policy.max_error_percentage).alias("bad")
@@ -78,7 +81,7 @@ def breaker_states(batches: DataFrame, policy: BreakerPolicy) -> DataFrame:
         found = first_after(asked, points, ["domain"], "pos", "bucket", result)
         answered = found.select("domain", *(F.col(f"_was.{c}").alias(c) for c in others), result)
         missing = df.filter(F.col(start).isNull()).select("domain", *others, F.lit(None).cast(POSITION).alias(result))
-        return answered.unionByName(missing)
+        return written(answered.unionByName(missing), "trips")
 
     degraded = policy.degradation_minutes * 60_000_000
     # Just before any batch at the end of the degradation time; -1 sorts before every batch id.

@@ -58,7 +58,9 @@ def type_json_lines(lines: DataFrame, contract: Contract, text_column: str = "va
     """
     names = [f.name for f in contract.fields]
     kept = [c for c in lines.columns if c != text_column and c not in names]
-    parsed = lines.select("*", F.from_json(F.col(text_column), TEXT_MAP).alias("_parsed"))
+    # As the output of a generator the parsed map is never copied into the filters and
+    # columns above it, each of which would parse the line again.
+    parsed = lines.select("*", F.explode(F.array(F.from_json(F.col(text_column), TEXT_MAP))).alias("_parsed"))
     texts = {
         n: F.coalesce(F.col("_parsed")[n], F.col(n).cast("string")) if n in lines.columns else F.col("_parsed")[n]
         for n in names
