@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.contracts import Contract
-from tidewater.operators.dedup import best_per_key
-from tidewater.operators.tables import Layers, create_table, drop_partitions, overwrite_partitions
+from tidewater.operators.dedup import best_per_key, distinct_rows
+from tidewater.operators.tables import Layers, append_batch, create_table, drop_partitions, overwrite_partitions
 
 # Table providers that can MERGE by themselves.
 MERGE_PROVIDERS = ("delta", "iceberg")
@@ -105,6 +105,18 @@ def merge_table(spark: SparkSession, source: DataFrame, layers: Layers, contract
     return name
 
 
+def write_clean(spark: SparkSession, rows: DataFrame, layers: Layers, contract: Contract) -> str:
+    """Store clean rows the way the contract's sink asks for.
+
+    The rescued-data column is not part of a clean table.  Rows carry their lineage columns.
+    """
+    rows = distinct_rows(rows.drop(contract.rescued_column), ["_file_path"])
+    if contract.sink.mode == "merge_into":
+        return merge_table(spark, rows, layers, contract)
+    name = layers.table("silver", contract.domain)
+    return append_batch(rows, name, contract.sink.partition_by, contract.sink.cluster_by, "Clean rows")
+
+
 def _in_partitions(parts: Sequence[str], values: Sequence[tuple]) -> Column:
     """A filter on partition columns only, answered from the catalog before any file is opened."""
     if len(parts) == 1:

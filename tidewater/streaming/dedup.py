@@ -22,17 +22,19 @@ class FirstSeen:
 
     Copies within a batch collapse inside the tasks before the shuffle, so a key
     with a third of a batch cannot fill one task.  Keys of earlier batches are
-    found in the stored table itself, from the day partitions that the horizon
+    found in the stored table itself, from the partitions that the horizon
     still allows; no separate state has to be kept or recovered.
     """
 
-    def __init__(self, table: str, keys: Sequence[str], event_time: str, date: str, horizon_days: int):
+    def __init__(
+        self, table: str, keys: Sequence[str], event_time: str, date: str, horizon_days: int, grain: str = "day"
+    ):
         self.table, self.keys = table, list(keys)
-        self.event_time, self.date, self.horizon_days = event_time, date, horizon_days
+        self.event_time, self.date, self.horizon_days, self.grain = event_time, date, horizon_days, grain
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumn(self.date, F.to_date(self.event_time)).withColumn(
+        rows = batch.withColumn(self.date, F.to_date(F.date_trunc(self.grain, self.event_time))).withColumn(
             "_batch_id", F.lit(batch_id).cast("bigint")
         )
         fresh = best_per_key(rows, self.keys, [self.event_time], latest=False).persist()

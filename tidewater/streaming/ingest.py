@@ -23,7 +23,7 @@ from tidewater.operators.dedup import distinct_rows
 from tidewater.operators.metadata import inject_metadata
 from tidewater.operators.splits import is_corrupt, is_late, split_late, split_valid
 from tidewater.operators.tables import Layers, append_batch, bronze_append, create_table, overwrite_partitions
-from tidewater.operators.upsert import merge_table
+from tidewater.operators.upsert import write_clean
 from tidewater.sources.landing import stream_landing
 from tidewater.sources.rescue import SOURCE_FILE
 
@@ -132,13 +132,7 @@ class Ingest:
     # -- writes ---------------------------------------------------------------
 
     def _silver(self, valid: DataFrame) -> None:
-        c = self.contract
-        rows = distinct_rows(valid.drop(c.rescued_column), ["_file_path"])
-        if c.sink.mode == "merge_into":
-            merge_table(rows.sparkSession, rows, self.layers, c)
-        else:
-            name = self.layers.table("silver", c.domain)
-            append_batch(rows, name, c.sink.partition_by, c.sink.cluster_by, "Clean rows")
+        write_clean(valid.sparkSession, valid, self.layers, self.contract)
 
     def _quarantine(self, corrupt: DataFrame) -> None:
         name = self.layers.table("quarantine", self.contract.domain)
