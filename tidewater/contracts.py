@@ -123,7 +123,9 @@ class SinkSpec:
     ``partition_by`` names columns of the dataset.  ``partition_grain="month"``
     stores date partitions by month.  ``key_buckets`` replaces them by a hash of
     the merge keys, for keys without a bounded natural partition; a merge then
-    never moves a row to another partition.
+    never moves a row to another partition.  ``partition_moves=False`` promises the
+    same for the columns of ``partition_by``, and spares the search for old versions
+    of a row in other partitions.
     """
 
     mode: str
@@ -132,6 +134,7 @@ class SinkSpec:
     partition_grain: str = "day"
     key_buckets: int = 0
     cluster_by: tuple[str, ...] = ()
+    partition_moves: bool = True
 
     def __post_init__(self) -> None:
         if self.mode not in ("append", "merge_into"):

@@ -6,18 +6,41 @@ end of the silence set by the last notification; it then sets a new silence.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.contracts import MaskingPolicy
 from tidewater.functions.scalars import error_fingerprint, short_message
 from tidewater.operators.sequences import first_after, mark_chain
+from tidewater.operators.tables import Layers, create_table, overwrite_partitions
 from tidewater.session import written
 
 # Look-ups are split by minute: no task sorts more than one minute of one fingerprint.
 BUCKET_MICROS = 60_000_000
 
 
+def record_alert(
+    spark: SparkSession, layers: Layers, domain: str, batch_id: int, step: str, error: Exception, at: dt.datetime
+) -> str:
+    """Add one occurrence to the alert history; a batch that runs again replaces its own."""
+    row = (type(error).__name__, str(error), at, domain, step, batch_id)
+    line = spark.createDataFrame(
+        [row], "error_type string, error_message string, occurred_at timestamp, domain string, step string, _batch_id long"
+    )
+    name, partitions = layers.table("system", "alert_occurrences"), ["domain", "step", "_batch_id"]
+    create_table(spark, name, line.schema, partitions, "One row per failed step of a batch")
+    overwrite_partitions(line, name, partitions)
+    return name
+
+
+def alert_log(spark: SparkSession, layers: Layers, policy: MaskingPolicy) -> DataFrame:
+    """The masked log of all recorded occurrences."""
+    history = spark.table(layers.table("system", "alert_occurrences"))
+    return mask_alerts(history.withColumnRenamed("_batch_id", "batch_id"), policy)
+
+
 def notifications(times: DataFrame, policy: MaskingPolicy, keys: tuple[str, ...] = ("error_fingerprint",)) -> DataFrame:
     """The times of each fingerprint that notify.  ``times`` has one row per (keys, ``at``), in microseconds."""
     bucket = F.floor(F.col("at") / BUCKET_MICROS).alias("bucket")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidewater.contracts import CONTRACTS, Contract, struct_type
 from tidewater.operators.tables import Layers, create_table
-from tidewater.operators.upsert import partition_layout
+from tidewater.operators.upsert import KEY_BUCKET, partition_layout
 
 ACTIVE, DEPRECATED = "active", "deprecated"
 
@@ -69,7 +69,7 @@ def create_tables(spark: SparkSession, layers: Layers, contracts: dict[str, Cont
         parts = [*partition_layout(contract)]
         for p in parts:
             if p not in schema.names:
-                schema = schema.add(p, "int" if p.startswith("_") else "date")
+                schema = schema.add(p, T.IntegerType() if p == KEY_BUCKET else T.DateType())
         if contract.sink.mode == "append":
             parts.append("_batch_id")
         name = layers.table("silver", contract.domain)

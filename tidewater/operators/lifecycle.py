@@ -31,19 +31,21 @@ def expiring(df: DataFrame, date: str, as_of: dt.date, ttl_days: int, days_befor
 
 
 def purge_table(spark: SparkSession, name: str, date: str, as_of: dt.date, ttl_days: int) -> int:
-    """Drop the partitions of days past their time to live; gives the number of partitions.
+    """Drop the partitions of days past their time to live; gives the number of rows dropped.
 
-    The table is partitioned by ``date``, so no row is read or rewritten.
+    The table is partitioned by ``date``: rows are counted from file footers, and
+    none is read or rewritten.
     """
-    oldest = (as_of - dt.timedelta(days=ttl_days)).isoformat()
-    specs = partition_values(spark, name).filter(F.col("spec")[date] < oldest)
-    expired = [dict(r["spec"]) for r in specs.collect()]
-    drop_partitions(spark, name, expired)
-    return len(expired)
+    oldest = as_of - dt.timedelta(days=ttl_days)
+    rows = spark.table(name).filter(F.col(date) < F.lit(oldest)).count()
+    # ISO dates order as text.
+    specs = partition_values(spark, name).filter(F.col("spec")[date] < oldest.isoformat())
+    drop_partitions(spark, name, [dict(r["spec"]) for r in specs.collect()])
+    return rows
 
 
-def rollup_then_purge(spark: SparkSession, layers: Layers, contract: Contract, as_of: dt.date) -> tuple[str, int]:
-    """Roll up the expiring days of a clean table into gold, and only then purge it.
+def roll_up_expiring(spark: SparkSession, layers: Layers, contract: Contract, as_of: dt.date) -> str:
+    """Roll the expiring days of a clean table up into gold.
 
     A day's rollup overwrites that day's partition, so repeating the run is safe.
     """
@@ -54,7 +56,15 @@ def rollup_then_purge(spark: SparkSession, layers: Layers, contract: Contract, a
     daily = contract_rollup(due, contract)
     create_table(spark, gold, daily.schema, ["date"], "Daily rollup of expired days")
     overwrite_partitions(daily, gold, ["date"])
-    return gold, purge_table(spark, silver, date, as_of, life.ttl_days)
+    return gold
+
+
+def rollup_then_purge(spark: SparkSession, layers: Layers, contract: Contract, as_of: dt.date) -> tuple[str, int]:
+    """Roll up, and only then purge: a day leaves the clean table after its rollup is stored."""
+    gold = roll_up_expiring(spark, layers, contract, as_of)
+    (date,) = contract.sink.partition_by
+    silver = layers.table("silver", contract.domain)
+    return gold, purge_table(spark, silver, date, as_of, contract.lifecycle.ttl_days)
 
 
 def audited(

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from tidewater.contracts import WatermarkSpec
 from tidewater.functions.scalars import minutes_before
+from tidewater.session import written
 
 BATCHES_PER_BLOCK = 1024
 
@@ -32,6 +33,17 @@ def batch_watermarks(
     return latest.withColumns(watermark_columns(F.col("max_event_time"), spec))
 
 
+def with_cutoff(df: DataFrame, spec: WatermarkSpec, batch: Sequence[str] = ("batch_id",)) -> DataFrame:
+    """Each row with the cutoff of its batch.
+
+    The cutoffs are stored first, one row per batch.  Their true size is then
+    known: a small table is broadcast and the rows stay where they are; a large
+    one is joined by shuffle.
+    """
+    cutoffs = written(batch_watermarks(df, spec, batch).select(*batch, "cutoff"), "cutoffs")
+    return df.join(cutoffs, list(batch))
+
+
 def batch_counts(df: DataFrame, corrupt: Column, late: Column, batch: Sequence[str] = ("batch_id",)) -> DataFrame:
     """One row per batch: all rows, late rows, and the error rate of the rows on time."""
     counted = df.groupBy(*batch).agg(

@@ -71,7 +71,7 @@ def merge_table(spark: SparkSession, source: DataFrame, layers: Layers, contract
     partitions with a changed row are rewritten: those of the source rows and
     those that hold the old version of an updated row.  Old versions are found by
     reading key and partition columns alone, and not at all where the partition
-    follows from the key.  Running the same batch again gives the same table.
+    follows from the key or the contract promises that rows do not move.  Running the same batch again gives the same table.
     """
     name, keys = layers.table("silver", contract.domain), list(contract.sink.merge_keys)
     layout = partition_layout(contract)
@@ -89,7 +89,7 @@ def merge_table(spark: SparkSession, source: DataFrame, layers: Layers, contract
     try:
         arriving = {tuple(r) for r in winners.select(*parts).distinct().collect()}
         leaving: set[tuple] = set()
-        if not contract.sink.key_buckets:
+        if contract.sink.partition_moves and not contract.sink.key_buckets:
             old = target.select(*keys, *parts).join(winners.select(*keys), keys, "left_semi")
             leaving = {tuple(r) for r in old.select(*parts).distinct().collect()}
         touched = sorted(arriving | leaving, key=str)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.contracts import IOT, WEATHER, BreakerPolicy, MaskingPolicy, WatermarkSpec
 from tidewater.operators.alerts import mask_alerts
 from tidewater.operators.breaker import breaker_actions, breaker_states
-from tidewater.operators.metrics import batch_counts, batch_watermarks, monotone_watermark
+from tidewater.operators.metrics import batch_counts, batch_watermarks, monotone_watermark, with_cutoff
 from tidewater.operators.quality import (
     contract_rules,
     data_conformance,
@@ -108,11 +108,6 @@ marks AS (SELECT batch_id, max(reading_timestamp) AS max_event_time,
   max(reading_timestamp) - INTERVAL 1445 MINUTES AS cutoff FROM late_iot GROUP BY batch_id)"""
 
 
-def with_cutoff(rows: DataFrame) -> DataFrame:
-    """Each row with its batch's cutoff.  The cutoffs are one row per batch; the optimizer sizes the join."""
-    return rows.join(batch_watermarks(rows, DAY_WATERMARK).select("batch_id", "cutoff"), "batch_id")
-
-
 @query("batch_watermark", LATE_SQL + " SELECT batch_id, max_event_time, watermark, cutoff FROM marks")
 def watermarks(spark, sf_dir):
     return batch_watermarks(late_iot(spark, sf_dir), DAY_WATERMARK)
@@ -123,7 +118,7 @@ def watermarks(spark, sf_dir):
     LATE_SQL + " SELECT event_id, batch_id, reading_timestamp FROM late_iot JOIN marks USING (batch_id) WHERE reading_timestamp < cutoff",
 )
 def late_rows(spark, sf_dir):
-    _, late = split_late(with_cutoff(late_iot(spark, sf_dir)), "reading_timestamp", F.col("cutoff"))
+    _, late = split_late(with_cutoff(late_iot(spark, sf_dir), DAY_WATERMARK), "reading_timestamp", F.col("cutoff"))
     return late.select("event_id", "batch_id", "reading_timestamp")
 
 
@@ -134,7 +129,7 @@ def late_rows(spark, sf_dir):
 )
 def late_split(spark, sf_dir):
     """A row without event time is neither late nor lost: it stays and is found corrupt."""
-    rows = with_cutoff(late_iot(spark, sf_dir)).withColumn(
+    rows = with_cutoff(late_iot(spark, sf_dir), DAY_WATERMARK).withColumn(
         "reading_timestamp", when_every(61, F.lit(None), F.col("reading_timestamp"))
     )
     on_time, late = split_late(rows, "reading_timestamp", F.col("cutoff"))
@@ -209,7 +204,7 @@ def batch_metrics(spark, sf_dir):
     rows = type_json_lines(lines, IOT)
     marks = batch_watermarks(rows, DAY_WATERMARK)
     late = is_late("reading_timestamp", F.col("cutoff"))
-    counts = batch_counts(rows.join(marks.select("batch_id", "cutoff"), "batch_id"), is_corrupt(IOT), late)
+    counts = batch_counts(with_cutoff(rows, DAY_WATERMARK), is_corrupt(IOT), late)
     return counts.join(marks.select("batch_id", "max_event_time"), "batch_id").withColumn(
         "error_pct", F.round("error_pct", 6)
     )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.contracts import Contract
+from tidewater.operators.alerts import record_alert
 from tidewater.operators.breaker import CLOSED, BreakerState, next_state, quarantine_attempts
 from tidewater.operators.dedup import distinct_rows
 from tidewater.operators.metadata import inject_metadata
@@ -38,6 +39,10 @@ class BatchRefused(RuntimeError):
     """The breaker is not closed and the contract asks to fail fast."""
 
 
+class ErrorRateExceeded(RuntimeError):
+    """The breaker is not closed and the contract asks for an alert only."""
+
+
 @dataclass
 class Ingest:
     """One dataset's ingestion.  ``clock`` gives a batch its ingest time, once."""
@@ -93,18 +98,34 @@ class Ingest:
 
             if refused:
                 save_state(0)
-                raise BatchRefused(f"{c.domain} batch {batch_id}: {error_pct}% errors, breaker {breaker.state}")
+                raise BatchRefused(f"{c.domain}: error rate above the limit, breaker {breaker.state}")
+            if breaker.state != CLOSED and c.breaker.action == "alert_only":
+                self._alert(landed.sparkSession, batch_id, "breaker", ErrorRateExceeded(c.domain), at)
 
             on_time, late = split_late(rows, c.event_time_column, cutoff)
             if counts["late"] and c.late_data.enabled:
                 self._late(late)
             valid, corrupt = split_valid(on_time, c)
-            if clean:
-                self._tolerating(breaker, lambda: self._silver(valid), attempts=1)
+
+            def attempt(step: str, write: Callable[[], None], attempts: int) -> bool:
+                """Try a write; when degraded, a final failure is recorded and the batch goes on."""
+                for left in reversed(range(attempts)):
+                    try:
+                        write()
+                        return True
+                    except Exception as error:
+                        if left:
+                            time.sleep(c.retry_wait_seconds)
+                            continue
+                        self._alert(landed.sparkSession, batch_id, step, error, at)
+                        if breaker.state == CLOSED or c.breaker.action != "degrade_mode":
+                            raise
+                return False
+
+            stored = bool(clean) and attempt("silver", lambda: self._silver(valid), 1)
             if counts["corrupt"]:
-                attempts = quarantine_attempts(breaker.state, c.max_retries)
-                self._tolerating(breaker, lambda: self._quarantine(corrupt), attempts)
-            save_state(clean)
+                attempt("quarantine", lambda: self._quarantine(corrupt), quarantine_attempts(breaker.state, c.max_retries))
+            save_state(clean if stored else 0)
         finally:
             landed.unpersist()
 
@@ -141,16 +162,9 @@ class Ingest:
     def _late(self, late: DataFrame) -> None:
         append_batch(late, self.layers.table("bronze", f"{self.contract.domain}_late"), comment="Rows behind the cutoff")
 
-    def _tolerating(self, breaker: BreakerState, write: Callable[[], None], attempts: int) -> None:
-        """Try a write; when degraded, a final failure lets the batch go on."""
-        for attempt in range(1, attempts + 1):
-            try:
-                return write()
-            except Exception:
-                if attempt < attempts:
-                    time.sleep(self.contract.retry_wait_seconds)
-                elif breaker.state == CLOSED or self.contract.breaker.action != "degrade_mode":
-                    raise
+    def _alert(self, spark: SparkSession, batch_id: int, step: str, error: Exception, at: dt.datetime) -> None:
+        if self.contract.masking.enabled:
+            record_alert(spark, self.layers, self.contract.domain, batch_id, step, error, at)
 
     # -- state ----------------------------------------------------------------
 
