@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewater.contracts import Contract
 from tidewater.operators.dedup import best_per_key, distinct_rows
 from tidewater.operators.tables import Layers, append_batch, create_table, drop_partitions, overwrite_partitions
+from tidewater.session import written
 
 # Table providers that can MERGE by themselves.
 MERGE_PROVIDERS = ("delta", "iceberg")
@@ -27,10 +28,13 @@ def has_keys(keys: Sequence[str]) -> Column:
 
 
 def source_winners(source: DataFrame, keys: Sequence[str], event_time: str) -> DataFrame:
-    """One row per key; rows with a NULL key are kept, exact copies of them once."""
-    keyed = best_per_key(source.filter(has_keys(keys)), keys, [event_time])
-    keyless = source.filter(~has_keys(keys)).dropDuplicates()
-    return keyed.unionByName(keyless)
+    """One row per key; rows with a NULL key are kept, exact copies of them once.
+
+    A row with a NULL key is grouped by all its values, so one pass serves both.
+    """
+    whole_row = F.struct(*(c for c in source.columns if c not in keys))
+    marked = source.withColumn("_keyless", F.when(~has_keys(keys), whole_row))
+    return best_per_key(marked, [*keys, "_keyless"], [event_time]).drop("_keyless")
 
 
 def matched(winners: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -46,10 +50,11 @@ def unmatched(winners: DataFrame, target: DataFrame, keys: Sequence[str]) -> Dat
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], event_time: str) -> DataFrame:
     """The target after the merge.
 
-    One shuffle of each side on the keys: target rows without a source row stay,
-    all source winners follow.  Both sides hold a key at most once, so no key is hot.
+    Target rows without a source row stay, all source winners follow.  Both sides
+    hold a key at most once, so no key is hot.  The winners are stored once: they
+    are needed twice, and their true size decides whether the target is shuffled.
     """
-    winners = source_winners(source, keys, event_time)
+    winners = written(source_winners(source, keys, event_time), "winners")
     kept = target.join(winners.select(*keys), list(keys), "left_anti")
     return kept.unionByName(winners)
 

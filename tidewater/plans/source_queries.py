@@ -78,7 +78,7 @@ LINE_CONTRACT = Contract(
 )
 def scan_parquet(spark, sf_dir):
     """A strict schema reads only its own columns of the files."""
-    return read_landing(spark, LINE_CONTRACT, f"{sf_dir}/lineitem.parquet").drop("_source_file")
+    return read_landing(spark, LINE_CONTRACT, f"{sf_dir}/lineitem.parquet", source_file=False)
 
 
 EVENT_CONTRACT = LINE_CONTRACT.with_options(
@@ -101,14 +101,14 @@ EVENT_CONTRACT = LINE_CONTRACT.with_options(
 )
 def scan_parquet_drifted(spark, sf_dir):
     """Files with other types and more columns than declared: misfits and extras are rescued."""
-    return read_landing(spark, EVENT_CONTRACT, f"{sf_dir}/events.parquet", own_schema=True).drop("_source_file")
+    return read_landing(spark, EVENT_CONTRACT, f"{sf_dir}/events.parquet", own_schema=True, source_file=False)
 
 
 @query("scan_json", BAD_LINES_SQL + f" SELECT {', '.join(IOT_FIELDS)}, _rescued_data FROM landed", dates="reading_date")
 def scan_json(spark, sf_dir):
     path = scratch_path(spark, "landing")
     write_landing(iot_lines(spark, sf_dir, temperature=bad_temperature()).select("value"), path, "text")
-    return read_landing(spark, IOT_JSON, path).drop("_source_file")
+    return read_landing(spark, IOT_JSON, path, source_file=False)
 
 
 @query(
@@ -121,7 +121,7 @@ def scan_csv(spark, sf_dir):
     rows = weather(spark, sf_dir).withColumn("temperature", bad_temperature())
     texts = rows.select(*(F.col(c).cast("string").alias(c) for c in WEATHER_FIELDS))
     write_landing(texts, path, "csv")
-    return read_landing(spark, WEATHER.with_options(source=SourceSpec("csv")), path).drop("_source_file")
+    return read_landing(spark, WEATHER.with_options(source=SourceSpec("csv")), path, source_file=False)
 
 
 @query(

@@ -18,13 +18,15 @@ class SourceUnavailable(RuntimeError):
     """The session lacks the reader for a declared source format."""
 
 
-def read_landing(spark: SparkSession, contract: Contract, path: str, own_schema: bool = False) -> DataFrame:
+def read_landing(
+    spark: SparkSession, contract: Contract, path: str, own_schema: bool = False, source_file: bool = True
+) -> DataFrame:
     """All files below ``path`` as one typed batch.
 
     ``own_schema`` reads columnar files with the types they carry, for files that
     may have drifted; otherwise a wrong column type fails the scan.
     """
-    return _typed(spark, spark.read, contract, path, own_schema)
+    return _typed(spark.read, contract, path, own_schema, source_file)
 
 
 def stream_landing(spark: SparkSession, contract: Contract, path: str) -> DataFrame:
@@ -36,14 +38,16 @@ def stream_landing(spark: SparkSession, contract: Contract, path: str) -> DataFr
     reader = spark.readStream
     if contract.source.max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", contract.source.max_bytes_per_trigger)
-    return _typed(spark, reader, contract, path, False)
+    return _typed(reader, contract, path, own_schema=False, source_file=True)
 
 
-def _typed(spark, reader, contract: Contract, path: str, own_schema: bool) -> DataFrame:
-    source_file = F.col("_metadata.file_path").alias(SOURCE_FILE)
+def _typed(reader, contract: Contract, path: str, own_schema: bool, source_file: bool) -> DataFrame:
+    def traced(rows: DataFrame) -> DataFrame:
+        return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)) if source_file else rows
+
     match contract.source.format:
         case "json":
-            return type_json_lines(reader.format("text").load(path).select("*", source_file), contract)
+            return type_json_lines(traced(reader.format("text").load(path)), contract)
         case "csv":
             rows = (
                 reader.format("csv")
@@ -53,13 +57,13 @@ def _typed(spark, reader, contract: Contract, path: str, own_schema: bool) -> Da
                 .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
                 .load(path)
             )
-            return type_text_columns(rows.select("*", source_file), contract, CORRUPT_COLUMN)
+            return type_text_columns(traced(rows), contract, CORRUPT_COLUMN)
         case "parquet":
             if not own_schema:
                 reader = reader.schema(struct_type(contract.fields))
-            return type_columnar(reader.format("parquet").load(path).select("*", source_file), contract)
+            return type_columnar(traced(reader.format("parquet").load(path)), contract)
         case "avro":
-            return decode_epochs(_avro(reader, contract, path).select("*", source_file), contract)
+            return decode_epochs(traced(_avro(reader, contract, path)), contract)
     raise SourceUnavailable(contract.source.format)
 
 

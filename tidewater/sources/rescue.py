@@ -27,26 +27,50 @@ def typed(text: Column, field: Field) -> Column:
     return text.try_cast(field.spark_type)
 
 
-def _misfits(texts: dict[str, Column], fields: Sequence[Field]) -> Column:
-    """Map of the declared fields whose text does not fit their type."""
+def _is_misfit(text: Column, field: Field) -> Column:
+    return text.isNotNull() & typed(text, field).isNull()
+
+
+def _misfit_map(texts: dict[str, Column], fields: Sequence[Field]) -> Column:
+    """Text of the declared fields that do not fit their type."""
     entries = [
-        F.when(
-            texts[f.name].isNotNull() & typed(texts[f.name], f).isNull(),
-            F.struct(F.lit(f.name).alias("key"), texts[f.name].alias("value")),
-        )
+        F.when(_is_misfit(texts[f.name], f), F.struct(F.lit(f.name).alias("key"), texts[f.name].alias("value")))
         for f in fields
-        if not isinstance(f.spark_type, T.StringType)
     ]
-    if not entries:
-        return F.lit(None).cast(TEXT_MAP)
     return F.map_from_entries(F.array_compact(F.array(*entries)))
 
 
-def _rescued(*parts: Column) -> Column:
-    """JSON of the non-empty maps, NULL if there is nothing to rescue."""
+def _rescued(texts: dict[str, Column], fields: Sequence[Field], has_extras: Column, extras: Column) -> Column:
+    """JSON of misfits and extra fields, NULL for a clean row.
+
+    A clean row only costs the checks; maps and JSON are built for the others.
+    """
+    fallible = [f for f in fields if not isinstance(f.spark_type, T.StringType)]
+    dirty = has_extras
+    for f in fallible:
+        dirty = _is_misfit(texts[f.name], f) | dirty
     empty = F.create_map().cast(TEXT_MAP)
-    whole = F.map_concat(*(F.coalesce(p, empty) for p in parts))
-    return F.when(F.size(whole) > 0, F.to_json(whole))
+    misfits = _misfit_map(texts, fallible) if fallible else empty
+    return F.when(dirty, F.to_json(F.map_concat(misfits, F.when(has_extras, extras).otherwise(empty))))
+
+
+def _extra_columns(columns: Sequence[str]) -> tuple[Column, Column]:
+    """(any value present, map of the values as text) of undeclared columns."""
+    if not columns:
+        return F.lit(False), F.create_map().cast(TEXT_MAP)
+    pairs = [
+        F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value")))
+        for c in columns
+    ]
+    return F.coalesce(*columns_as_text(columns)).isNotNull(), F.map_from_entries(F.array_compact(F.array(*pairs)))
+
+
+def columns_as_text(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).cast("string") for c in columns]
+
+
+def _malformed(line: Column) -> Column:
+    return F.to_json(F.create_map(F.lit(MALFORMED_KEY), line))
 
 
 def type_json_lines(lines: DataFrame, contract: Contract, text_column: str = "value") -> DataFrame:
@@ -65,15 +89,11 @@ def type_json_lines(lines: DataFrame, contract: Contract, text_column: str = "va
         n: F.coalesce(F.col("_parsed")[n], F.col(n).cast("string")) if n in lines.columns else F.col("_parsed")[n]
         for n in names
     }
-    # The map is filtered only for rows that do have undeclared keys.
-    extras = F.when(
-        F.size(F.array_except(F.map_keys("_parsed"), F.array(*map(F.lit, names)))) > 0,
-        F.map_filter("_parsed", lambda key, _: ~key.isin(names)),
-    )
+    has_extras = F.size(F.array_except(F.map_keys("_parsed"), F.array(*map(F.lit, names)))) > 0
+    extras = F.map_filter("_parsed", lambda key, _: ~key.isin(names))
     rescued = F.when(
-        F.col("_parsed").isNull() & F.col(text_column).isNotNull(),
-        F.to_json(F.create_map(F.lit(MALFORMED_KEY), F.col(text_column))),
-    ).otherwise(_rescued(_misfits(texts, contract.fields), extras))
+        F.col("_parsed").isNull() & F.col(text_column).isNotNull(), _malformed(F.col(text_column))
+    ).otherwise(_rescued(texts, contract.fields, has_extras, extras))
     return parsed.select(
         *(typed(texts[f.name], f).alias(f.name) for f in contract.fields),
         rescued.alias(contract.rescued_column),
@@ -91,18 +111,10 @@ def type_text_columns(
     texts = {
         f.name: F.col(f.name) if f.name in present else F.lit(None).cast("string") for f in contract.fields
     }
-    parts = [_misfits(texts, contract.fields)]
-    if extras:
-        pairs = [
-            F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("key"), F.col(c).alias("value"))) for c in extras
-        ]
-        parts.append(F.map_from_entries(F.array_compact(F.array(*pairs))))
-    rescued = _rescued(*parts)
+    rescued = _rescued(texts, contract.fields, *_extra_columns(extras))
     if corrupt_column:
-        rescued = F.when(
-            F.col(corrupt_column).isNotNull(),
-            F.to_json(F.create_map(F.lit(MALFORMED_KEY), F.col(corrupt_column))),
-        ).otherwise(rescued)
+        corrupt = F.col(corrupt_column)
+        rescued = F.when(corrupt.isNotNull(), _malformed(corrupt)).otherwise(rescued)
     return rows.select(
         *(typed(texts[f.name], f).alias(f.name) for f in contract.fields),
         rescued.alias(contract.rescued_column),
@@ -122,16 +134,9 @@ def type_columnar(rows: DataFrame, contract: Contract) -> DataFrame:
     declared = {f.name for f in contract.fields}
     extras = [n for n in own if n not in declared and n != SOURCE_FILE]
     texts = {f.name: F.col(f.name).cast("string") for f in drifted}
-    parts = []
-    if drifted:
-        parts.append(_misfits(texts, drifted))
-    if extras:
-        pairs = [
-            F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value")))
-            for c in extras
-        ]
-        parts.append(F.map_from_entries(F.array_compact(F.array(*pairs))))
-    rescued = _rescued(*parts) if parts else F.lit(None).cast("string")
+    rescued = F.lit(None).cast("string")
+    if drifted or extras:
+        rescued = _rescued(texts, drifted, *_extra_columns(extras))
 
     def column(f: Field) -> Column:
         if f in fits:
