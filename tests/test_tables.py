@@ -227,7 +227,7 @@ def test_alert_only_writes_and_records_an_alert(spark, layers):
 def test_write_errors_are_tolerated_only_when_degraded(spark, layers, monkeypatch):
     tries = []
 
-    def fails(self, rows):
+    def fails(self, rows, constants):
         tries.append(1)
         raise OSError("disk gone")
 

@@ -6,16 +6,15 @@ only the partitions it fills, so a batch that is run again replaces its own rows
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.contracts import Contract
 from tidewater.functions.scalars import row_salt
-from tidewater.operators.dedup import distinct_rows
 
 LAYERS = {
     "bronze": "Raw rows as landed",
@@ -76,39 +75,46 @@ def add_missing_columns(spark: SparkSession, name: str, schema: T.StructType) ->
         )
 
 
-def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
+def overwrite_partitions(
+    df: DataFrame,
+    name: str,
+    partition_by: Sequence[str],
+    cluster_by: Sequence[str] = (),
+    constants: Mapping[str, Column] | None = None,
+) -> None:
     """Replace exactly the partitions that ``df`` has rows for.
 
     The rebalance hint gathers each partition into few files, and splits a
-    partition that holds most of the rows over several tasks.
+    partition that holds most of the rows over several tasks.  ``constants`` are
+    columns with one value for all rows; they are added after that shuffle.
     """
-    spark = df.sparkSession
+    spark, constants = df.sparkSession, constants or {}
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    target = spark.table(name)
+    rows = df.drop(*constants)
+    varying = [p for p in partition_by if p in rows.columns]
+    if varying:
+        rows = rows.hint("rebalance", *varying)
+    rows = rows.withColumns(dict(constants))
     # Columns go by position; missing ones are NULL.
-    aligned = df.select(
+    aligned = rows.select(
         *(
-            (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in target.schema.fields
+            (F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in spark.table(name).schema.fields
         )
     )
-    varying = [p for p in partition_by if p != "_batch_id"]
-    if varying:
-        aligned = aligned.hint("rebalance", *varying)
     if cluster_by:
         aligned = aligned.sortWithinPartitions(*dict.fromkeys([*partition_by, *cluster_by]))
     aligned.write.mode("overwrite").insertInto(name)
 
 
-def bronze_append(
-    df: DataFrame, layers: Layers, contract: Contract, batch_id: int, provenance: Sequence[str] = ()
-) -> str:
+def bronze_append(df: DataFrame, layers: Layers, contract: Contract, batch_id: int) -> str:
     """Distinct raw rows of one batch, rescued data included; new columns widen the table."""
     spark, name = df.sparkSession, layers.table("bronze", contract.domain)
-    rows = distinct_rows(df, provenance).withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
-    create_table(spark, name, rows.schema, ["_batch_id"], "Raw rows as landed, one partition per batch")
-    add_missing_columns(spark, name, rows.schema)
-    overwrite_partitions(rows, name, ["_batch_id"])
+    batch = {"_batch_id": F.lit(batch_id).cast("bigint")}
+    schema = df.withColumns(batch).schema
+    create_table(spark, name, schema, ["_batch_id"], "Raw rows as landed, one partition per batch")
+    add_missing_columns(spark, name, schema)
+    overwrite_partitions(df.dropDuplicates(), name, ["_batch_id"], constants=batch)
     return name
 
 
@@ -118,11 +124,12 @@ def append_batch(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     comment: str = "",
+    constants: Mapping[str, Column] | None = None,
 ) -> str:
-    """Rows of one batch, by their own ``_batch_id``, into a table of fixed schema."""
+    """Rows of one batch, by their ``_batch_id``, into a table of fixed schema."""
     partitions = [*partition_by, "_batch_id"]
-    create_table(df.sparkSession, name, df.schema, partitions, comment)
-    overwrite_partitions(df, name, partitions, cluster_by)
+    create_table(df.sparkSession, name, df.withColumns(dict(constants or {})).schema, partitions, comment)
+    overwrite_partitions(df, name, partitions, cluster_by, constants)
     return name
 
 

@@ -7,7 +7,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +32,7 @@ def source_winners(source: DataFrame, keys: Sequence[str], event_time: str) -> D
 
     A row with a NULL key is grouped by all its values, so one pass serves both.
     """
-    whole_row = F.struct(*(c for c in source.columns if c not in keys))
+    whole_row = F.struct(*(c for c in source.columns if c not in (*keys, "_file_path")))
     marked = source.withColumn("_keyless", F.when(~has_keys(keys), whole_row))
     return best_per_key(marked, [*keys, "_keyless"], [event_time]).drop("_keyless")
 
@@ -69,9 +69,17 @@ def partition_layout(contract: Contract) -> dict[str, Column]:
     return {c: F.col(c) for c in sink.partition_by}
 
 
-def merge_table(spark: SparkSession, source: DataFrame, layers: Layers, contract: Contract) -> str:
+def merge_table(
+    spark: SparkSession,
+    source: DataFrame,
+    layers: Layers,
+    contract: Contract,
+    constants: Mapping[str, Column] | None = None,
+) -> str:
     """Upsert ``source`` into the contract's clean table.
 
+    ``constants`` are columns with one value for all source rows; only the winners get them.
+
     A table whose provider can merge does so.  For plain parquet tables only the
     partitions with a changed row are rewritten: those of the source rows and
     those that hold the old version of an updated row.  Old versions are found by
@@ -82,10 +90,11 @@ def merge_table(spark: SparkSession, source: DataFrame, layers: Layers, contract
     layout = partition_layout(contract)
     parts = list(layout)
     rows = source.withColumns({p: c for p, c in layout.items() if p not in source.columns})
-    create_table(spark, name, rows.schema, parts, "Clean rows, one per key")
+    constants = dict(constants or {})
+    create_table(spark, name, rows.withColumns(constants).schema, parts, "Clean rows, one per key")
     if provider(spark, name) in MERGE_PROVIDERS:
         same = reduce(lambda a, b: a & b, (F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys))
-        winners = source_winners(rows, keys, contract.event_time_column).alias("s")
+        winners = source_winners(rows, keys, contract.event_time_column).withColumns(constants).alias("s")
         winners.mergeInto(f"{name} t", same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return name
 
@@ -103,23 +112,32 @@ def merge_table(spark: SparkSession, source: DataFrame, layers: Layers, contract
         emptied = leaving - arriving
         if emptied:
             emptied -= {tuple(r) for r in kept.filter(_in_partitions(parts, sorted(emptied, key=str))).select(*parts).distinct().collect()}
-        overwrite_partitions(kept.unionByName(winners.select(*kept.columns)), name, parts, contract.sink.cluster_by)
+        result = kept.unionByName(winners.withColumns(constants).select(*kept.columns))
+        overwrite_partitions(result, name, parts, contract.sink.cluster_by)
         drop_partitions(spark, name, [dict(zip(parts, values)) for values in sorted(emptied, key=str)])
     finally:
         winners.unpersist()
     return name
 
 
-def write_clean(spark: SparkSession, rows: DataFrame, layers: Layers, contract: Contract) -> str:
+def write_clean(
+    spark: SparkSession,
+    rows: DataFrame,
+    layers: Layers,
+    contract: Contract,
+    constants: Mapping[str, Column] | None = None,
+) -> str:
     """Store clean rows the way the contract's sink asks for.
 
-    The rescued-data column is not part of a clean table.  Rows carry their lineage columns.
+    The rescued-data column is not part of a clean table.  Copies of a row are
+    stored once; an upsert needs no separate step for that, as it keeps one row per key.
     """
-    rows = distinct_rows(rows.drop(contract.rescued_column), ["_file_path"])
+    rows = rows.drop(contract.rescued_column)
     if contract.sink.mode == "merge_into":
-        return merge_table(spark, rows, layers, contract)
-    name = layers.table("silver", contract.domain)
-    return append_batch(rows, name, contract.sink.partition_by, contract.sink.cluster_by, "Clean rows")
+        return merge_table(spark, rows, layers, contract, constants)
+    name, sink = layers.table("silver", contract.domain), contract.sink
+    distinct = distinct_rows(rows, ["_file_path"])
+    return append_batch(distinct, name, sink.partition_by, sink.cluster_by, "Clean rows", constants)
 
 
 def _in_partitions(parts: Sequence[str], values: Sequence[tuple]) -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,7 +21,7 @@ from tidewater.contracts import Contract
 from tidewater.operators.alerts import record_alert
 from tidewater.operators.breaker import CLOSED, BreakerState, next_state, quarantine_attempts
 from tidewater.operators.dedup import distinct_rows
-from tidewater.operators.metadata import inject_metadata
+from tidewater.operators.metadata import batch_constants, inject_row_metadata
 from tidewater.operators.splits import is_corrupt, is_late, split_late, split_valid
 from tidewater.operators.tables import Layers, append_batch, bronze_append, create_table, overwrite_partitions
 from tidewater.operators.upsert import write_clean
@@ -35,6 +35,9 @@ STATE_SCHEMA = (
 )
 
 
+Constants = dict[str, Column]
+
+
 class BatchRefused(RuntimeError):
     """The breaker is not closed and the contract asks to fail fast."""
 
@@ -79,8 +82,10 @@ class Ingest:
             # Counted by plain jobs on the stored rows: a lost executor repeats its part, never adds it twice.
             latest = landed.agg(F.count("*").alias("total"), F.max(c.event_time_column).alias("latest")).first()
             if latest["total"]:
-                bronze_append(landed, self.layers, c, batch_id, [SOURCE_FILE])
-            rows = inject_metadata(landed, c, batch_id, at)
+                bronze_append(landed.drop(SOURCE_FILE), self.layers, c, batch_id)
+            # What is the same in every row is added by the writes, after their shuffles.
+            rows = inject_row_metadata(landed, c, batch_id, at)
+            constants = batch_constants(c, batch_id, at, landed.columns)
 
             before = self.previous(landed.sparkSession, batch_id)
             watermark, cutoff = self._cutoff(latest["latest"], before)
@@ -104,7 +109,7 @@ class Ingest:
 
             on_time, late = split_late(rows, c.event_time_column, cutoff)
             if counts["late"] and c.late_data.enabled:
-                self._late(late)
+                self._late(late, constants)
             valid, corrupt = split_valid(on_time, c)
 
             def attempt(step: str, write: Callable[[], None], attempts: int) -> bool:
@@ -122,9 +127,9 @@ class Ingest:
                             raise
                 return False
 
-            stored = bool(clean) and attempt("silver", lambda: self._silver(valid), 1)
+            stored = bool(clean) and attempt("silver", lambda: self._silver(valid, constants), 1)
             if counts["corrupt"]:
-                attempt("quarantine", lambda: self._quarantine(corrupt), quarantine_attempts(breaker.state, c.max_retries))
+                attempt("quarantine", lambda: self._quarantine(corrupt, constants), quarantine_attempts(breaker.state, c.max_retries))
             save_state(clean if stored else 0)
         finally:
             landed.unpersist()
@@ -152,15 +157,17 @@ class Ingest:
 
     # -- writes ---------------------------------------------------------------
 
-    def _silver(self, valid: DataFrame) -> None:
-        write_clean(valid.sparkSession, valid, self.layers, self.contract)
+    def _silver(self, valid: DataFrame, constants: Constants) -> None:
+        write_clean(valid.sparkSession, valid, self.layers, self.contract, constants)
 
-    def _quarantine(self, corrupt: DataFrame) -> None:
+    def _quarantine(self, corrupt: DataFrame, constants: Constants) -> None:
         name = self.layers.table("quarantine", self.contract.domain)
-        append_batch(distinct_rows(corrupt, ["_file_path"]), name, comment="Rows that break their contract")
+        rows = distinct_rows(corrupt, ["_file_path"])
+        append_batch(rows, name, comment="Rows that break their contract", constants=constants)
 
-    def _late(self, late: DataFrame) -> None:
-        append_batch(late, self.layers.table("bronze", f"{self.contract.domain}_late"), comment="Rows behind the cutoff")
+    def _late(self, late: DataFrame, constants: Constants) -> None:
+        name = self.layers.table("bronze", f"{self.contract.domain}_late")
+        append_batch(late, name, comment="Rows behind the cutoff", constants=constants)
 
     def _alert(self, spark: SparkSession, batch_id: int, step: str, error: Exception, at: dt.datetime) -> None:
         if self.contract.masking.enabled:
