@@ -45,6 +45,18 @@ def test_every_misfit_of_a_line_is_rescued_with_its_text(spark):
     assert json.loads(row["_rescued_data"]) == {"temperature": "hot", "forecast_date": "soon", "wind": '{"speed":3}'}
 
 
+def test_a_repeated_key_does_not_stop_the_batch(spark):
+    text = '{"city": "A", "x": 1, "x": 2, "temperature": "hot", "humidity": 1, "humidity": 2}'
+    row = type_json_lines(lines(spark, text), WEATHER).first()
+    assert row["_rescued_data"] == '{"temperature":"hot","x":"1","x":"2"}' and row["humidity"] in (1.0, 2.0)
+
+
+def test_blank_and_null_lines(spark):
+    rows = type_json_lines(lines(spark, None, "{}", ""), WEATHER).collect()
+    assert rows[0]["_rescued_data"] is None and rows[1]["_rescued_data"] is None
+    assert all(r["city"] is None for r in rows)
+
+
 def test_unreadable_lines_are_kept_whole(spark):
     rows = type_json_lines(lines(spark, "{bad", "[1, 2]"), WEATHER).collect()
     assert [json.loads(r["_rescued_data"])["_malformed"] for r in rows] == ["{bad", "[1, 2]"]

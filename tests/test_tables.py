@@ -17,9 +17,10 @@ from tidewater.contracts import (
     SourceSpec,
     WatermarkSpec,
 )
-from tidewater.operators.alerts import alert_log
+from tidewater.operators.alerts import alert_log, refresh_alert_log
 from tidewater.operators.facts import star_totals
-from tidewater.operators.lifecycle import audited, purge_table, rollup_then_purge
+from tidewater.operators.governance import register_contract
+from tidewater.operators.lifecycle import audited, purge_late, purge_table, rollup_then_purge
 from tidewater.operators.tables import Layers, append_batch, clustered, partition_values
 from tidewater.operators.upsert import merge_table, provider, source_winners, upsert
 from tidewater.session import scratch_path
@@ -218,7 +219,7 @@ def test_alert_only_writes_and_records_an_alert(spark, layers):
     job = ingest(spark, layers, contract)
     for batch in (0, 1):
         job.process(job_input(spark, ("a", 1, 1), ("bad", 1, "x")), batch)
-    log = alert_log(spark, layers, contract.masking).collect()
+    log = spark.table(refresh_alert_log(spark, layers, contract.masking)).collect()
     # The second hour falls into the silence of the first.
     assert [(r["error_type"], r["occurrence_count"]) for r in log] == [("ErrorRateExceeded", 1)]
     assert cities(spark, layers.table("silver", "weather_external")) == ["a", "a"]
@@ -336,6 +337,25 @@ def test_failed_maintenance_is_audited(spark, layers):
     assert log["silver.y"]["rows_affected"] == 3
 
 
+def test_late_rows_are_kept_for_their_storage_time(spark, layers):
+    job = Ingest(spark, JSON_WEATHER, layers, clock=lambda batch: AT + dt.timedelta(days=10 * batch))
+    for batch in (0, 1):
+        job.process(job_input(spark, ("a", 500, 1), (f"late{batch}", 1, 1)), batch)
+    assert purge_late(spark, layers, JSON_WEATHER, DAY + dt.timedelta(days=14)) == 0
+    assert purge_late(spark, layers, JSON_WEATHER, DAY + dt.timedelta(days=15)) == 1
+    assert cities(spark, layers.table("bronze", "weather_external_late")) == ["late1"]
+
+
+def test_contract_versions_are_registered_once(spark, layers):
+    for version, day in (("1.0.0", 0), ("1.1.0", 1), ("1.1.0", 2)):
+        for contract in (WEATHER, IOT):
+            changed = contract.with_options(version=version)
+            name = register_contract(spark, layers, changed, AT + dt.timedelta(days=day))
+    rows = {(r["domain"], r["schema_version"]): (r["status"], r["created_timestamp"].day) for r in spark.table(name).collect()}
+    assert rows["iot_sensors", "1.0.0"] == ("deprecated", 1) and rows["iot_sensors", "1.1.0"] == ("active", 2)
+    assert len(rows) == 4
+
+
 def test_purge_removes_files_of_expired_days(spark, layers):
     name = layers.table("silver", "days")
     rows = spark.createDataFrame([(DAY + dt.timedelta(days=i), i, 0) for i in range(5)], "d date, v int, _batch_id long")

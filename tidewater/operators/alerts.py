@@ -41,6 +41,14 @@ def alert_log(spark: SparkSession, layers: Layers, policy: MaskingPolicy) -> Dat
     return mask_alerts(history.withColumnRenamed("_batch_id", "batch_id"), policy)
 
 
+def refresh_alert_log(spark: SparkSession, layers: Layers, policy: MaskingPolicy) -> str:
+    """Write the masked log anew from the recorded occurrences."""
+    name, log = layers.table("system", "alert_logs"), alert_log(spark, layers, policy)
+    create_table(spark, name, log.schema, comment="One row per error fingerprint")
+    log.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    return name
+
+
 def notifications(times: DataFrame, policy: MaskingPolicy, keys: tuple[str, ...] = ("error_fingerprint",)) -> DataFrame:
     """The times of each fingerprint that notify.  ``times`` has one row per (keys, ``at``), in microseconds."""
     bucket = F.floor(F.col("at") / BUCKET_MICROS).alias("bucket")

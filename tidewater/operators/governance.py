@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.contracts import CONTRACTS, Contract, struct_type
-from tidewater.operators.tables import Layers, create_table
+from tidewater.operators.tables import Layers, create_table, overwrite_partitions
 from tidewater.operators.upsert import KEY_BUCKET, partition_layout
 
 ACTIVE, DEPRECATED = "active", "deprecated"
@@ -82,10 +84,6 @@ def create_tables(spark: SparkSession, layers: Layers, contracts: dict[str, Cont
     return names
 
 
-def schema_json(df: DataFrame) -> str:
-    return df.schema.json()
-
-
 def registry(snapshots: DataFrame) -> DataFrame:
     """One row per (domain, schema_version), the newest version of each domain active.
 
@@ -104,6 +102,25 @@ def registry(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def register_contract(
+    spark: SparkSession, layers: Layers, contract: Contract, at: dt.datetime, git_hash: str = "unknown"
+) -> str:
+    """Record the contract's schema; the dataset's other versions become deprecated.
+
+    Only the dataset's own partition is rewritten; an unchanged version keeps its first time.
+    """
+    name = layers.table("system", "schema_registry_snapshots")
+    ddl, parts, comment = TABLES["system", "schema_registry_snapshots"]
+    create_table(spark, name, T.DataType.fromDDL(ddl), parts, comment)
+    line = spark.createDataFrame(
+        [(contract.domain, contract.version, struct_type(contract.fields).json(), at, git_hash)],
+        "domain string, schema_version string, schema_json string, created_timestamp timestamp, pipeline_git_hash string",
+    )
+    known = spark.table(name).filter(F.col("domain") == contract.domain).drop("status")
+    overwrite_partitions(registry(known.unionByName(line)), name, parts)
+    return name
+
+
 def landed_schemas(fields_per_batch: DataFrame) -> DataFrame:
     """The schema each batch landed with, from rows (domain, batch_id, created_timestamp, name).
 

@@ -14,6 +14,7 @@ from tidewater.contracts import Contract
 from tidewater.operators.rollup import contract_rollup
 from tidewater.operators.tables import Layers, append_batch, create_table, drop_partitions, overwrite_partitions, partition_values
 
+# Columns of the audit table.
 AUDIT_SCHEMA = (
     "audit_id string, operation_type string, table_name string, rows_affected long, execution_time_ms long, "
     "status string, message string, execution_timestamp timestamp, batch_id string"
@@ -44,6 +45,23 @@ def purge_table(spark: SparkSession, name: str, date: str, as_of: dt.date, ttl_d
     return rows
 
 
+def purge_late(spark: SparkSession, layers: Layers, contract: Contract, as_of: dt.date) -> int:
+    """Drop late rows stored longer than the contract keeps them; gives the number of batches.
+
+    How long a batch has been stored is in its state row.
+    """
+    name = layers.table("bronze", f"{contract.domain}_late")
+    if not spark.catalog.tableExists(name):
+        return 0
+    oldest = dt.datetime.combine(as_of, dt.time()) - dt.timedelta(days=contract.late_data.storage_days)
+    batches = spark.table(layers.table("system", f"{contract.domain}_batches"))
+    expired = batches.filter(F.col("batch_time") < F.lit(oldest)).select(F.col("_batch_id").cast("string").alias("batch"))
+    stored = partition_values(spark, name).select(F.col("spec")["_batch_id"].alias("batch"))
+    gone = [r["batch"] for r in stored.join(expired, "batch", "left_semi").collect()]
+    drop_partitions(spark, name, [{"_batch_id": batch} for batch in gone])
+    return len(gone)
+
+
 def roll_up_expiring(spark: SparkSession, layers: Layers, contract: Contract, as_of: dt.date) -> str:
     """Roll the expiring days of a clean table up into gold.
 

@@ -245,7 +245,7 @@ def batch_audit(spark, sf_dir):
     log = spark.table(layers.table("system", "lifecycle_audit"))
     return log.select(
         "operation_type",
-        F.substring("table_name", len(layers.prefix) + 1, 100).alias("table_name"),
+        F.replace(F.col("table_name"), F.lit(layers.prefix), F.lit("")).alias("table_name"),
         "rows_affected",
         "status",
         "batch_id",

@@ -35,12 +35,13 @@ def scratch_root(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``.  Only a local master may
     fall back to a temporary folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tidewater-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewater-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -8,6 +8,7 @@ a line that cannot be read at all is kept whole under ``_malformed``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,12 +47,24 @@ def _rescued(texts: dict[str, Column], fields: Sequence[Field], has_extras: Colu
     A clean row only costs the checks; maps and JSON are built for the others.
     """
     fallible = [f for f in fields if not isinstance(f.spark_type, T.StringType)]
-    dirty = has_extras
-    for f in fallible:
-        dirty = _is_misfit(texts[f.name], f) | dirty
-    empty = F.create_map().cast(TEXT_MAP)
-    misfits = _misfit_map(texts, fallible) if fallible else empty
-    return F.when(dirty, F.to_json(F.map_concat(misfits, F.when(has_extras, extras).otherwise(empty))))
+    extras_json = F.to_json(extras)
+    if not fallible:
+        return F.when(has_extras, extras_json)
+    has_misfits = reduce(lambda a, b: a | b, (_is_misfit(texts[f.name], f) for f in fallible))
+    misfits_json = F.to_json(_misfit_map(texts, fallible))
+    # The two objects are joined as text: a line may repeat a key, which no map would accept.
+    joined = F.concat(_without_last(misfits_json), F.lit(","), _without_first(extras_json))
+    return (
+        F.when(has_misfits & has_extras, joined).when(has_misfits, misfits_json).when(has_extras, extras_json)
+    )
+
+
+def _without_last(text: Column) -> Column:
+    return F.substring(text, F.lit(1), F.length(text) - 1)
+
+
+def _without_first(text: Column) -> Column:
+    return F.substring(text, F.lit(2), F.length(text))
 
 
 def _extra_columns(columns: Sequence[str]) -> tuple[Column, Column]:
