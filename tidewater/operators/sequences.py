@@ -64,11 +64,9 @@ def mark_chain(nodes: DataFrame, keys: Sequence[str], position: str, following:
     ``nodes`` has one row per (keys, position).
     """
     keys = list(keys)
-    jumps = written(
-        nodes.select(*keys, F.col(position).alias("_at"), F.col(following).alias("_to")).filter("_to IS NOT NULL"),
-        "jumps",
-    )
-    visited = nodes.groupBy(*keys).agg(F.min(position).alias("_at"))
+    nodes = written(nodes.select(*keys, F.col(position).alias("_at"), F.col(following).alias("_to")), "nodes")
+    jumps = nodes.filter("_to IS NOT NULL")
+    visited = nodes.groupBy(*keys).agg(F.min("_at").alias("_at"))
     while not jumps.isEmpty():
         reached = visited.join(jumps, [*keys, "_at"]).select(*keys, F.col("_to").alias("_at"))
         visited = written(visited.unionByName(reached), "visited")

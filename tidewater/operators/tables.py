@@ -6,7 +6,8 @@ only the partitions it fills, so a batch that is run again replaces its own rows
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,7 +90,6 @@ def overwrite_partitions(
     columns with one value for all rows; they are added after that shuffle.
     """
     spark, constants = df.sparkSession, constants or {}
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     rows = df.drop(*constants)
     varying = [p for p in partition_by if p in rows.columns]
     if varying:
@@ -104,7 +104,20 @@ def overwrite_partitions(
     )
     if cluster_by:
         aligned = aligned.sortWithinPartitions(*dict.fromkeys([*partition_by, *cluster_by]))
-    aligned.write.mode("overwrite").insertInto(name)
+    with _dynamic_overwrite(spark):
+        aligned.write.mode("overwrite").insertInto(name)
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite by partition inside the block; the session's own setting comes back after it."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(mode, before)
 
 
 def bronze_append(df: DataFrame, layers: Layers, contract: Contract, batch_id: int) -> str:
