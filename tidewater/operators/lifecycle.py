@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewater.contracts import Contract
 from tidewater.operators.rollup import contract_rollup
-from tidewater.operators.tables import Layers, append_batch, create_table, drop_partitions, overwrite_partitions, partition_values
+from tidewater.operators.tables import Layers, create_table, drop_partitions, overwrite_partitions, partition_values
 
 # Columns of the audit table.
 AUDIT_SCHEMA = (

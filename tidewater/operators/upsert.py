@@ -111,7 +111,8 @@ def merge_table(
         # Partitions that only lost rows may end up empty; an overwrite would leave them as they were.
         emptied = leaving - arriving
         if emptied:
-            emptied -= {tuple(r) for r in kept.filter(_in_partitions(parts, sorted(emptied, key=str))).select(*parts).distinct().collect()}
+            remaining = kept.filter(_in_partitions(parts, sorted(emptied, key=str))).select(*parts).distinct()
+            emptied -= {tuple(r) for r in remaining.collect()}
         result = kept.unionByName(winners.withColumns(constants).select(*kept.columns))
         overwrite_partitions(result, name, parts, contract.sink.cluster_by)
         drop_partitions(spark, name, [dict(zip(parts, values)) for values in sorted(emptied, key=str)])

@@ -21,8 +21,8 @@ from tidewater.operators.quality import (
     violation_report,
     violations,
 )
-from tidewater.operators.splits import REASON, corruption_reason, is_corrupt, is_late, split_late, split_valid
-from tidewater.plans.mapping import AS_OF, BAD_READING_SQL, IOT_SQL, WEATHER_SQL, iot, table, weather, when_every
+from tidewater.operators.splits import REASON, is_corrupt, is_late, split_late, split_valid
+from tidewater.plans.mapping import BAD_READING_SQL, IOT_SQL, WEATHER_SQL, iot, table, weather, when_every
 from tidewater.plans.registry import query
 from tidewater.plans.source_queries import BAD_LINES_SQL, IOT_FIELDS, bad_temperature, firmware, iot_lines, json_lines
 from tidewater.sources.evolution import observed_fields

@@ -75,11 +75,8 @@ def _extra_columns(columns: Sequence[str]) -> tuple[Column, Column]:
         F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value")))
         for c in columns
     ]
-    return F.coalesce(*columns_as_text(columns)).isNotNull(), F.map_from_entries(F.array_compact(F.array(*pairs)))
-
-
-def columns_as_text(columns: Sequence[str]) -> list[Column]:
-    return [F.col(c).cast("string") for c in columns]
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.coalesce(*texts).isNotNull(), F.map_from_entries(F.array_compact(F.array(*pairs)))
 
 
 def _malformed(line: Column) -> Column:
