@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import jaccard
+from tidewater.llm import hosts, jaccard, mixing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +29,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op6_ngram_jaccard_join")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"), jaccard.Join(words=3, percent=90))
+
+
+@query("op4_host_rules", hosts.HOST_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.document_rules(table(spark, sf_dir, "documents"))
+
+
+#: Bytes of text in a shard; the given tables are small, so the limit is too.
+SHARD_BYTES = 1 << 20
+
+
+@query("op7_extendible_shards", sharding.shard_sql(SHARD_BYTES))
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs, SHARD_BYTES).select("doc_id", "bytes", "shard", "page", "depth", "shard_bytes")
+
+
+@query("op9_apportioned_mix", mixing.MIX_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken, _ = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, cap=2.0)
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
