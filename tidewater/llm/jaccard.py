@@ -22,7 +22,8 @@ Steps, each a Spark job over tables of the scratch folder:
 5. *Links.*  ``groups`` first ties every entry's sets to the one with the fewest unshared
    tokens, contracts what is verified, then verifies the remaining pairs that lie in one
    entry but in different components: no link between components is lost, and a group of
-   thousands of near copies isn't expanded.  ``links`` verifies all pairs.
+   thousands of near copies isn't expanded.  Pairs whose unshared tokens and parity marks
+   already show too many differing tokens are dropped inside that join; the bound is exact.  ``links`` verifies all pairs.
 
 A null text, or one without words, has an empty set and no links.  Null ids
 are kept: such a row is joined by its text, and the component of a class is the least id
@@ -174,6 +175,15 @@ def prefix_entries(n: int, df: list[int], tokens: np.ndarray, t: int, frequent:
     return out
 
 
+#: Parity marks: each token flips one of 512 bits, so two sets differ in as many tokens as bits at least.
+MARKS = [f"mark{k}" for k in range(8)]
+
+
+def parity(tokens: np.ndarray) -> list[int]:
+    odd = np.bincount((tokens.view(np.uint64) >> np.uint64(11) & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
+
+
 def _entries(order: DataFrame, join: Join) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -186,9 +196,10 @@ def _entries(order: DataFrame, join: Join) -> DataFrame:
                 found = np.array([*prefix_entries(n, df.tolist(), tokens, join.percent)], np.int64).reshape(-1, 3).view(np.uint64)
                 key = mix(mix(mix(found[:, 0]) + found[:, 1]) + found[:, 2]).view(np.int64)
                 k = len(key)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(k, node)), pa.array(np.full(k, n)), pa.array(np.full(k, n - len(tokens)))], ["entry", "node", "n", "lone"])
+                same = [node, n, n - len(tokens), *parity(tokens)]
+                yield pa.RecordBatch.from_arrays([pa.array(key), *[pa.array(np.full(k, x)) for x in same]], ["entry", "node", "n", "lone", *MARKS])
 
-    return order.mapInArrow(run, "entry long, node long, n long, lone long")
+    return order.mapInArrow(run, "entry long, node long, n long, lone long, " + ", ".join(f"{m} long" for m in MARKS))
 
 
 def _near_sizes(a: str, b: str, join: Join) -> str:
@@ -203,11 +214,17 @@ def verified(pairs: DataFrame, ix: Index, join: Join) -> DataFrame:
     return counted.filter(f"100 * both >= {join.percent} * (total - both)").select("a", "b", "both")
 
 
+def _may_link(join: Join) -> str:
+    """Sets that link differ in few tokens; lone tokens and unequal marks are tokens that differ."""
+    differ = " + ".join(["lone_a + lone_b", *[f"bit_count({m}_a ^ {m}_b)" for m in MARKS]])
+    return f"{100 + join.percent} * ({differ}) <= {100 - join.percent} * (n_a + n_b)"
+
+
 def _met(entries: DataFrame, join: Join, apart: str = "true") -> DataFrame:
     """Distinct pairs that meet in an entry."""
     x = entries.select("entry", *[F.col(c).alias(f"{c}_a") for c in entries.columns if c != "entry"])
     y = entries.select("entry", *[F.col(c).alias(f"{c}_b") for c in entries.columns if c != "entry"])
-    pairs = x.join(y, "entry").filter(f"node_a < node_b and {apart} and {_near_sizes('n_a', 'n_b', join)}")
+    pairs = x.join(y, "entry").filter(f"node_a < node_b and {apart} and {_near_sizes('n_a', 'n_b', join)} and {_may_link(join)}")
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
@@ -227,7 +244,7 @@ def groups(ix: Index, join: Join) -> DataFrame:
     parts = written(connected_components(first), "parts")
 
     named = ix.entries.join(middles.select("entry"), "entry", "left_semi").join(parts, "node", "left")
-    named = written(named.select("entry", "node", "n", F.coalesce("component", "node").alias("part")), "named")
+    named = written(named.select("entry", "node", "n", "lone", *MARKS, F.coalesce("component", "node").alias("part")), "named")
     mixed = named.groupBy("entry").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
     rest = _met(named.join(mixed, "entry", "left_semi"), join, "part_a <> part_b").join(spokes, ["a", "b"], "left_anti")
     more = written(verified(rest, ix, join), "links")
