@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import hosts, jaccard, mixing, sharding
+from tidewater.llm import chat, hosts, jaccard, language, mixing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +51,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken, _ = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, cap=2.0)
     return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_language_mixture")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language.held_out(F.col("doc_id")).alias("held_out"))
+    return language.identify(docs, language.fit(docs.filter("not held_out")), ("doc_id", "held_out"))
+
+
+@query("op5_chat_layouts", chat.CHAT_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.sql("select * from values (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')")
+    records = chat.turn_records(rows.union(more))
+    return chat.digests(chat.read_back(chat.formatted(chat.canonical_turns(records))))
