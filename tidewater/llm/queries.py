@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, hosts, jaccard, language, mixing, sharding
+from tidewater.llm import chat, hosts, jaccard, language, mixing, pii, sharding, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.sql("select * from values (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')")
     records = chat.turn_records(rows.union(more))
     return chat.digests(chat.read_back(chat.formatted(chat.canonical_turns(records))))
+
+
+@query("op8_template_leaks")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_personal_spans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.document_spans(table(spark, sf_dir, "documents"))
