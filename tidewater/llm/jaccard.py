@@ -38,7 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import bounded
@@ -80,7 +80,7 @@ def _long_lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def shingle_sets(docs: DataFrame, join: Join) -> DataFrame:
-    """(doc_id, n, k1, k2, low): size and 128-bit name of each row's set, and its tokens of the thinning range."""
+    """(doc_id, at, body, n, k1, k2, low): size and 128-bit name of each row's set, and its tokens of the thinning range."""
     limit = np.uint64((1 << 64) // 1000 * join.thin)
 
     def run(batches):
@@ -90,15 +90,19 @@ def shingle_sets(docs: DataFrame, join: Join) -> DataFrame:
                 a, b = _set_keys(tokens)
                 n.append(len(tokens)), k1.append(a), k2.append(b)
                 low.append(tokens[: np.searchsorted(tokens, limit)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("at"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), _long_lists(low)], ["doc_id", "at", "n", "k1", "k2", "low"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "at", "body")], pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), _long_lists(low)], ["doc_id", "at", "body", "n", "k1", "k2", "low"])
 
-    schema = "doc_id long, at long, n long, k1 long, k2 long, low array<long>"
+    schema = "doc_id long, at long, body long, n long, k1 long, k2 long, low array<long>"
     return _keyed(docs).mapInArrow(run, schema)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``at``: the id, or a hash of the text where the id is null."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("at"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), *_row_key())
+
+
+def _row_key() -> list[Column]:
+    """``at``: the id, or a hash of the text where the id is null; ``body``: a hash of the text.  Only equal rows share both."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("at"), F.xxhash64("text").alias("body")]
 
 
 @dataclass
@@ -114,7 +118,7 @@ class Index:
 def index(docs: DataFrame, join: Join) -> Index:
     """Steps 1 to 4."""
     rows = written(shingle_sets(docs, join), "shingle-sets")
-    members = rows.select("doc_id", "at", "n", F.xxhash64("k1", "k2", "n").alias("node"))
+    members = rows.select("doc_id", "at", "body", "n", F.xxhash64("k1", "k2", "n").alias("node"))
     nodes = rows.filter("n > 0").groupBy(F.xxhash64("k1", "k2", "n").alias("node"), "k1", "k2", "n").agg(F.min("doc_id").alias("doc_id"), F.min("at").alias("at"))
     nodes = written(nodes, "nodes")
 
@@ -251,6 +255,34 @@ def groups(ix: Index, join: Join) -> DataFrame:
     return connected_components(first.select("a", "b").union(more.select("a", "b")))
 
 
+def _components(ix: Index, join: Join) -> DataFrame:
+    """(node, doc_id, component) of every class; doc_id is its least."""
+    names = ix.nodes.select("node", "doc_id").join(groups(ix, join), "node", "left")
+    return written(names.select("node", "doc_id", F.coalesce("component", "node").alias("component")), "names")
+
+
+def representatives(docs: DataFrame, join: Join) -> DataFrame:
+    """``docs`` with one row of each component: that of the least id, null ids last; equal rows count once.
+
+    Rows without words are all kept.  The rows to drop are found by id and a hash of the text, so no
+    text is shuffled while their list may be broadcast.
+    """
+    ix = index(docs, join)
+    rows = written(ix.members.filter("n > 0").groupBy("at", "body", "node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows")), "rows")
+    found = rows.join(_components(ix, join).select("node", "component"), "node")
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at", "body")).alias("b"))
+    best = written(best.select(F.col("b.at").alias("at"), F.col("b.body").alias("body")), "best")
+    drop = written(rows.select("at", "body").join(best, ["at", "body"], "left_anti").select(F.col("at").alias("_at"), F.col("body").alias("_body")), "dropped")
+    again = written(rows.filter("rows > 1").select("at", "body").join(best, ["at", "body"], "left_semi").select(F.col("at").alias("_at"), F.col("body").alias("_body")), "again")
+    at, body = _row_key()
+    same = (at == F.col("_at")) & (body == F.col("_body"))
+    kept = docs.join(bounded(drop), same, "left_anti")
+    if again.isEmpty():
+        return kept
+    twice = kept.join(bounded(again), same, "left_semi").withColumn("_at", at).withColumn("_body", body).dropDuplicates(["_at", "_body"]).drop("_at", "_body")
+    return kept.join(bounded(again), same, "left_anti").unionByName(twice)
+
+
 def link_components(docs: DataFrame, join: Join) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: the least id reachable by links, its own included.
 
@@ -258,8 +290,7 @@ def link_components(docs: DataFrame, join: Join) -> DataFrame:
     gives an empty result.  A null id stays null, with the least id of its component, if any.
     """
     ix = index(docs, join)
-    names = ix.nodes.select("node", "doc_id").join(groups(ix, join), "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
-    names = written(names, "names")
+    names = _components(ix, join)
     least = names.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_node = written(names.join(least, "component").select("node", "component_id"), "of-node")
     out = ix.members.join(of_node, "node", "left")

@@ -122,6 +122,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1,), share: float = 1.0, ca
     return out, sources
 
 
+def mixed(docs: DataFrame, **rules) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as its words are taken, rounded; a row cut by half or more is left out.
+
+    ``rules`` are those of ``mix``.  Equal rows are counted together.
+    """
+    taken, _ = mix(docs, **rules)
+    per = taken.filter("size > 0").groupBy("key").agg(F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).alias("_times"), F.count("*").alias("_rows"))
+    per = written(per.filter("_times > 0").withColumnRenamed("key", "_key"), "times")
+    key = F.xxhash64("doc_id", "text")
+    more = per.filter("_rows > 1")
+    out = docs.join(bounded(per.filter("_rows = 1").select("_key", "_times")), key == F.col("_key"))
+    if not more.isEmpty():
+        out = out.unionByName(docs.join(bounded(more.select("_key", "_times")), key == F.col("_key")).dropDuplicates(["_key"]))
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)
+
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, hosts, jaccard, language, mixing, pii, sharding, templates
+from tidewater.llm import chat, hosts, jaccard, language, mixing, paragraphs, pii, sharding, templates, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,11 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+#: Folder of public tokenizer files, and the split pattern of the byte-level ones.
+TOKENIZERS = "/opt/tokenizers"
+PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -75,3 +80,14 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_personal_spans")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.document_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op2_paragraph_repeats")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op1_line_tokens")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.attribute(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", PIECES)
