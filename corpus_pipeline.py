@@ -6,9 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater.llm import jaccard, language, mixing, sharding, templates
 from tidewater.session import scratch_path
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: Bytes of text in a shard; the given tables are small, so the limit is too.
+SHARD_BYTES = 1 << 20
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that the labelled documents teach.
+
+    Rejected are texts without a letter (or null), and those that no mixture of the languages explains better than chance.
+    """
+    found = language.identify(docs, language.fit(docs), tuple(docs.columns))
+    return found.filter(f"lang_pred <> '{language.UNKNOWN}' and gain > 0").select(*docs.columns)
+
+
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose five-word shingles agree to 80 %."""
+    return jaccard.representatives(docs, jaccard.Join(words=5, percent=80))
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, plain or asked again with other values."""
+    return templates.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: weights 3, 1, 2 over the sources, 150 % of all words, each at most twice."""
+    return mixing.mixed(docs, weights=(3, 1, 2), share=1.5, cap=2.0)
+
+
+def shard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard; no shard has more bytes of text than the limit, unless one document has."""
+    return sharding.shard(docs, SHARD_BYTES)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language ID", language_stage),
+    ("n-gram Jaccard join", near_copy_stage),
+    ("benchmark decontamination", benchmark_stage),
+    ("mixing sources to target weights", mix_stage),
+    ("sharding", shard_stage),
+]
 
 #: No SQL: language models and links between documents are not expressible there.
 ORACLE_SQL: str | None = None
