@@ -114,6 +114,9 @@ class LifecycleSpec:
     rollup_days_before_ttl: int = 1
     rollup_keys: tuple[str, ...] = ()
     rollups: tuple[RollupMetric, ...] = ()
+    #: Gold table of the rollup, and columns that have another name there.
+    output_table: str = ""
+    rollup_names: tuple[tuple[str, str], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -249,6 +252,8 @@ def contract_from_config(config: dict[str, Any]) -> Contract:
             merge_keys=tuple(sink.get("merge_keys") or ()),
             partition_by=tuple(sink.get("partition_by") or ()),
             cluster_by=tuple(optimization.get("z_order_by") or ()),
+            partition_grain=sink.get("partition_grain", "day"),
+            key_buckets=int(sink.get("key_buckets", 0)),
         ),
         event_time_column=event_time,
         metadata=metadata,
@@ -258,6 +263,7 @@ def contract_from_config(config: dict[str, Any]) -> Contract:
             event_time,
             watermark.get("delayed_threshold_minutes", 30),
             watermark.get("allowed_lateness_minutes", 5),
+            bool(watermark.get("monotone", False)),
         )
         if watermark.get("enabled")
         else None,
@@ -275,8 +281,9 @@ def contract_from_config(config: dict[str, Any]) -> Contract:
             rollup_keys=tuple(
                 f["name"]
                 for f in validation["fields"]
-                if f["name"] in (sink.get("partition_by") or ()) and f["type"] == "StringType"
+                if f["type"] == "StringType" and not f.get("nullable", True)
             ),
+            output_table=next((a["output_table"].rpartition(".")[2] for a in rollup.get("aggregations", ()) if a.get("output_table")), ""),
             rollups=tuple(
                 RollupMetric(a["metric"], tuple(a["operations"]), a.get("frequency", "daily"))
                 for a in rollup.get("aggregations", ())
@@ -388,6 +395,8 @@ IOT = Contract(
         ttl_days=14,
         rollup_keys=("sensor_id", "location_id"),
         rollups=tuple(RollupMetric(m) for m in ("temperature", "humidity", "ph", "soil_moisture")),
+        output_table="iot_daily_obt",
+        rollup_names=(("location_id", "location"),),
     ),
 )
 
@@ -412,6 +421,7 @@ WEATHER = Contract(
         ttl_days=14,
         rollup_keys=("city",),
         rollups=tuple(RollupMetric(m) for m in ("temperature", "humidity")),
+        output_table="weather_daily_obt",
     ),
 )
 

@@ -12,10 +12,11 @@ import operator
 import re
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.contracts import FIELD_TYPES
+from tidewater.functions.moments import timestamp
 
 # The SQL functions contract expressions may call.
 SQL_FUNCTIONS = frozenset(
@@ -45,15 +46,50 @@ def sql_column(text: str) -> Column:
     refused = sorted(called - SQL_FUNCTIONS)
     if refused:
         raise ExpressionError(f"functions {refused} are not allowed in {text!r}")
+    _check_tree(text)
     return F.expr(text)
 
 
+# What a parsed expression may consist of besides calls of the functions above.
+PLAIN_NODES = frozenset(
+    """UnresolvedAttribute Literal Cast CaseWhen If In IsNull IsNotNull And Or Not Add Subtract Multiply Divide Remainder
+    UnaryMinus EqualTo EqualNullSafe GreaterThan GreaterThanOrEqual LessThan LessThanOrEqual Between UnresolvedFunction
+    Concat Coalesce Substring StringTrim Like RLike CurrentDate CurrentTimestamp Pmod""".split()
+)
+
+
+def _check_tree(text: str) -> None:
+    """Refuse anything but plain operators and listed functions, however they are spelt.
+
+    The parsed tree is walked, so quoted names and subqueries are seen for what they are.
+    """
+    session = SparkSession.getActiveSession()
+    if session is None:
+        raise ExpressionError("SQL text in a contract needs a Spark session")
+    try:
+        tree = session._jsparkSession.sessionState().sqlParser().parseExpression(text)
+    except Exception as error:
+        raise ExpressionError(f"cannot read {text!r}") from error
+    waiting = [tree]
+    while waiting:
+        node = waiting.pop()
+        kind = node.getClass().getSimpleName()
+        if kind not in PLAIN_NODES:
+            raise ExpressionError(f"{kind} is not allowed in {text!r}")
+        if kind == "UnresolvedFunction":
+            name = node.nameParts().mkString(".").lower()
+            if name not in SQL_FUNCTIONS:
+                raise ExpressionError(f"function {name!r} is not allowed in {text!r}")
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+
+
 def contract_column(text: str, batch_id: int, ingest_time: dt.datetime) -> Column:
     """The column a contract expression describes.
 
     ``current_timestamp()`` and its relatives give the batch's one ingest time,
     so every row of a batch, in every table, carries the same value.  A bare
-    unknown name stands for its own text.
+    unknown name stands for its own text, but for the arguments of ``coalesce``, which are columns.
     """
     calls = {
         "lit": F.lit,
@@ -61,9 +97,9 @@ def contract_column(text: str, batch_id: int, ingest_time: dt.datetime) -> Colum
         "coalesce": F.coalesce,
         "when": F.when,
         "to_timestamp": F.to_timestamp,
-        "unix_timestamp": lambda c=None: F.unix_timestamp(F.lit(ingest_time) if c is None else c),
-        "current_timestamp": lambda: F.lit(ingest_time),
-        "current_date": lambda: F.to_date(F.lit(ingest_time)),
+        "unix_timestamp": lambda c=None: F.unix_timestamp(timestamp(ingest_time) if c is None else c),
+        "current_timestamp": lambda: timestamp(ingest_time),
+        "current_date": lambda: F.to_date(timestamp(ingest_time)),
         "expr": sql_column,
     }
     methods = {"cast", "otherwise", "when", "isNull", "isNotNull", "alias"}

@@ -8,6 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.tables import create_table, overwrite_partitions
+
 
 def up_to_yesterday(df: DataFrame, date: str, as_of: dt.date) -> DataFrame:
     """Rows of days before ``as_of``; on a date-partitioned table other days are not read."""
@@ -37,6 +39,17 @@ def inventory_fact(silver: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
+def write_fact(fact: DataFrame, name: str, day: str, since: dt.date | None = None) -> str:
+    """Store a fact table by day; each day it has rows for replaces that day's partition, so a run can be repeated.
+
+    ``since`` limits the run to days from then on, for a daily run after the first.
+    """
+    rows = fact if since is None else fact.filter(F.col(day) >= F.lit(since))
+    create_table(fact.sparkSession, name, fact.schema, [day], "Facts up to yesterday")
+    overwrite_partitions(rows, name, [day])
+    return name
+
+
 def dimension(df: DataFrame, key: str, *attributes: str) -> DataFrame:
     """The distinct members of one dimension."""
     return df.select(key, *attributes).distinct()

@@ -9,10 +9,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.contracts import Contract
-from tidewater.operators.rollup import contract_rollup
+from tidewater.operators.rollup import merged_rollup, partial_rollup
 from tidewater.operators.tables import Layers, create_table, drop_partitions, overwrite_partitions, partition_values
+from tidewater.session import written
 
 # Columns of the audit table.
 AUDIT_SCHEMA = (
@@ -21,6 +23,15 @@ AUDIT_SCHEMA = (
 )
 
 
+def date_column(contract: Contract) -> str:
+    """The one date among the partition columns of the clean table."""
+    kinds = {f.name: f.type for f in contract.fields}
+    dates = [c for c in contract.sink.partition_by if kinds.get(c) == "DateType"]
+    if len(dates) != 1:
+        raise ValueError(f"{contract.domain}: retention needs one date among the partition columns, found {dates}")
+    return dates[0]
+
+
 def within_ttl(df: DataFrame, date: str, as_of: dt.date, ttl_days: int) -> DataFrame:
     """Rows that are kept: not older than ``ttl_days``."""
     return df.filter(F.col(date) >= F.lit(as_of - dt.timedelta(days=ttl_days)))
@@ -42,6 +53,9 @@ def purge_table(spark: SparkSession, name: str, date: str, as_of: dt.date, ttl_d
     # ISO dates order as text.
     specs = partition_values(spark, name).filter(F.col("spec")[date] < oldest.isoformat())
     drop_partitions(spark, name, [dict(r["spec"]) for r in specs.collect()])
+    left = spark.table(name).filter(F.col(date) < F.lit(oldest)).count()
+    if left:
+        raise RuntimeError(f"{name}: {left} rows of expired days are still stored")
     return rows
 
 
@@ -53,7 +67,7 @@ def purge_late(spark: SparkSession, layers: Layers, contract: Contract, as_of: d
     name = layers.table("bronze", f"{contract.domain}_late")
     if not spark.catalog.tableExists(name):
         return 0
-    oldest = dt.datetime.combine(as_of, dt.time()) - dt.timedelta(days=contract.late_data.storage_days)
+    oldest = dt.datetime.combine(as_of, dt.time(), dt.timezone.utc) - dt.timedelta(days=contract.late_data.storage_days)
     batches = spark.table(layers.table("system", f"{contract.domain}_batches"))
     expired = batches.filter(F.col("batch_time") < F.lit(oldest)).select(F.col("_batch_id").cast("string").alias("batch"))
     stored = partition_values(spark, name).select(F.col("spec")["_batch_id"].alias("batch"))
@@ -65,24 +79,56 @@ def purge_late(spark: SparkSession, layers: Layers, contract: Contract, as_of: d
 def roll_up_expiring(spark: SparkSession, layers: Layers, contract: Contract, as_of: dt.date) -> str:
     """Roll the expiring days of a clean table up into gold.
 
-    A day's rollup overwrites that day's partition, so repeating the run is safe.
+    Gold is merged from stored parts of each day.  A day is one part as long as its rows are in the
+    clean table, so repeating the run is safe.  Rows that come after the day was purged are a part of their
+    own: they add to the day's gold rows and do not replace them.
     """
     life, silver = contract.lifecycle, layers.table("silver", contract.domain)
-    (date,) = contract.sink.partition_by
-    gold = layers.table("gold", f"{contract.domain}_daily")
+    date = date_column(contract)
+    if {m.frequency for m in life.rollups} != {"daily"}:
+        raise ValueError(f"{contract.domain}: retention rolls up by day")
+    gold, keys = layers.table("gold", life.output_table or f"{contract.domain}_daily"), list(life.rollup_keys)
     due = expiring(spark.table(silver), date, as_of, life.ttl_days, life.rollup_days_before_ttl)
-    daily = contract_rollup(due, contract)
+    fresh = written(partial_rollup(due, keys, contract.event_time_column, life.rollups), "rollup")
+    parts, purges = _parts_table(layers, contract), _purges_table(layers, contract)
+    create_table(spark, parts, fresh.withColumn("part", F.lit(0)).schema, ["date", "part"], "Rollups of parts of a day")
+    create_table(spark, purges, T.StructType.fromDDL("part int, date date"), ["date"], "Parts whose rows were purged")
+
+    stored = spark.table(parts).groupBy("date", "part").agg(F.sum("_rows").alias("n"))
+    stored = stored.groupBy("date").agg(F.max(F.struct("part", "n")).alias("last"))
+    days = fresh.groupBy("date").agg(F.sum("_rows").alias("m")).join(stored, "date", "left")
+    days = days.join(spark.table(purges).withColumnRenamed("part", "gone"), "date", "left")
+    # Days only grow until they are purged as a whole: fewer rows than the last part has are new ones, too.
+    part = F.col("last.part")
+    number = F.when(part.isNull(), 0).when((F.col("gone") >= part) | (F.col("m") < F.col("last.n")), part + 1).otherwise(part)
+    days = written(days.select("date", number.cast("int").alias("part")), "days")
+    overwrite_partitions(fresh.join(days, "date"), parts, ["date", "part"])
+
+    daily = merged_rollup(spark.table(parts).join(days.select("date"), "date", "left_semi"), keys, life.rollups)
+    daily = daily.withColumnsRenamed(dict(life.rollup_names))
     create_table(spark, gold, daily.schema, ["date"], "Daily rollup of expired days")
     overwrite_partitions(daily, gold, ["date"])
     return gold
 
 
+def _parts_table(layers: Layers, contract: Contract) -> str:
+    return layers.table("system", f"{contract.domain}_rollup_parts")
+
+
+def _purges_table(layers: Layers, contract: Contract) -> str:
+    return layers.table("system", f"{contract.domain}_rollup_purges")
+
+
 def rollup_then_purge(spark: SparkSession, layers: Layers, contract: Contract, as_of: dt.date) -> tuple[str, int]:
     """Roll up, and only then purge: a day leaves the clean table after its rollup is stored."""
     gold = roll_up_expiring(spark, layers, contract, as_of)
-    (date,) = contract.sink.partition_by
+    date = date_column(contract)
     silver = layers.table("silver", contract.domain)
-    return gold, purge_table(spark, silver, date, as_of, contract.lifecycle.ttl_days)
+    purged = purge_table(spark, silver, date, as_of, contract.lifecycle.ttl_days)
+    oldest = as_of - dt.timedelta(days=contract.lifecycle.ttl_days)
+    gone = spark.table(_parts_table(layers, contract)).filter(F.col("date") < F.lit(oldest)).groupBy("date").agg(F.max("part").alias("part"))
+    overwrite_partitions(gone, _purges_table(layers, contract), ["date"])
+    return gold, purged
 
 
 def audited(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewater.contracts import Contract
 from tidewater.functions.expressions import contract_column
+from tidewater.functions.moments import timestamp
 from tidewater.sources.rescue import SOURCE_FILE
 
 # An expression that reads no column has one value per batch.
@@ -37,7 +38,7 @@ def batch_constants(
     declared = {m.name for m in contract.metadata} | set(landed)
     defaults = {
         "_batch_id": F.lit(batch_id).cast("bigint"),
-        "_ingest_timestamp": F.lit(ingest_time),
+        "_ingest_timestamp": timestamp(ingest_time),
         "_schema_version_id": F.lit(contract.version),
     }
     constants = _columns(contract, batch_id, ingest_time, constant=True)

@@ -34,6 +34,27 @@ def rollup(df: DataFrame, keys: Sequence[str], event_time: str, metrics: Sequenc
     return df.groupBy(*keys, period.alias("date")).agg(*columns)
 
 
+def partial_rollup(df: DataFrame, keys: Sequence[str], event_time: str, metrics: Sequence[RollupMetric]) -> DataFrame:
+    """Rows, counts, sums and extremes per key and day: what rollups of parts of a day are merged from."""
+    columns = [F.count("*").alias("_rows")]
+    for m in metrics:
+        columns += [f(m.metric).alias(f"_{name}_{m.metric}") for name, f in (("n", F.count), ("sum", F.sum), ("min", F.min), ("max", F.max))]
+    return df.groupBy(*keys, F.to_date(event_time).alias("date")).agg(*columns)
+
+
+def merged_rollup(parts: DataFrame, keys: Sequence[str], metrics: Sequence[RollupMetric]) -> DataFrame:
+    """The rollup of all parts, with the columns that ``rollup`` gives."""
+    columns = []
+    for m in metrics:
+        values = {
+            "min": F.min(f"_min_{m.metric}"),
+            "max": F.max(f"_max_{m.metric}"),
+            "avg": F.round(F.sum(f"_sum_{m.metric}") / F.sum(f"_n_{m.metric}"), 6),
+        }
+        columns += [values[operation].alias(f"{operation}_{m.metric}") for operation in m.operations]
+    return parts.groupBy(*keys, "date").agg(*columns)
+
+
 def contract_rollup(df: DataFrame, contract: Contract) -> DataFrame:
     life = contract.lifecycle
     return rollup(df, life.rollup_keys, contract.event_time_column, life.rollups)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.contracts import Contract
+from tidewater.functions.moments import timestamp
 
 REASON = "_reason"
 
@@ -16,7 +17,7 @@ def is_late(event_time: str, cutoff: Column | dt.datetime | None) -> Column:
     """Before the cutoff.  No cutoff, or no event time, is never late."""
     if cutoff is None:
         return F.lit(False)
-    limit = cutoff if isinstance(cutoff, Column) else F.lit(cutoff)
+    limit = cutoff if isinstance(cutoff, Column) else timestamp(cutoff)
     return F.coalesce(F.col(event_time) < limit, F.lit(False))
 
 

@@ -147,11 +147,20 @@ def append_batch(
 
 
 def partition_values(spark: SparkSession, name: str) -> DataFrame:
-    """The table's partition values, read from the catalog alone, as text columns."""
+    """The table's partition values, read from the catalog alone, as text columns.
+
+    Names come escaped as in paths (``%3A``); the values given are the real ones, NULL for the default partition.
+    """
     listed = spark.sql(f"SHOW PARTITIONS {name}")
-    pieces = F.transform(
-        F.split("partition", "/"), lambda p: F.struct(F.split(p, "=", 2)[0].alias("key"), F.split(p, "=", 2)[1].alias("value"))
-    )
+
+    def plain(escaped: Column) -> Column:
+        return F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
+
+    def piece(p: Column) -> Column:
+        value = F.split(p, "=", 2)[1]
+        return F.struct(plain(F.split(p, "=", 2)[0]).alias("key"), F.when(value != "__HIVE_DEFAULT_PARTITION__", plain(value)).alias("value"))
+
+    pieces = F.transform(F.split("partition", "/"), piece)
     return listed.select(F.map_from_entries(pieces).alias("spec"))
 
 
@@ -160,9 +169,13 @@ def drop_partitions(spark: SparkSession, name: str, specs: Sequence[dict[str, ob
 
     Dropped by the hundred, so one statement stays of a reasonable length.
     """
+
+    def quoted(value: object) -> str:
+        return "null" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
     for start in range(0, len(specs), 100):
         clauses = ", ".join(
-            "PARTITION (" + ", ".join(f"`{k}` = " + ("null" if v is None else f"'{v}'") for k, v in spec.items()) + ")"
+            "PARTITION (" + ", ".join(f"`{k}` = {quoted(v)}" for k, v in spec.items()) + ")"
             for spec in specs[start : start + 100]
         )
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {clauses}")

@@ -27,14 +27,14 @@ def has_keys(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
 
 
-def source_winners(source: DataFrame, keys: Sequence[str], event_time: str) -> DataFrame:
-    """One row per key; rows with a NULL key are kept, exact copies of them once.
+def source_winners(source: DataFrame, keys: Sequence[str], event_time: str, latest: bool = True) -> DataFrame:
+    """One row per key, the latest or earliest; rows with a NULL key are kept, exact copies of them once.
 
     A row with a NULL key is grouped by all its values, so one pass serves both.
     """
     whole_row = F.struct(*(c for c in source.columns if c not in (*keys, "_file_path")))
     marked = source.withColumn("_keyless", F.when(~has_keys(keys), whole_row))
-    return best_per_key(marked, [*keys, "_keyless"], [event_time]).drop("_keyless")
+    return best_per_key(marked, [*keys, "_keyless"], [event_time], latest).drop("_keyless")
 
 
 def matched(winners: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -325,7 +325,7 @@ def check_required(spark, sf_dir):
     return violations(rows, required_rules(IOT)).select("event_id", "rule")
 
 
-STALE_BEFORE = dt.datetime(2024, 1, 10)
+STALE_BEFORE = dt.datetime(2024, 1, 10, tzinfo=dt.timezone.utc)
 
 
 @query(

@@ -220,14 +220,14 @@ def rolled_then_purged(spark, sf_dir):
     kept = spark.table(layers.table("silver", IOT.domain))
     left = kept.groupBy("sensor_id", "location_id", F.col("reading_date").alias("date")).agg(F.count("*").alias("n"))
     rolled = spark.table(gold).select(
-        F.lit("gold").alias("side"), "sensor_id", "location_id", "date", "min_temperature", "max_temperature", "avg_temperature"
+        F.lit("gold").alias("side"), "sensor_id", F.col("location").alias("location_id"), "date", "min_temperature", "max_temperature", "avg_temperature"
     )
     return rolled.unionByName(left.withColumn("side", F.lit("silver")), allowMissingColumns=True)
 
 
 @query(
     "batch_audit",
-    """SELECT 'ROLLUP' AS operation_type, 'gold.iot_sensors_daily' AS table_name,
+    """SELECT 'ROLLUP' AS operation_type, 'gold.iot_daily_obt' AS table_name,
       (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) FROM events
         WHERE CAST(ts AS DATE) <= DATE '2024-01-31' - 13)) AS rows_affected, 'SUCCESS' AS status, '7' AS batch_id
     UNION ALL SELECT 'PURGE', 'silver.iot_sensors', (SELECT count(*) FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-31' - 14), 'SUCCESS', '7'""",
@@ -240,7 +240,7 @@ def batch_audit(spark, sf_dir):
     def roll() -> int:
         return spark.table(roll_up_expiring(spark, layers, IOT, AS_OF)).count()
 
-    audited(spark, layers, "ROLLUP", layers.table("gold", f"{IOT.domain}_daily"), 7, INGEST_TIME, roll)
+    audited(spark, layers, "ROLLUP", layers.table("gold", IOT.lifecycle.output_table), 7, INGEST_TIME, roll)
     audited(spark, layers, "PURGE", silver, 7, INGEST_TIME, lambda: purge_table(spark, silver, "reading_date", AS_OF, 14))
     log = spark.table(layers.table("system", "lifecycle_audit"))
     return log.select(

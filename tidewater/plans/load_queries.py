@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.contracts import (
@@ -55,7 +55,13 @@ from tidewater.streaming.ingest import Ingest
 
 SALES_FIELDS = [f.name for f in SALES.fields]
 INVENTORY_FIELDS = [f.name for f in INVENTORY.fields]
-FLAGS = ("A", "N", "R")
+LOADS = range(3)
+#: Which load brings an order line; the last one has every flag that is neither A nor N, and none.
+LOAD_SQL = "CASE flag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"
+
+
+def load_of() -> Column:
+    return F.when(F.col("flag") == "A", 0).when(F.col("flag") == "N", 1).otherwise(2)
 
 
 # -- distinct ------------------------------------------------------------------
@@ -90,7 +96,7 @@ def _upsert_sql(base: str, columns: list[str], keys: list[str], event_time: str)
     """Two loads: rows of flags A and N, then rows of flag R, which win."""
     names = ", ".join(columns)
     same = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    return f"""WITH base AS ({base}), old AS (SELECT {names} FROM base WHERE flag <> 'R'),
+    return f"""WITH base AS ({base}), old AS (SELECT {names} FROM base WHERE flag IS DISTINCT FROM 'R'),
       new AS (SELECT {names} FROM base WHERE flag = 'R'),
       t AS ({_winners_sql('old', columns, keys, event_time)}),
       s AS ({_winners_sql('new', columns, keys, event_time)}),
@@ -104,7 +110,7 @@ INVENTORY_UPSERT_SQL = _upsert_sql(INVENTORY_SQL, INVENTORY_FIELDS, INVENTORY_KE
 
 def two_loads(rows: DataFrame, fields: list[str], contract: Contract) -> tuple[DataFrame, DataFrame]:
     """(target, source): what is stored after the first load, and the rows of the second."""
-    first, second = rows.filter("flag <> 'R'").select(*fields), rows.filter("flag = 'R'").select(*fields)
+    first, second = rows.filter("not flag <=> 'R'").select(*fields), rows.filter("flag <=> 'R'").select(*fields)
     return source_winners(first, contract.sink.merge_keys, contract.event_time_column), second
 
 
@@ -148,13 +154,13 @@ NULL_WAREHOUSE = "CASE WHEN warehouse_id <> '7' THEN warehouse_id END AS warehou
     f"""WITH base AS (SELECT * REPLACE ({NULL_WAREHOUSE}) FROM ({INVENTORY_SQL})),
       keyed AS (SELECT * FROM base WHERE warehouse_id IS NOT NULL),
       best AS ({_winners_sql(
-          "(SELECT *, flag = 'R' AS is_new FROM keyed)",
+          "(SELECT *, coalesce(flag = 'R', false) AS is_new FROM keyed)",
           ["is_new", *INVENTORY_FIELDS],
           INVENTORY_KEYS,
           "is_new DESC, last_updated_timestamp",
       )})
     SELECT {', '.join(INVENTORY_FIELDS)} FROM best
-    UNION ALL SELECT * FROM (SELECT DISTINCT {', '.join(INVENTORY_FIELDS)} FROM base WHERE warehouse_id IS NULL AND flag <> 'R')
+    UNION ALL SELECT * FROM (SELECT DISTINCT {', '.join(INVENTORY_FIELDS)} FROM base WHERE warehouse_id IS NULL AND flag IS DISTINCT FROM 'R')
     UNION ALL SELECT * FROM (SELECT DISTINCT {', '.join(INVENTORY_FIELDS)} FROM base WHERE warehouse_id IS NULL AND flag = 'R')""",
     dates="last_updated",
 )
@@ -193,11 +199,11 @@ def bronze(spark, sf_dir):
     dates="reading_date",
 )
 def silver_append(spark, sf_dir):
-    """Three batches; the second one runs twice and is stored once."""
+    """One batch a drop; the second one runs once more and is stored once."""
     layers = new_layers(spark)
     rows = iot(spark, sf_dir).withColumn("_rescued_data", F.lit(None).cast("string"))
     bare = IOT.with_options(metadata=())
-    for drop in (0, 1, 1, 2):
+    for drop in (*range(DROPS), 1):
         batch = rows.filter(drop_of() == drop).drop("batch_id", "event_id")
         name = write_clean(spark, inject_metadata(batch, bare, drop, INGEST_TIME).drop("_schema_version_id"), layers, bare)
     return spark.table(name)
@@ -360,8 +366,8 @@ def _merged_drops_sql(base: str, columns: list[str], keys: list[str], event_time
     rest = [c for c in columns if c not in keys]
     order = ", ".join(f"{c} DESC NULLS LAST" for c in [event_time, *rest])
     return f"""SELECT {', '.join(columns)}, b AS _batch_id FROM (
-      SELECT *, CASE flag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS b,
-        row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY flag DESC, {order}) AS rn FROM ({base})) WHERE rn = 1"""
+      SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY b DESC, {order}) AS rn
+      FROM (SELECT *, {LOAD_SQL} AS b FROM ({base}))) WHERE rn = 1"""
 
 
 @query(
@@ -373,7 +379,7 @@ def ingest_sales(spark, sf_dir):
     """Three drops; updated rows move between partitions."""
     contract = SALES.with_options(source=SourceSpec("parquet", max_bytes_per_trigger=None), sink=MONTHLY)
     rows = sales(spark, sf_dir)
-    drops = [rows.filter(F.col("flag") == flag).select(*SALES_FIELDS) for flag in FLAGS]
+    drops = [rows.filter(load_of() == load).select(*SALES_FIELDS) for load in LOADS]
     job = ingest_drops(spark, contract, drops, "parquet")
     return spark.table(job.layers.table("silver", SALES.domain)).select(*SALES_FIELDS, "_batch_id")
 
@@ -390,7 +396,7 @@ MONTHLY = SALES.sink.__class__(**{**SALES.sink.__dict__, "partition_grain": "mon
 def ingest_inventory(spark, sf_dir):
     contract = INVENTORY.with_options(source=SourceSpec("parquet", max_bytes_per_trigger=None))
     rows = inventory(spark, sf_dir)
-    drops = [rows.filter(F.col("flag") == flag).select(*INVENTORY_FIELDS) for flag in FLAGS]
+    drops = [rows.filter(load_of() == load).select(*INVENTORY_FIELDS) for load in LOADS]
     job = ingest_drops(spark, contract, drops, "parquet")
     return spark.table(job.layers.table("silver", INVENTORY.domain)).select(*INVENTORY_FIELDS, "_batch_id")
 
@@ -398,8 +404,8 @@ def ingest_inventory(spark, sf_dir):
 @query(
     "stream_dedup",
     f"""WITH inventory AS ({INVENTORY_SQL}), ranked AS (
-      SELECT *, CASE flag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS b, row_number() OVER (PARTITION BY operation_id
-        ORDER BY flag, last_updated_timestamp, product_id, warehouse_id, quantity_available) AS rn FROM inventory)
+      SELECT *, {LOAD_SQL} AS b, row_number() OVER (PARTITION BY operation_id
+        ORDER BY {LOAD_SQL}, last_updated_timestamp, product_id, warehouse_id, quantity_available) AS rn FROM inventory)
     SELECT operation_id, product_id, warehouse_id, quantity_available, last_updated_timestamp,
       CAST(b AS BIGINT) AS _batch_id FROM ranked WHERE rn = 1""",
 )
@@ -412,8 +418,8 @@ def stream_dedup(spark, sf_dir):
     # Copies of the given operations lie years apart, so the horizon covers them all.
     sink = FirstSeen(name, ["operation_id"], "last_updated_timestamp", "month", horizon_days=36_500, grain="month")
     rows = inventory(spark, sf_dir)
-    for flag in FLAGS:
-        write_landing(rows.filter(F.col("flag") == flag).select(*INVENTORY_FIELDS), landing, "parquet")
+    for load in LOADS:
+        write_landing(rows.filter(load_of() == load).select(*INVENTORY_FIELDS), landing, "parquet")
         stream = stream_landing(spark, contract, landing).select(*fields)
         stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(
             availableNow=True

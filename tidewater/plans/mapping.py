@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 # The parameters all registered queries share.
 EPOCH_DAY = dt.date(2024, 1, 1)
 AS_OF = dt.date(2024, 1, 31)
-INGEST_TIME = dt.datetime(2024, 2, 1)
+INGEST_TIME = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

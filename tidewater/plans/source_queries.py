@@ -223,12 +223,13 @@ def stream_ingest_append(spark, sf_dir):
 
 DROPS = 3
 DROP_DAYS = 10
-DROP_SQL = f"batch_id // {DROP_DAYS}"
+_DROP = f"CAST(floor(batch_id / {DROP_DAYS}.0) AS BIGINT)"
+DROP_SQL = f"coalesce(({_DROP} % {DROPS} + {DROPS}) % {DROPS}, 0)"
 
 
 def drop_of(batch: str = "batch_id") -> Column:
-    """Which of the landing drops an event day belongs to."""
-    return F.floor(F.col(batch) / DROP_DAYS)
+    """Which landing drop brings an event: its ten days, counted round and round; without a day, the first."""
+    return F.coalesce(F.pmod(F.floor(F.col(batch) / DROP_DAYS), F.lit(DROPS)), F.lit(0))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +55,8 @@ def _typed(reader, contract: Contract, path: str, own_schema: bool, source_file:
                 reader.format("csv")
                 .schema(string_struct(contract.fields, CORRUPT_COLUMN))
                 .option("header", "true")
-                .option("enforceSchema", "true")
+                # A header in another order must fail: by position its values would swap columns.
+                .option("enforceSchema", "false")
                 .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
                 .load(path)
             )
@@ -67,6 +70,35 @@ def _typed(reader, contract: Contract, path: str, own_schema: bool, source_file:
     raise SourceUnavailable(contract.source.format)
 
 
+def landed_schema(contract: Contract) -> T.StructType:
+    """Columns of typed rows: the contract's, rescued data and the source file."""
+    fields = [T.StructField(f.name, f.spark_type) for f in contract.fields]
+    return T.StructType([*fields, T.StructField(contract.rescued_column, T.StringType()), T.StructField(SOURCE_FILE, T.StringType())])
+
+
+def stream_file_names(spark: SparkSession, contract: Contract, path: str) -> DataFrame:
+    """The file of every row of new columnar files, no column of which is read: see ``read_landed_files``."""
+    reader = spark.readStream.schema(struct_type(contract.fields))
+    if contract.source.max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", contract.source.max_bytes_per_trigger)
+    return reader.parquet(path).select(F.col("_metadata.file_path").alias(SOURCE_FILE))
+
+
+def read_landed_files(spark: SparkSession, contract: Contract, files: list[str]) -> DataFrame:
+    """Columnar files with the types that each carries; files of one schema are read together.
+
+    Values of another type and undeclared columns are rescued; no file stops the others.
+    """
+    alike: dict[str, list[str]] = {}
+    for file in files:
+        alike.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
+    groups = []
+    for group in alike.values():
+        rows = spark.read.parquet(*group)
+        groups.append(type_columnar(rows.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)), contract))
+    return reduce(DataFrame.unionByName, groups)
+
+
 def _avro(reader, contract: Contract, path: str) -> DataFrame:
     try:
         return reader.format("avro").schema(epoch_struct(contract)).load(path)

@@ -83,6 +83,17 @@ def _malformed(line: Column) -> Column:
     return F.to_json(F.create_map(F.lit(MALFORMED_KEY), line))
 
 
+def _is_more_than_one_object(line: Column) -> Column:
+    """Whether text follows the line's object, which the parser would leave out without a word.
+
+    A flat object has one brace of each kind and ends with it; only other lines are parsed once more,
+    as the one element that a list of them must have.
+    """
+    braces = F.length(line) - F.length(F.translate(line, "{}", ""))
+    plain = (braces == 2) & F.rtrim(line).endswith("}")
+    return ~plain & (F.coalesce(F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))), F.lit(0)) != 1)
+
+
 def type_json_lines(lines: DataFrame, contract: Contract, text_column: str = "value") -> DataFrame:
     """Text lines, one JSON object each, to contract columns and rescued data.
 
@@ -101,9 +112,8 @@ def type_json_lines(lines: DataFrame, contract: Contract, text_column: str = "va
     }
     has_extras = F.size(F.array_except(F.map_keys("_parsed"), F.array(*map(F.lit, names)))) > 0
     extras = F.map_filter("_parsed", lambda key, _: ~key.isin(names))
-    rescued = F.when(
-        F.col("_parsed").isNull() & F.col(text_column).isNotNull(), _malformed(F.col(text_column))
-    ).otherwise(_rescued(texts, contract.fields, has_extras, extras))
+    line = F.col(text_column)
+    rescued = F.when(line.isNotNull() & (F.col("_parsed").isNull() | _is_more_than_one_object(line)), _malformed(line)).otherwise(_rescued(texts, contract.fields, has_extras, extras))
     return parsed.select(
         *(typed(texts[f.name], f).alias(f.name) for f in contract.fields),
         rescued.alias(contract.rescued_column),

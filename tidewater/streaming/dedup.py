@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.dedup import best_per_key
 from tidewater.operators.tables import append_batch
+from tidewater.operators.upsert import source_winners
 
 
 def within_watermark(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
@@ -21,7 +21,7 @@ class FirstSeen:
     """A ``foreachBatch`` sink that stores the first row of each key.
 
     Copies within a batch collapse inside the tasks before the shuffle, so a key
-    with a third of a batch cannot fill one task.  Keys of earlier batches are
+    with a third of a batch cannot fill one task; rows with a NULL key are all kept.  Keys of earlier batches are
     found in the stored table itself, from the partitions that the horizon
     still allows; no separate state has to be kept or recovered.
     """
@@ -37,7 +37,7 @@ class FirstSeen:
         rows = batch.withColumn(self.date, F.to_date(F.date_trunc(self.grain, self.event_time))).withColumn(
             "_batch_id", F.lit(batch_id).cast("bigint")
         )
-        fresh = best_per_key(rows, self.keys, [self.event_time], latest=False).persist()
+        fresh = source_winners(rows, self.keys, self.event_time, latest=False).persist()
         try:
             oldest = fresh.agg(F.min(self.date)).first()[0]
             if oldest is None:

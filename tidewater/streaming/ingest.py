@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.contracts import Contract
+from tidewater.functions.moments import collected, utc
 from tidewater.operators.alerts import record_alert
 from tidewater.operators.breaker import CLOSED, BreakerState, next_state, quarantine_attempts
 from tidewater.operators.dedup import distinct_rows
@@ -25,13 +26,13 @@ from tidewater.operators.metadata import batch_constants, inject_row_metadata
 from tidewater.operators.splits import is_corrupt, is_late, split_late, split_valid
 from tidewater.operators.tables import Layers, append_batch, bronze_append, create_table, overwrite_partitions
 from tidewater.operators.upsert import write_clean
-from tidewater.sources.landing import stream_landing
+from tidewater.sources.landing import landed_schema, read_landed_files, stream_file_names, stream_landing
 from tidewater.sources.rescue import SOURCE_FILE
 
 STATE_SCHEMA = (
     "domain string, total long, late long, on_time long, corrupt long, error_pct double, "
     "max_event_time timestamp, watermark timestamp, cutoff timestamp, breaker_state string, open_until timestamp, "
-    "silver_rows long, elapsed_ms long, over_limit boolean, batch_time timestamp, _batch_id long"
+    "silver_rows long, elapsed_ms long, over_limit boolean, batch_time timestamp, refused boolean, checkpoint string, _batch_id long"
 )
 
 
@@ -42,6 +43,10 @@ class BatchRefused(RuntimeError):
     """The breaker is not closed and the contract asks to fail fast."""
 
 
+class OtherCheckpoint(RuntimeError):
+    """The tables were filled from another checkpoint."""
+
+
 class ErrorRateExceeded(RuntimeError):
     """The breaker is not closed and the contract asks for an alert only."""
 
@@ -53,16 +58,28 @@ class Ingest:
     spark: SparkSession
     contract: Contract
     layers: Layers
-    clock: Callable[[int], dt.datetime] = lambda batch_id: dt.datetime.now()
+    clock: Callable[[int], dt.datetime] = lambda batch_id: dt.datetime.now(dt.timezone.utc)
+    _checkpoint: str | None = None
 
     # -- stream ---------------------------------------------------------------
 
     def start(self, landing: str, checkpoint: str) -> StreamingQuery:
-        """Process everything that landed since the last run, then stop."""
+        """Process everything that landed since the last run, then stop.
+
+        Tables belong to one checkpoint: batches of another one would replace theirs, so it is refused.
+        """
         self.layers.create(self.spark)
-        stream = stream_landing(self.spark, self.contract, landing)
+        if self.spark.catalog.tableExists(self.state_table):
+            # Batches write from a session of their own; this one may still list the files they replaced.
+            self.spark.catalog.refreshTable(self.state_table)
+            others = self.spark.table(self.state_table).filter(F.col("checkpoint") != checkpoint).select("checkpoint").limit(1).collect()
+            if others:
+                raise OtherCheckpoint(f"{self.contract.domain}: its tables belong to checkpoint {others[0][0]!r}, not {checkpoint!r}")
+        self._checkpoint = checkpoint
+        columnar = self.contract.source.format == "parquet"
+        stream = (stream_file_names if columnar else stream_landing)(self.spark, self.contract, landing)
         return (
-            stream.writeStream.foreachBatch(self.process)
+            stream.writeStream.foreachBatch(lambda batch, batch_id: self.process(self._as_landed(batch), batch_id))
             .option("checkpointLocation", checkpoint)
             .queryName(f"ingest_{self.contract.domain}_{checkpoint.rsplit('/', 1)[-1]}")
             .trigger(availableNow=True)
@@ -72,10 +89,22 @@ class Ingest:
     def run(self, landing: str, checkpoint: str) -> None:
         self.start(landing, checkpoint).awaitTermination()
 
+    def _as_landed(self, batch: DataFrame) -> DataFrame:
+        """The batch's rows; columnar files are read once more with their own schemas, as a stream has one for all.
+
+        Only the names of the files come to the driver, as many as the read limit allows in one batch.
+        """
+        if self.contract.source.format != "parquet":
+            return batch
+        files = [r[0] for r in batch.select(SOURCE_FILE).distinct().collect()]
+        if not files:
+            return batch.sparkSession.createDataFrame([], landed_schema(self.contract))
+        return read_landed_files(batch.sparkSession, self.contract, files)
+
     # -- one batch ------------------------------------------------------------
 
     def process(self, landed: DataFrame, batch_id: int) -> None:
-        started, at = time.monotonic(), self.clock(batch_id)
+        started, at = time.monotonic(), utc(self.clock(batch_id))
         c = self.contract
         landed = landed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -87,30 +116,34 @@ class Ingest:
             rows = inject_row_metadata(landed, c, batch_id, at)
             constants = batch_constants(c, batch_id, at, landed.columns)
 
-            before = self.previous(landed.sparkSession, batch_id)
-            watermark, cutoff = self._cutoff(latest["latest"], before)
+            before, refused_before = self.previous(landed.sparkSession, batch_id)
+            newest = collected(latest["latest"])
+            watermark, cutoff = self._cutoff(newest, before)
             counts = self._counts(rows, cutoff)
             error_pct = counts["corrupt"] / counts["on_time"] * 100 if counts["on_time"] else None
             breaker = next_state(before["breaker"], error_pct, at, c.breaker)
             clean = counts["on_time"] - counts["corrupt"]
-            refused = breaker.state != CLOSED and c.breaker.action == "fail_fast"
+            # A batch is refused once.  Its corrupt rows are set aside by then, so when it is run again its clean rows go in.
+            refused = breaker.state != CLOSED and c.breaker.action == "fail_fast" and not refused_before
 
             def save_state(silver_rows: int) -> None:
                 self._save_state(
-                    landed.sparkSession, batch_id, at, latest, watermark, cutoff, counts, error_pct, breaker,
-                    silver_rows, started,
+                    landed.sparkSession, batch_id, at, latest["total"], newest, watermark, cutoff, counts, error_pct, breaker,
+                    silver_rows, started, refused,
                 )
 
+            on_time, late = split_late(rows, c.event_time_column, cutoff)
+            valid, corrupt = split_valid(on_time, c)
             if refused:
+                if counts["corrupt"]:
+                    self._quarantine(corrupt, constants)
                 save_state(0)
                 raise BatchRefused(f"{c.domain}: error rate above the limit, breaker {breaker.state}")
             if breaker.state != CLOSED and c.breaker.action == "alert_only":
                 self._alert(landed.sparkSession, batch_id, "breaker", ErrorRateExceeded(c.domain), at)
 
-            on_time, late = split_late(rows, c.event_time_column, cutoff)
             if counts["late"] and c.late_data.enabled:
                 self._late(late, constants)
-            valid, corrupt = split_valid(on_time, c)
 
             def attempt(step: str, write: Callable[[], None], attempts: int) -> bool:
                 """Try a write; when degraded, a final failure is recorded and the batch goes on."""
@@ -179,22 +212,26 @@ class Ingest:
     def state_table(self) -> str:
         return self.layers.table("system", f"{self.contract.domain}_batches")
 
-    def previous(self, spark: SparkSession, batch_id: int) -> dict:
-        """State left by the batch before this one; one partition is read."""
-        if batch_id > 0 and spark.catalog.tableExists(self.state_table):
-            row = spark.table(self.state_table).filter(F.col("_batch_id") == batch_id - 1).first()
+    def previous(self, spark: SparkSession, batch_id: int) -> tuple[dict, bool]:
+        """(state, refused before): the state that this batch left if it was refused, else that of the batch before; two partitions are read."""
+        if spark.catalog.tableExists(self.state_table):
+            rows = spark.table(self.state_table).filter(F.col("_batch_id").isin(batch_id, batch_id - 1)).collect()
+            own = {r["_batch_id"]: r for r in rows}
+            again = batch_id in own and own[batch_id]["refused"]
+            row = own[batch_id] if again else own.get(batch_id - 1)
             if row:
-                return {"breaker": BreakerState(row["breaker_state"], row["open_until"]), "watermark": row["watermark"]}
-        return {"breaker": BreakerState(), "watermark": None}
+                state = BreakerState(row["breaker_state"], collected(row["open_until"]))
+                return {"breaker": state, "watermark": collected(row["watermark"])}, bool(again)
+        return {"breaker": BreakerState(), "watermark": None}, False
 
     def _save_state(
-        self, spark, batch_id, at, latest, watermark, cutoff, counts, error_pct, breaker: BreakerState, clean, started
+        self, spark, batch_id, at, total, latest, watermark, cutoff, counts, error_pct, breaker: BreakerState, clean, started, refused
     ) -> None:
         elapsed = int((time.monotonic() - started) * 1000)
         row = (
-            self.contract.domain, latest["total"], counts["late"], counts["on_time"], counts["corrupt"], error_pct,
-            latest["latest"], watermark, cutoff, breaker.state, breaker.open_until,
-            clean, elapsed, elapsed > self.contract.max_batch_minutes * 60_000, at, batch_id,
+            self.contract.domain, total, counts["late"], counts["on_time"], counts["corrupt"], error_pct,
+            latest, watermark, cutoff, breaker.state, breaker.open_until,
+            clean, elapsed, elapsed > self.contract.max_batch_minutes * 60_000, at, refused, self._checkpoint, batch_id,
         )
         line = spark.createDataFrame([row], STATE_SCHEMA)
         create_table(spark, self.state_table, line.schema, ["_batch_id"], "One row per batch: counts, watermark, breaker")
