@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.contracts import IOT, WEATHER, BreakerPolicy, MaskingPolicy, WatermarkSpec
 from tidewater.operators.alerts import mask_alerts
 from tidewater.operators.breaker import breaker_actions, breaker_states
-from tidewater.operators.metrics import batch_counts, batch_watermarks, monotone_watermark, with_cutoff
+from tidewater.operators.metrics import batch_counts, batch_watermarks, error_rate, monotone_watermark, with_cutoff
 from tidewater.operators.quality import (
     contract_rules,
     data_conformance,
@@ -25,6 +25,7 @@ from tidewater.operators.splits import REASON, is_corrupt, is_late, split_late,
 from tidewater.plans.mapping import BAD_READING_SQL, IOT_SQL, WEATHER_SQL, iot, table, weather, when_every
 from tidewater.plans.registry import query
 from tidewater.plans.source_queries import BAD_LINES_SQL, IOT_FIELDS, bad_temperature, firmware, iot_lines, json_lines
+from tidewater.session import written
 from tidewater.sources.evolution import observed_fields
 from tidewater.sources.rescue import type_json_lines
 
@@ -201,10 +202,12 @@ def batch_metrics(spark, sf_dir):
     lines = json_lines(
         late_iot(spark, sf_dir), IOT_FIELDS, ["event_id", "batch_id"], temperature=bad_temperature()
     )
-    rows = type_json_lines(lines, IOT)
+    # The lines are parsed once: marks, cutoffs and counts need three columns of the parsed rows.
+    rows = type_json_lines(lines, IOT).select("batch_id", "reading_timestamp", is_corrupt(IOT).alias("corrupt"))
+    rows = written(rows, "parsed")
     marks = batch_watermarks(rows, DAY_WATERMARK)
     late = is_late("reading_timestamp", F.col("cutoff"))
-    counts = batch_counts(with_cutoff(rows, DAY_WATERMARK), is_corrupt(IOT), late)
+    counts = batch_counts(with_cutoff(rows, DAY_WATERMARK), F.col("corrupt"), late)
     return counts.join(marks.select("batch_id", "max_event_time"), "batch_id").withColumn(
         "error_pct", F.round("error_pct", 6)
     )
@@ -217,9 +220,10 @@ def breaker_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error rate and time of the day batches of every location."""
     rows = typed_iot(spark, sf_dir, temperature=bad_temperature()).withColumnRenamed("location_id", "domain")
     keys = ["domain", "batch_id"]
-    counts = batch_counts(rows, F.col("_rescued_data").isNotNull(), F.lit(False), keys)
-    times = rows.groupBy(*keys).agg(F.max("reading_timestamp").alias("batch_time"))
-    return counts.join(times, keys).select(*keys, "batch_time", "error_pct")
+    counts = rows.groupBy(*keys).agg(
+        F.max("reading_timestamp").alias("batch_time"), F.count("*").alias("total"), F.count_if(F.col("_rescued_data").isNotNull()).alias("corrupt")
+    )
+    return counts.select(*keys, "batch_time", error_rate(F.col("corrupt"), F.col("total")).alias("error_pct"))
 
 
 # One recursive step per batch, in order: state and end of the open time.
@@ -257,6 +261,7 @@ def circuit_breaker_states(spark, sf_dir):
 def breaker_action(spark, sf_dir):
     """What each batch's state means under each action."""
     states = breaker_states(breaker_batches(spark, sf_dir), POLICY).select("domain", "batch_id", "breaker_state")
+    states = written(states, "breaker-states")
     parts = [
         breaker_actions(states, BreakerPolicy(5, 30, action), max_retries=3).withColumn("action", F.lit(action))
         for action in ("degrade_mode", "fail_fast", "alert_only")

@@ -13,7 +13,7 @@ from tidewater.operators.governance import create_tables, landed_schemas, regist
 from tidewater.operators.lifecycle import audited, purge_table, roll_up_expiring, rollup_then_purge, within_ttl
 from tidewater.operators.metadata import inject_metadata
 from tidewater.operators.rollup import contract_rollup, iot_daily, rollup, weather_daily
-from tidewater.operators.tables import Layers, overwrite_partitions
+from tidewater.operators.tables import Layers, append_batch, overwrite_partitions
 from tidewater.operators.upsert import write_clean
 from tidewater.plans.mapping import (
     AS_OF,
@@ -225,6 +225,47 @@ def rolled_then_purged(spark, sf_dir):
     return rolled.unionByName(left.withColumn("side", F.lit("silver")), allowMissingColumns=True)
 
 
+@query(
+    "rollup_straggler",
+    f"""WITH iot AS ({IOT_SQL}) SELECT sensor_id, location_id AS location, reading_date AS date, {_rollup_sql(IOT_METRICS)} FROM (
+      SELECT * FROM iot UNION ALL SELECT * REPLACE (temperature + 100 AS temperature) FROM iot WHERE reading_date < DATE '2024-01-31' - 14)
+    WHERE reading_date <= DATE '2024-01-31' - 13 GROUP BY ALL""",
+    dates="date",
+)
+def rollup_straggler(spark, sf_dir):
+    """Readings that come after their day was purged add to its gold rows; the run is repeated without effect."""
+    layers = stored_iot(spark, sf_dir)
+    rollup_then_purge(spark, layers, IOT, AS_OF)
+    old = within_ttl_not(iot(spark, sf_dir)).withColumn("temperature", F.col("temperature") + 100).drop("batch_id", "event_id")
+    bare = IOT.with_options(metadata=())
+    write_clean(spark, inject_metadata(old, bare, 1, INGEST_TIME), layers, bare)
+    for _ in range(2):
+        gold, _ = rollup_then_purge(spark, layers, IOT, AS_OF)
+    return spark.table(gold).select("sensor_id", "location", "date", *[f"{o}_{m}" for m in IOT_METRICS for o in ("min", "max", "avg")])
+
+
+def within_ttl_not(rows):
+    """Readings past their time to live."""
+    return rows.filter(F.col("reading_date") < F.lit(AS_OF - dt.timedelta(days=14)))
+
+
+@query(
+    "ttl_purge_escaped",
+    """SELECT event_type || ':'' %=/' AS kind, CAST(ts AS DATE) AS d, count(*) AS n FROM events
+    WHERE CAST(ts AS DATE) >= DATE '2024-01-31' - 14 GROUP BY ALL""",
+    dates="d",
+)
+def ttl_purge_escaped(spark, sf_dir):
+    """Partition names that paths must escape are purged like others."""
+    name = new_layers(spark).table("silver", "kinds")
+    rows = iot(spark, sf_dir).select(
+        "event_id", F.concat(F.expr("substring(location_id, 5)"), F.lit(":' %=/")).alias("kind"), F.col("reading_date").alias("d"), F.lit(0).cast("long").alias("_batch_id")
+    )
+    append_batch(rows, name, ["kind", "d"])
+    purge_table(spark, name, "d", AS_OF, 14)
+    return spark.table(name).groupBy("kind", "d").agg(F.count("*").alias("n"))
+
+
 @query(
     "batch_audit",
     """SELECT 'ROLLUP' AS operation_type, 'gold.iot_daily_obt' AS table_name,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -361,6 +363,60 @@ def ingest_weather(spark, sf_dir):
     )
 
 
+BREAKER_DROPS = 6
+
+
+@query(
+    "ingest_breaker",
+    f"""WITH iot AS ({IOT_SQL}), drops AS (SELECT *, coalesce(((batch_id % {BREAKER_DROPS}) + {BREAKER_DROPS}) % {BREAKER_DROPS}, 0) AS b FROM iot),
+      rates AS (SELECT b, count(*) AS total, count(*) FILTER (b = 1 AND event_id % 10 = 0) AS corrupt FROM drops GROUP BY b)
+    SELECT CAST(b AS BIGINT) AS batch_id, total, corrupt, total - corrupt AS silver_rows,
+      CASE b WHEN 1 THEN 'OPEN' WHEN 2 THEN 'HALF_OPEN' ELSE 'CLOSED' END AS breaker_state FROM rates""",
+)
+def ingest_breaker(spark, sf_dir):
+    """Six drops, the second with a tenth of its rows corrupt: the breaker opens, is half open, and closes."""
+    rows = iot(spark, sf_dir)
+    contract = IOT_JSON.with_options(watermark=None, late_data=LateDataSpec())
+    drop = F.coalesce(F.pmod(F.col("batch_id"), F.lit(BREAKER_DROPS)), F.lit(0))
+    bad = F.when((drop == 1) & (F.col("event_id") % 10 == 0), F.lit("bad")).otherwise(F.col("temperature").cast("string"))
+    drops = [json_lines(rows.filter(drop == d), IOT_FIELDS, [], temperature=bad) for d in range(BREAKER_DROPS)]
+    job = ingest_drops(spark, contract, drops, "text")
+    return spark.table(job.state_table).select(F.col("_batch_id").alias("batch_id"), "total", "corrupt", "silver_rows", "breaker_state")
+
+
+@query(
+    "ingest_tables",
+    f"""WITH weather AS ({WEATHER_SQL}), landed AS (
+      SELECT CAST({DROP_SQL} AS BIGINT) AS b, city, event_id % 40 = 0 AS bad, event_id,
+        CASE WHEN event_id % 50 = 0 THEN forecast_timestamp - INTERVAL 30 DAYS ELSE forecast_timestamp END AS moment FROM weather),
+      cut AS (SELECT b, max(moment) - INTERVAL {CUTOFF_MINUTES} MINUTES AS cutoff FROM landed GROUP BY b),
+      sides AS (SELECT *, CASE WHEN moment < cutoff THEN 'late' WHEN bad THEN 'quarantine' ELSE 'silver' END AS side FROM landed JOIN cut USING (b))
+    SELECT side, city, moment AS forecast_timestamp, b AS batch_id FROM sides UNION ALL SELECT 'bronze', city, moment, b FROM sides""",
+)
+def ingest_tables(spark, sf_dir):
+    """All rows that the stream leaves, by table: nothing is lost and nothing is in two places."""
+    old = F.col("forecast_timestamp") - F.expr("INTERVAL 30 DAYS")
+    contract = WEATHER.with_options(
+        source=SourceSpec("json", max_bytes_per_trigger=None),
+        watermark=WatermarkSpec("forecast_timestamp", **WIDE),
+        late_data=LateDataSpec(True, 14),
+    )
+    rows = weather(spark, sf_dir)
+    bad = F.when(F.col("event_id") % 40 == 0, F.lit("bad")).otherwise(F.col("temperature").cast("string"))
+    drops = [
+        json_lines(rows.filter(drop_of() == d), WEATHER_FIELDS, [], temperature=bad, forecast_timestamp=when_every(50, old, F.col("forecast_timestamp")))
+        for d in range(DROPS)
+    ]
+    job = ingest_drops(spark, contract, drops, "text")
+    name = WEATHER.domain
+    tables = {"silver": ("silver", name), "quarantine": ("quarantine", name), "late": ("bronze", f"{name}_late"), "bronze": ("bronze", name)}
+    sides = [
+        spark.table(job.layers.table(*where)).select(F.lit(side).alias("side"), "city", "forecast_timestamp", F.col("_batch_id").alias("batch_id"))
+        for side, where in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, sides)
+
+
 def _merged_drops_sql(base: str, columns: list[str], keys: list[str], event_time: str) -> str:
     """Three loads in order of the flag: the last load that has a key wins, then its latest row."""
     rest = [c for c in columns if c not in keys]
@@ -376,16 +432,17 @@ def _merged_drops_sql(base: str, columns: list[str], keys: list[str], event_time
     dates="transaction_date",
 )
 def ingest_sales(spark, sf_dir):
-    """Three drops; updated rows move between partitions."""
-    contract = SALES.with_options(source=SourceSpec("parquet", max_bytes_per_trigger=None), sink=MONTHLY)
+    """Three drops; updated rows stay in their key's partition."""
+    contract = SALES.with_options(source=SourceSpec("parquet", max_bytes_per_trigger=None), sink=BY_KEY)
     rows = sales(spark, sf_dir)
     drops = [rows.filter(load_of() == load).select(*SALES_FIELDS) for load in LOADS]
     job = ingest_drops(spark, contract, drops, "parquet")
     return spark.table(job.layers.table("silver", SALES.domain)).select(*SALES_FIELDS, "_batch_id")
 
 
-# The given order lines spread thinly over seven years, so days would be tiny partitions.
-MONTHLY = SALES.sink.__class__(**{**SALES.sink.__dict__, "partition_grain": "month"})
+# The given order lines spread thinly over seven years, so days would be tiny partitions.  By a hash of
+# the key a changed day moves no row, so no batch has to look for old versions in the whole table.
+BY_KEY = replace(SALES.sink, key_buckets=8)
 
 
 @query(

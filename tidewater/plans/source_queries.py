@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.contracts import IOT, WEATHER, Contract, Field, SinkSpec, SourceSpec
+from tidewater.contracts import IOT, WEATHER, Contract, Field, LateDataSpec, SinkSpec, SourceSpec
 from tidewater.functions.expressions import contract_column
 from tidewater.functions.scalars import error_fingerprint, short_message
 from tidewater.operators.metadata import derive_event_date, inject_metadata
@@ -27,6 +27,7 @@ from tidewater.session import scratch_path
 from tidewater.sources.evolution import evolve, observed_fields
 from tidewater.sources.landing import decode_epochs, read_landing, stream_landing, write_landing
 from tidewater.sources.rescue import type_json_lines
+from tidewater.streaming.ingest import Ingest
 
 IOT_FIELDS = [f.name for f in IOT.fields]
 WEATHER_FIELDS = [f.name for f in WEATHER.fields]
@@ -163,6 +164,20 @@ def rescue_extra_fields(spark, sf_dir):
     return type_json_lines(lines, IOT).select("event_id", "temperature", "_rescued_data")
 
 
+@query(
+    "rescue_trailing_text",
+    """SELECT event_id, CASE WHEN event_id % 71 > 1 THEN value END AS temperature, event_id % 71 <= 1 AS malformed FROM events""",
+)
+def rescue_trailing_text(spark, sf_dir):
+    """A line with text or a second object after its object is kept whole, not cut."""
+    lines = iot_lines(spark, sf_dir)
+    after = F.when(F.col("event_id") % 71 == 0, F.concat("value", F.lit(" trailing"))).when(F.col("event_id") % 71 == 1, F.concat("value", "value"))
+    lines = lines.withColumn("landed", F.coalesce(after, F.col("value")))
+    rows = type_json_lines(lines.drop("value").withColumnRenamed("landed", "value"), IOT)
+    whole = F.coalesce(F.get_json_object("_rescued_data", "$._malformed").isNotNull(), F.lit(False))
+    return rows.select("event_id", "temperature", whole.alias("malformed"))
+
+
 @query(
     "rescue_malformed_lines",
     """SELECT event_id, CASE WHEN event_id % 67 <> 0 THEN value END AS temperature,
@@ -258,6 +273,29 @@ def stream_resume(spark, sf_dir):
     return spark.table(name).select("city", "temperature", "forecast_timestamp", "_batch_id")
 
 
+@query(
+    "stream_parquet_drifted",
+    f"""WITH weather AS ({WEATHER_SQL}) SELECT city, forecast_timestamp, CASE WHEN event_id % 3 < 2 THEN temperature END AS temperature,
+      CASE event_id % 3 WHEN 1 THEN '{{"firmware":"v2"}}' WHEN 2 THEN '{{"temperature":"warm"}}' END AS rescued,
+      CASE WHEN event_id % 3 = 0 THEN 'silver' ELSE 'quarantine' END AS layer FROM weather""",
+)
+def stream_parquet_drifted(spark, sf_dir):
+    """Files with a new column or another type are rescued to quarantine and stop nothing."""
+    landing = scratch_path(spark, "landing")
+    contract = WEATHER.with_options(source=SourceSpec("parquet", max_bytes_per_trigger=None), watermark=None, late_data=LateDataSpec())
+    rows = weather(spark, sf_dir)
+    third = [rows.filter(F.col("event_id") % 3 == k).select(*WEATHER_FIELDS) for k in range(3)]
+    write_landing(third[0], landing, "parquet")
+    write_landing(third[1].withColumn("firmware", F.lit("v2")), landing, "parquet")
+    write_landing(third[2].withColumn("temperature", F.lit("warm")), landing, "parquet")
+    job = Ingest(spark, contract, new_layers(spark), clock=lambda _: INGEST_TIME)
+    job.run(landing, scratch_path(spark, "checkpoint"))
+    columns = ["city", "forecast_timestamp", "temperature"]
+    clean = spark.table(job.layers.table("silver", contract.domain)).select(*columns, F.lit(None).cast("string").alias("rescued"), F.lit("silver").alias("layer"))
+    kept = spark.table(job.layers.table("quarantine", contract.domain))
+    return clean.unionByName(kept.select(*columns, F.col("_rescued_data").alias("rescued"), F.lit("quarantine").alias("layer")))
+
+
 # -- table reads and landing writes ---------------------------------------------
 
 

@@ -83,15 +83,16 @@ def _malformed(line: Column) -> Column:
     return F.to_json(F.create_map(F.lit(MALFORMED_KEY), line))
 
 
-def _is_more_than_one_object(line: Column) -> Column:
-    """Whether text follows the line's object, which the parser would leave out without a word.
+def _one_object(line: Column) -> Column:
+    """The line's object, NULL if text follows it, which the parser would leave out without a word.
 
     A flat object has one brace of each kind and ends with it; only other lines are parsed once more,
     as the one element that a list of them must have.
     """
     braces = F.length(line) - F.length(F.translate(line, "{}", ""))
     plain = (braces == 2) & F.rtrim(line).endswith("}")
-    return ~plain & (F.coalesce(F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))), F.lit(0)) != 1)
+    alone = plain | (F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1)
+    return F.when(alone, F.from_json(line, TEXT_MAP))
 
 
 def type_json_lines(lines: DataFrame, contract: Contract, text_column: str = "value") -> DataFrame:
@@ -105,7 +106,7 @@ def type_json_lines(lines: DataFrame, contract: Contract, text_column: str = "va
     kept = [c for c in lines.columns if c != text_column and c not in names]
     # As the output of a generator the parsed map is never copied into the filters and
     # columns above it, each of which would parse the line again.
-    parsed = lines.select("*", F.explode(F.array(F.from_json(F.col(text_column), TEXT_MAP))).alias("_parsed"))
+    parsed = lines.select("*", F.explode(F.array(_one_object(F.col(text_column)))).alias("_parsed"))
     texts = {
         n: F.coalesce(F.col("_parsed")[n], F.col(n).cast("string")) if n in lines.columns else F.col("_parsed")[n]
         for n in names
@@ -113,7 +114,7 @@ def type_json_lines(lines: DataFrame, contract: Contract, text_column: str = "va
     has_extras = F.size(F.array_except(F.map_keys("_parsed"), F.array(*map(F.lit, names)))) > 0
     extras = F.map_filter("_parsed", lambda key, _: ~key.isin(names))
     line = F.col(text_column)
-    rescued = F.when(line.isNotNull() & (F.col("_parsed").isNull() | _is_more_than_one_object(line)), _malformed(line)).otherwise(_rescued(texts, contract.fields, has_extras, extras))
+    rescued = F.when(F.col("_parsed").isNull() & line.isNotNull(), _malformed(line)).otherwise(_rescued(texts, contract.fields, has_extras, extras))
     return parsed.select(
         *(typed(texts[f.name], f).alias(f.name) for f in contract.fields),
         rescued.alias(contract.rescued_column),
