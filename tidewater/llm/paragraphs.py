@@ -22,7 +22,7 @@ from pyspark.sql.window import Window as W
 
 from tidewater.llm.common import bounded
 from tidewater.llm.components import connected_components
-from tidewater.llm.words import blocks, mix, shingles
+from tidewater.llm.words import blocks, mix, parity_marks, shingles
 from tidewater.session import written
 
 
@@ -96,8 +96,12 @@ def band_keys(docs: DataFrame, rule: Rule) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, content long")
 
 
+#: Parity marks of a paragraph's shingles: a lower bound of the shingles in which two of them differ.
+MARKS = [f"mark{k}" for k in range(4)]
+
+
 def _contents(docs: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
-    """(content, tokens) of the wanted contents."""
+    """(content, tokens, marks) of the wanted contents."""
 
     def run(batches):
         for batch in batches:
@@ -106,9 +110,10 @@ def _contents(docs: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
                 kept = [np.unique(tokens[at[k] : at[k + 1]]).view(np.int64) for k in use]
                 flat = np.concatenate(kept) if kept else np.zeros(0, np.int64)
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, kept)]).astype(np.int32), flat)
-                yield pa.RecordBatch.from_arrays([pa.array(content[use].view(np.int64)), lists], ["content", "tokens"])
+                marks = np.array([parity_marks(x, 64 * len(MARKS)) for x in kept], np.int64).reshape(-1, len(MARKS))
+                yield pa.RecordBatch.from_arrays([pa.array(content[use].view(np.int64)), lists, *map(pa.array, marks.T.copy())], ["content", "tokens", *MARKS])
 
-    found = docs.select("text").mapInArrow(run, "content long, tokens array<long>")
+    found = docs.select("text").mapInArrow(run, "content long, tokens array<long>, " + ", ".join(f"{m} long" for m in MARKS))
     return found.join(bounded(wanted), "content", "left_semi").dropDuplicates(["content"])
 
 
@@ -116,13 +121,14 @@ def near_links(docs: DataFrame, rule: Rule, mixed: DataFrame) -> tuple[DataFrame
     """(links, parts) between contents that share a key of ``mixed``: verified links (a, b), and the components they make.
 
     First every bucket's contents are compared with its least one; what is still in different
-    components and one bucket is compared after that, so no component misses a link.
+    components and one bucket is compared after that, so no component misses a link; pairs whose parity
+    marks already show too many differing shingles are dropped inside that join.
     """
     keys = band_keys(docs, rule).join(bounded(mixed), "key", "left_semi").distinct()
     keys = written(keys, "band-keys")
     wanted = written(keys.select("content").distinct(), "wanted")
     sets = written(_contents(docs, rule, wanted), "contents")
-    marked = sets.select("content", F.size("tokens").alias("n"))
+    marked = sets.select("content", F.size("tokens").alias("n"), *MARKS)
     keys = written(keys.join(marked, "content"), "band-keys")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -139,12 +145,14 @@ def near_links(docs: DataFrame, rule: Rule, mixed: DataFrame) -> tuple[DataFrame
     spokes = written(spokes, "spokes")
     first = written(verified(spokes), "links")
     parts = written(connected_components(first), "parts")
-    named = keys.join(parts, F.col("content") == F.col("node"), "left").select("key", "content", "n", F.coalesce("component", "content").alias("part"))
+    named = keys.join(parts, F.col("content") == F.col("node"), "left").select("key", "content", "n", *MARKS, F.coalesce("component", "content").alias("part"))
     named = written(named, "named")
     apart = named.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("key")
     open_ = named.join(apart, "key", "left_semi")
-    x, y = (open_.select("key", F.col("content").alias(c), F.col("n").alias(f"n_{c}"), F.col("part").alias(f"p_{c}")) for c in "ab")
-    rest = x.join(y, "key").filter(f"a < b and p_a <> p_b and {sizes('n_a', 'n_b')}").select("a", "b").distinct().join(spokes, ["a", "b"], "left_anti")
+    x, y = (open_.select("key", F.col("content").alias(c), F.col("n").alias(f"n_{c}"), F.col("part").alias(f"p_{c}"), *[F.col(m).alias(f"{m}_{c}") for m in MARKS]) for c in "ab")
+    differ = " + ".join(f"bit_count({m}_a ^ {m}_b)" for m in MARKS)
+    few = f"{100 + rule.percent} * ({differ}) <= {100 - rule.percent} * (n_a + n_b)"
+    rest = x.join(y, "key").filter(f"a < b and p_a <> p_b and {sizes('n_a', 'n_b')} and {few}").select("a", "b").distinct().join(spokes, ["a", "b"], "left_anti")
     links = written(first.union(verified(rest)), "links")
     return links, written(connected_components(links), "parts")
 

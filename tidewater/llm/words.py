@@ -105,6 +105,12 @@ def _words(data: np.ndarray, at: np.ndarray, first: int, last: int, lower: bool)
     return Words(first, last, row + first, starts - at[row], ends - at[row], hashes, line, line | np.isin(closing, [33, 46, 63]))
 
 
+def parity_marks(tokens: np.ndarray, bits: int) -> list[int]:
+    """64-bit marks in which each token flips one of ``bits`` bits: two sets differ in at least as many tokens as their marks in bits."""
+    odd = np.bincount((tokens.view(_U) >> _U(11) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
+
+
 def shingles(hashes: np.ndarray, groups: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of ``n`` neighbouring words of one group, with their groups; a group of fewer words gives one.
 
