@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidewater.contracts import IOT, WEATHER, SourceSpec
+from tidewater.functions.moments import collected
 from tidewater.operators.dedup import best_per_key, distinct_rows
 from tidewater.operators.metrics import monotone_watermark
 from tidewater.operators.quality import empty_rules, range_rules, schema_conformance, violation_report
@@ -35,7 +36,7 @@ def weather_line(**fields):
 def test_clean_line_has_nothing_rescued(spark):
     row = type_json_lines(lines(spark, weather_line()), WEATHER).first()
     assert row["_rescued_data"] is None
-    assert row["humidity"] == 50.0 and row["forecast_timestamp"] == dt.datetime(2024, 1, 2, 3, 4, 5)
+    assert row["humidity"] == 50.0 and collected(row["forecast_timestamp"]) == dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
 
 
 def test_every_misfit_of_a_line_is_rescued_with_its_text(spark):
@@ -107,7 +108,7 @@ moments = st.one_of(st.none(), st.integers(0, 20))
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(moments, st.booleans(), st.booleans()), max_size=30), st.integers(0, 20))
 def test_every_row_gets_exactly_one_class(spark, rows, cutoff):
-    start = dt.datetime(2024, 1, 1)
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     frame = spark.createDataFrame(
         [
             (i, None if named else "s", "{}" if bad else None, None if m is None else start + dt.timedelta(minutes=m))
