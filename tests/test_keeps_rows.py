@@ -216,3 +216,34 @@ def test_facts_are_stored_by_day(spark, layers):
     more = spark.createDataFrame([(9, dt.date(2024, 1, 1)), (3, dt.date(2024, 1, 2)), (4, dt.date(2024, 1, 3))], "v int, d date")
     write_fact(more, name, "d", since=dt.date(2024, 1, 2))
     assert sorted((r["v"], r["d"].day) for r in spark.table(name).collect()) == [(1, 1), (3, 2), (4, 3)]
+
+
+def test_a_merge_that_dies_before_the_switch_loses_nothing(spark, layers, monkeypatch):
+    from tidewater.contracts import SALES
+    from tidewater.operators import tables
+    from tidewater.operators.upsert import merge_table
+
+    contract = SALES.with_options(metadata=())
+    schema = ", ".join(f"{f.name} {f.spark_type.simpleString()}" for f in SALES.fields)
+
+    def sales(*rows):
+        made = [(k, "c", "p", float(v), 1, "EUR", AT + dt.timedelta(days=d), (AT + dt.timedelta(days=d)).date()) for k, d, v in rows]
+        return spark.createDataFrame(made, schema)
+
+    def stored(name):
+        return sorted((r["transaction_id"], r["amount"]) for r in spark.table(name).collect())
+
+    name = merge_table(spark, sales(("a", 0, 1), ("b", 0, 2), ("c", 1, 3)), layers, contract)
+    second = sales(("a", 1, 10), ("d", 2, 4))
+
+    def dies(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_partition_location", dies)
+        with pytest.raises(RuntimeError):
+            merge_table(spark, second, layers, contract)
+    assert stored(name) == [("a", 1.0), ("b", 2.0), ("c", 3.0)]
+    for _ in range(2):
+        merge_table(spark, second, layers, contract)
+        assert stored(name) == [("a", 10.0), ("b", 2.0), ("c", 3.0), ("d", 4.0)]

@@ -6,10 +6,13 @@ only the partitions it fills, so a batch that is run again replaces its own rows
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,7 +92,14 @@ def overwrite_partitions(
     partition that holds most of the rows over several tasks.  ``constants`` are
     columns with one value for all rows; they are added after that shuffle.
     """
-    spark, constants = df.sparkSession, constants or {}
+    with _dynamic_overwrite(df.sparkSession):
+        _for_table(df, name, partition_by, cluster_by, constants or {}).write.mode("overwrite").insertInto(name)
+
+
+def _for_table(
+    df: DataFrame, name: str, partition_by: Sequence[str], cluster_by: Sequence[str], constants: Mapping[str, Column]
+) -> DataFrame:
+    """Rows with the table's columns in its order, few files to a partition."""
     rows = df.drop(*constants)
     varying = [p for p in partition_by if p in rows.columns]
     if varying:
@@ -99,13 +109,64 @@ def overwrite_partitions(
     aligned = rows.select(
         *(
             (F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in spark.table(name).schema.fields
+            for f in df.sparkSession.table(name).schema.fields
         )
     )
     if cluster_by:
         aligned = aligned.sortWithinPartitions(*dict.fromkeys([*partition_by, *cluster_by]))
-    with _dynamic_overwrite(spark):
-        aligned.write.mode("overwrite").insertInto(name)
+    return aligned
+
+
+def switch_partitions(df: DataFrame, name: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
+    """Replace the partitions that ``df`` has rows for without touching the stored ones before the new ones are whole.
+
+    The rows go to new folders; then each partition is pointed to its folder and the old one is
+    removed.  A run that ends in between leaves every row in one version or the other, for rows that no replay
+    of the batch would bring back.
+    """
+    spark = df.sparkSession
+    rows = _for_table(df, name, partition_by, cluster_by, {})
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").select("data_type").first()[0]
+    folder = f"{location.rstrip('/')}/_versions/{uuid.uuid4().hex[:12]}"
+    rows.write.partitionBy(*partition_by).parquet(folder)
+    files = spark.read.schema(rows.drop(*partition_by).schema).parquet(folder).select(F.col("_metadata.file_path").alias("path"))
+    written = {unquote(r["path"].rpartition("/")[0]) for r in files.distinct().collect()}
+    for path in sorted(written):
+        # Folder names are escaped once more than the values they stand for.
+        spec = dict(map(unquote, p.split("=", 1)) for p in path.split("/")[-len(partition_by) :])
+        spec = {k: None if v == "__HIVE_DEFAULT_PARTITION__" else v for k, v in spec.items()}
+        old = _partition_location(spark, name, spec)
+        clause = f"PARTITION ({_spec(spec)})"
+        if old is None:
+            spark.sql(f"ALTER TABLE {name} ADD {clause} LOCATION {_quoted(path)}")
+        else:
+            spark.sql(f"ALTER TABLE {name} {clause} SET LOCATION {_quoted(path)}")
+            _remove_folder(spark, old)
+    spark.catalog.refreshTable(name)
+
+
+def _quoted(value: object) -> str:
+    return "null" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _spec(spec: Mapping[str, object]) -> str:
+    return ", ".join(f"`{k}` = {_quoted(v)}" for k, v in spec.items())
+
+
+def _partition_location(spark: SparkSession, name: str, spec: Mapping[str, object]) -> str | None:
+    """Folder of one partition, None if there is no such partition."""
+    try:
+        lines = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({_spec(spec)})")
+        found = [r["data_type"] for r in lines.filter("col_name = 'Location'").collect()]
+    except AnalysisException:
+        return None
+    # The partition's own location comes before the table's.
+    return found[0] if found else None
+
+
+def _remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
@@ -169,13 +230,9 @@ def drop_partitions(spark: SparkSession, name: str, specs: Sequence[dict[str, ob
 
     Dropped by the hundred, so one statement stays of a reasonable length.
     """
-
-    def quoted(value: object) -> str:
-        return "null" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
     for start in range(0, len(specs), 100):
         clauses = ", ".join(
-            "PARTITION (" + ", ".join(f"`{k}` = {quoted(v)}" for k, v in spec.items()) + ")"
+            f"PARTITION ({_spec(spec)})"
             for spec in specs[start : start + 100]
         )
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {clauses}")

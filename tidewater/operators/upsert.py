@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewater.contracts import Contract
 from tidewater.operators.dedup import best_per_key, distinct_rows
-from tidewater.operators.tables import Layers, append_batch, create_table, drop_partitions, overwrite_partitions
+from tidewater.operators.tables import Layers, append_batch, create_table, drop_partitions, switch_partitions
 from tidewater.session import written
 
 # Table providers that can MERGE by themselves.
@@ -114,7 +114,7 @@ def merge_table(
             remaining = kept.filter(_in_partitions(parts, sorted(emptied, key=str))).select(*parts).distinct()
             emptied -= {tuple(r) for r in remaining.collect()}
         result = kept.unionByName(winners.withColumns(constants).select(*kept.columns))
-        overwrite_partitions(result, name, parts, contract.sink.cluster_by)
+        switch_partitions(result, name, parts, contract.sink.cluster_by)
         drop_partitions(spark, name, [dict(zip(parts, values)) for values in sorted(emptied, key=str)])
     finally:
         winners.unpersist()
