@@ -8,7 +8,7 @@ must share an entry.  Sets that meet in an entry are verified exactly.
 Steps, each a Spark job over tables of the scratch folder:
 
 1. *Classes.*  Equal sets form one class; only classes are joined.
-2. *Thinning.*  Tokens of a fixed fifth of the hash range are counted over all documents.
+2. *Thinning.*  Tokens of a fixed part of the hash range are counted over all documents.
    A token that only one document has cannot be shared, so a set of ``n`` tokens with
    more than ``(1 - t) n`` such tokens has no partner.  The test is exact; it
    leaves sets that share most of their tokens with others, which alone go on.
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import bounded
 from tidewater.llm.components import connected_components
-from tidewater.llm.words import blocks, mix, shingles
+from tidewater.llm.words import blocks, mix, parity_marks, shingles
 from tidewater.session import written
 
 #: A token in more sets than this is indexed in pairs.
@@ -56,8 +56,14 @@ class Join:
 
     words: int = 5
     percent: int = 80
-    #: Hash range of the thinning step, in thousandths; any value gives the same links.
-    thin: int = 200
+
+    @property
+    def thin(self) -> int:
+        """Hash range of the thinning step, in thousandths; any value gives the same links.
+
+        It must be well above the share of tokens that partners may differ in, or few sets are ruled out.
+        """
+        return max(200, 15 * (100 - self.percent))
 
 
 def _set_keys(tokens: np.ndarray) -> tuple[int, int]:
@@ -183,11 +189,6 @@ def prefix_entries(n: int, df: list[int], tokens: np.ndarray, t: int, frequent:
 MARKS = [f"mark{k}" for k in range(8)]
 
 
-def parity(tokens: np.ndarray) -> list[int]:
-    odd = np.bincount((tokens.view(np.uint64) >> np.uint64(11) & np.uint64(511)).astype(np.int64), minlength=512) & 1
-    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
-
-
 def _entries(order: DataFrame, join: Join) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -200,7 +201,7 @@ def _entries(order: DataFrame, join: Join) -> DataFrame:
                 found = np.array([*prefix_entries(n, df.tolist(), tokens, join.percent)], np.int64).reshape(-1, 3).view(np.uint64)
                 key = mix(mix(mix(found[:, 0]) + found[:, 1]) + found[:, 2]).view(np.int64)
                 k = len(key)
-                same = [node, n, n - len(tokens), *parity(tokens)]
+                same = [node, n, n - len(tokens), *parity_marks(tokens, 64 * len(MARKS))]
                 yield pa.RecordBatch.from_arrays([pa.array(key), *[pa.array(np.full(k, x)) for x in same]], ["entry", "node", "n", "lone", *MARKS])
 
     return order.mapInArrow(run, "entry long, node long, n long, lone long, " + ", ".join(f"{m} long" for m in MARKS))
