@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 #: A side with at most so many rows of a few numbers each (about 64 MB) may be broadcast.
 BROADCAST_ROWS = 2_000_000
 
-#: The characters that part words.
-BLANKS = " \t\n\x0b\x0c\r"
-
 
 def bounded(side: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``side`` for broadcast if a count proves it small; else the planner shuffles both sides.
@@ -20,6 +17,20 @@ def bounded(side: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(side) if side.limit(most + 1).count() <= most else side
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, for a Python function over Arrow batches: they hold 1,000 rows and about 16 MB from now on in this session, unless it has set its own sizes.
+
+    By default a batch is 10,000 rows, which long texts would make too large for a worker.
+    """
+    conf = df.sparkSession.conf
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(rows) == "10000":
+        conf.set(rows, "1000")
+    if conf.get(size, None) == str((1 << 31) - 1):
+        conf.set(size, str(16 << 20))
+    return df
+
+
 def word_list(text: Column) -> Column:
     """The words of a text: runs of characters other than blank, tab, line feed, VT, FF and CR."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[ \t-\r]+"), lambda w: w != "")

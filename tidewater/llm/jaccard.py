@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import bounded
+from tidewater.llm.common import bounded, small_batches
 from tidewater.llm.components import connected_components
 from tidewater.llm.words import blocks, mix, parity_marks, shingles
 from tidewater.session import written
@@ -103,7 +103,7 @@ def shingle_sets(docs: DataFrame, join: Join) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), *_row_key())
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), *_row_key())
 
 
 def _row_key() -> list[Column]:

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import small_batches
+
 UNKNOWN = "und"
 _BITS = 16
 
@@ -76,7 +78,7 @@ def fit(labelled: DataFrame, sample: int = 4000) -> Model | None:
                 at = np.flatnonzero(own)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(own[at])], ["lang", "gram", "n"])
 
-    found = chosen.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    found = small_batches(chosen).mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     languages = tuple(sorted(counts))
     sums = np.zeros((len(languages), 1 << _BITS))
     place = {lang: k for k, lang in enumerate(languages)}
@@ -149,4 +151,4 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *[pa.array(out[c], kinds[c]) for c in kinds]], [*keep, *kinds])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "_text")
-    return kept.mapInArrow(run, f"{schema}, lang_pred string, score double, gain double, languages array<struct<lang string, share double>>")
+    return small_batches(kept).mapInArrow(run, f"{schema}, lang_pred string, score double, gain double, languages array<struct<lang string, share double>>")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tidewater.llm.common import bounded
+from tidewater.llm.common import bounded, small_batches
 from tidewater.llm.components import connected_components
 from tidewater.llm.words import blocks, mix, parity_marks, shingles
 from tidewater.session import written
@@ -93,7 +93,7 @@ def band_keys(docs: DataFrame, rule: Rule) -> DataFrame:
                     keys.append(key)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.tile(content[use], len(keys)).view(np.int64))], ["key", "content"])
 
-    return docs.select("text").mapInArrow(run, "key long, content long")
+    return small_batches(docs).select("text").mapInArrow(run, "key long, content long")
 
 
 #: Parity marks of a paragraph's shingles: a lower bound of the shingles in which two of them differ.
@@ -113,7 +113,7 @@ def _contents(docs: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
                 marks = np.array([parity_marks(x, 64 * len(MARKS)) for x in kept], np.int64).reshape(-1, len(MARKS))
                 yield pa.RecordBatch.from_arrays([pa.array(content[use].view(np.int64)), lists, *map(pa.array, marks.T.copy())], ["content", "tokens", *MARKS])
 
-    found = docs.select("text").mapInArrow(run, "content long, tokens array<long>, " + ", ".join(f"{m} long" for m in MARKS))
+    found = small_batches(docs).select("text").mapInArrow(run, "content long, tokens array<long>, " + ", ".join(f"{m} long" for m in MARKS))
     return found.join(bounded(wanted), "content", "left_semi").dropDuplicates(["content"])
 
 
@@ -195,7 +195,7 @@ def repeated_paragraphs(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
                 )
             seen += len(texts)
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, row long, rank long, start long, end long, n_words long, content long")
+    found = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, row long, rank long, start long, end long, n_words long, content long")
     found = found.withColumn("task", F.spark_partition_id())
     hits = found.join(bounded(known), F.col("content") == F.col("node")).select("doc_id", "row", "rank", "start", "end", "n_words", F.col("component").alias("cluster"), "task")
     return _passages(written(hits, "hits"), rule)

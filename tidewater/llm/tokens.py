@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import small_batches
+
 RULES = ("first", "most", "share")
 #: Characters encoded at a time; cuts are made only where the tokenizer must begin a new piece.
 PIECE = 1 << 16
@@ -142,4 +144,4 @@ def attribute(docs: DataFrame, vocabulary: str, pattern: str, rule: str = "first
             names = ["doc_id", "section", "start", "end", "n_tokens", "n_crossing", "doc_tokens"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
 
-    return docs.select(*columns).mapInArrow(run, "doc_id long, section long, start long, end long, n_tokens double, n_crossing long, doc_tokens long")
+    return small_batches(docs).select(*columns).mapInArrow(run, "doc_id long, section long, start long, end long, n_tokens double, n_crossing long, doc_tokens long")
