@@ -200,9 +200,11 @@ def append_batch(
     comment: str = "",
     constants: Mapping[str, Column] | None = None,
 ) -> str:
-    """Rows of one batch, by their ``_batch_id``, into a table of fixed schema."""
+    """Rows of one batch, by their ``_batch_id``; new columns widen the table."""
     partitions = [*partition_by, "_batch_id"]
-    create_table(df.sparkSession, name, df.withColumns(dict(constants or {})).schema, partitions, comment)
+    schema = df.withColumns(dict(constants or {})).schema
+    create_table(df.sparkSession, name, schema, partitions, comment)
+    add_missing_columns(df.sparkSession, name, schema)
     overwrite_partitions(df, name, partitions, cluster_by, constants)
     return name
 

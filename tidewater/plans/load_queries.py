@@ -363,6 +363,24 @@ def ingest_weather(spark, sf_dir):
     )
 
 
+@query(
+    "ingest_additive",
+    f"""WITH weather AS ({WEATHER_SQL}) SELECT city, forecast_timestamp, temperature,
+      CASE WHEN event_id % 37 = 0 AND {DROP_SQL} > 0 THEN 'v2' END AS firmware, CAST({DROP_SQL} AS BIGINT) AS batch_id FROM weather""",
+)
+def ingest_additive(spark, sf_dir):
+    """A field that later drops bring becomes a column of the clean table; older rows have none."""
+    rows = weather(spark, sf_dir)
+    contract = WEATHER.with_options(
+        source=SourceSpec("json", max_bytes_per_trigger=None), evolution_mode="additive", watermark=None, late_data=LateDataSpec()
+    )
+    drops = [rows.filter(drop_of() == d) for d in range(DROPS)]
+    drops = [json_lines(r, WEATHER_FIELDS, [], **({"firmware": firmware()} if d else {})) for d, r in enumerate(drops)]
+    job = ingest_drops(spark, contract, drops, "text")
+    clean = spark.table(job.layers.table("silver", contract.domain))
+    return clean.select("city", "forecast_timestamp", "temperature", "firmware", F.col("_batch_id").alias("batch_id"))
+
+
 BREAKER_DROPS = 6
 
 

@@ -30,17 +30,25 @@ def observed_fields(lines: DataFrame, contract: Contract, text_column: str = "va
     )
 
 
-def evolve(contract: Contract, observed: DataFrame) -> Contract:
+class TooManyFields(RuntimeError):
+    """The lines have more field names than a schema can have."""
+
+
+def evolve(contract: Contract, observed: DataFrame, most: int = 2_000) -> Contract:
     """The contract under its evolution mode.
 
     ``none`` keeps it (new fields are rescued).  ``additive`` adds new fields as
     text columns.  ``all`` also turns fields with misfit values into text.
-    ``observed`` has one row per field name, so it is as small as a schema.
+    ``observed`` has one row per field name.  A producer that uses ids as names would make it as large as the
+    data: more than ``most`` names are refused.
     """
     if contract.evolution_mode == "none":
         return contract
     declared = {f.name for f in contract.fields}
-    seen = {r["name"]: r["misfits"] for r in observed.select("name", "misfits").collect()}
+    names = observed.select("name", "misfits").limit(most + 1).collect()
+    if len(names) > most:
+        raise TooManyFields(f"{contract.domain}: more than {most} field names")
+    seen = {r["name"]: r["misfits"] for r in names}
     fields = contract.fields
     if contract.evolution_mode == "all":
         fields = tuple(replace(f, type="StringType") if seen.get(f.name) else f for f in fields)

@@ -70,6 +70,14 @@ def _typed(reader, contract: Contract, path: str, own_schema: bool, source_file:
     raise SourceUnavailable(contract.source.format)
 
 
+def stream_lines(spark: SparkSession, contract: Contract, path: str) -> DataFrame:
+    """New lines of text with their file, not typed yet: for contracts whose fields may grow with the batch."""
+    reader = spark.readStream
+    if contract.source.max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", contract.source.max_bytes_per_trigger)
+    return reader.format("text").load(path).select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
+
+
 def landed_schema(contract: Contract) -> T.StructType:
     """Columns of typed rows: the contract's, rescued data and the source file."""
     fields = [T.StructField(f.name, f.spark_type) for f in contract.fields]

@@ -26,8 +26,9 @@ from tidewater.operators.metadata import batch_constants, inject_row_metadata
 from tidewater.operators.splits import is_corrupt, is_late, split_late, split_valid
 from tidewater.operators.tables import Layers, append_batch, bronze_append, create_table, overwrite_partitions
 from tidewater.operators.upsert import write_clean
-from tidewater.sources.landing import landed_schema, read_landed_files, stream_file_names, stream_landing
-from tidewater.sources.rescue import SOURCE_FILE
+from tidewater.sources.evolution import evolve, observed_fields
+from tidewater.sources.landing import landed_schema, read_landed_files, stream_file_names, stream_landing, stream_lines
+from tidewater.sources.rescue import SOURCE_FILE, type_json_lines
 
 STATE_SCHEMA = (
     "domain string, total long, late long, on_time long, corrupt long, error_pct double, "
@@ -76,8 +77,8 @@ class Ingest:
             if others:
                 raise OtherCheckpoint(f"{self.contract.domain}: its tables belong to checkpoint {others[0][0]!r}, not {checkpoint!r}")
         self._checkpoint = checkpoint
-        columnar = self.contract.source.format == "parquet"
-        stream = (stream_file_names if columnar else stream_landing)(self.spark, self.contract, landing)
+        read = stream_file_names if self.contract.source.format == "parquet" else stream_lines if self._evolves else stream_landing
+        stream = read(self.spark, self.contract, landing)
         return (
             stream.writeStream.foreachBatch(lambda batch, batch_id: self.process(self._as_landed(batch), batch_id))
             .option("checkpointLocation", checkpoint)
@@ -89,11 +90,20 @@ class Ingest:
     def run(self, landing: str, checkpoint: str) -> None:
         self.start(landing, checkpoint).awaitTermination()
 
+    @property
+    def _evolves(self) -> bool:
+        return self.contract.source.format == "json" and self.contract.evolution_mode != "none"
+
     def _as_landed(self, batch: DataFrame) -> DataFrame:
         """The batch's rows; columnar files are read once more with their own schemas, as a stream has one for all.
 
-        Only the names of the files come to the driver, as many as the read limit allows in one batch.
+        Only the names of the files come to the driver, as many as the read limit allows in one batch.  Where the
+        contract lets fields be added, those of the batch become text columns, here and in the tables;
+        stored columns keep their type, so values of another type are still rescued.
         """
+        if self._evolves:
+            added = evolve(self.contract.with_options(evolution_mode="additive"), observed_fields(batch, self.contract))
+            return type_json_lines(batch, added)
         if self.contract.source.format != "parquet":
             return batch
         files = [r[0] for r in batch.select(SOURCE_FILE).distinct().collect()]
