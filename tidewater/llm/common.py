@@ -26,7 +26,7 @@ def small_batches(df: DataFrame) -> DataFrame:
     rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
     if conf.get(rows) == "10000":
         conf.set(rows, "1000")
-    if conf.get(size, None) == str((1 << 31) - 1):
+    if conf.get(size, None) == "67108864b":
         conf.set(size, str(16 << 20))
     return df
 
