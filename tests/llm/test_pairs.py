@@ -128,7 +128,7 @@ def brute_paragraphs(text, least):
     for k, (s, e) in enumerate(spans):
         open_.append((s, e))
         following = spans[k + 1][0] if k + 1 < len(spans) else len(text)
-        if text[e - 1] in ".!?" or "\n" in text[e:following] or k + 1 == len(spans):
+        if (text[e - 1] in ".!?" and text[e - 2 : e - 1] not in (".", "!", "?")) or "\n" in text[e:following] or k + 1 == len(spans):
             if len(open_) >= least:
                 found.append((open_[0][0], e, words(text[open_[0][0] : e])))
             open_ = []
@@ -144,6 +144,8 @@ def test_repeated_paragraphs_equal_brute_force(spark):
     for i in range(0, 12, 2):
         docs[i] = (i, docs[i][1][:40] + shared[i % 4] + docs[i][1][40:])
     docs += [(40, " ".join(near)), (41, docs[0][1]), (41, docs[0][1]), (42, None), (None, shared[1] + "\n" + sentence(rng, 25, "kl")), (43, "")]
+    shout = "!! ".join(sentence(rng, 30, "mnop")[:-1].split(" ")) + "!!"
+    docs += [(50, shout), (51, "Other words. " + shout.upper())]
     rule = paragraphs.Rule()
     got = paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string"), rule).collect()
 

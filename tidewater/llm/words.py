@@ -23,6 +23,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: A word ends a sentence by one of these, not by a run of them: some texts put such a run after every word.
+_STOPS = np.frombuffer(b"!.?", np.uint8)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -98,11 +100,14 @@ def _words(data: np.ndarray, at: np.ndarray, first: int, last: int, lower: bool)
     breaks = np.zeros(len(data) + 1, np.int64)
     np.cumsum(data == 10, out=breaks[1:])
     following = np.append(starts[1:], len(data))
-    closing = data[ends - 1] if len(ends) else np.zeros(0, np.uint8)
+    closing = np.zeros(len(ends), bool)
+    if len(ends):
+        run = (ends - starts > 1) & np.isin(data[np.maximum(ends - 2, 0)], _STOPS)
+        closing = np.isin(data[ends - 1], _STOPS) & ~run
     line = breaks[following] > breaks[ends] if len(ends) else np.zeros(0, bool)
     final = np.append(row[1:] != row[:-1], True) if len(row) else np.zeros(0, bool)
     line = line | final
-    return Words(first, last, row + first, starts - at[row], ends - at[row], hashes, line, line | np.isin(closing, [33, 46, 63]))
+    return Words(first, last, row + first, starts - at[row], ends - at[row], hashes, line, line | closing)
 
 
 def parity_marks(tokens: np.ndarray, bits: int) -> list[int]:
