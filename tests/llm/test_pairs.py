@@ -75,6 +75,23 @@ def test_components_and_links_equal_brute_force(spark, size, percent, seed):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({wanted[i] for i in sets if sets[i]} | {i for i in sets if not sets[i]})
 
 
+@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80), (2, 66)])
+def test_sets_inside_sets_of_one_more_token_link(spark, size, percent):
+    texts = []
+    for n in range(2, 16):
+        for many in (1, 40):  # 40 other texts make the tokens frequent
+            w = [f"{many}x{n}x{k}" for k in range(n)]
+            texts += [" ".join(w), " ".join(w[1:]), " ".join(w[:-1])]
+            texts += [" ".join([*w, f"{many}y{n}y{k}", *w[:2]]) for k in range(many - 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = {i: shingles(t, size) for i, t in enumerate(texts)}
+    linked = [(a, b) for a, b in combinations(sets, 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    wanted = groups(sets, linked)
+    join = jaccard.Join(size, percent)
+    assert {r.doc_id: r.component_id for r in jaccard.link_components(docs, join).collect()} == wanted
+    assert {r.doc_id for r in jaccard.representatives(docs, join).collect()} == {wanted[i] for i in sets if sets[i]} | {i for i in sets if not sets[i]}
+
+
 def test_join_of_nulls_long_texts_and_nothing(spark):
     long = " ".join(f"x{i}" for i in range(60_000))
     docs = spark.createDataFrame([(None, "a b c d e f g"), (7, "A B C D E F G"), (None, "q r s t u"), (5, long), (6, long + " y")], "doc_id long, text string")

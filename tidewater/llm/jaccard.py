@@ -131,7 +131,8 @@ def index(docs: DataFrame, join: Join) -> Index:
     lone = rows.select("at", F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("df"), F.min("at").alias("at")).filter("df = 1")
     lone = lone.groupBy("at").agg(F.count("*").alias("lone"))
     slack = F.expr(f"n * {100 - join.percent} div 100")
-    able = nodes.filter(F.ceil(F.col("n") * join.percent / 100) < F.col("n")).join(lone, "at", "left")
+    # A set that has no room for one more token links to its equals alone; what is left out may lie in no larger set.
+    able = nodes.filter(f"100 * n >= {join.percent} * (n + 1)").join(lone, "at", "left")
     able = written(able.filter(F.coalesce("lone", F.lit(0)) <= slack).select("node", "at", "k1", "k2", "n"), "able")
 
     sets = written(_full_sets(docs, able, join).dropDuplicates(["node"]), "sets")
