@@ -92,6 +92,14 @@ def test_sets_inside_sets_of_one_more_token_link(spark, size, percent):
     assert {r.doc_id for r in jaccard.representatives(docs, join).collect()} == {wanted[i] for i in sets if sets[i]} | {i for i in sets if not sets[i]}
 
 
+def test_lone_tokens_of_a_namesake_do_not_count(spark):
+    one, other = ([f"{c}{k}" for k in range(100)] for c in "ab")
+    docs = spark.createDataFrame([(1, " ".join(one)), (1, " ".join(other)), (2, " ".join(one[1:]))], "doc_id long, text string")
+    join = jaccard.Join(3, 90)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link_components(docs, join).collect()) == [(1, 98, 1), (1, 98, 1), (2, 97, 1)]
+    assert sorted(r.text for r in jaccard.representatives(docs, join).collect()) == sorted([" ".join(one), " ".join(other)])
+
+
 def test_join_of_nulls_long_texts_and_nothing(spark):
     long = " ".join(f"x{i}" for i in range(60_000))
     docs = spark.createDataFrame([(None, "a b c d e f g"), (7, "A B C D E F G"), (None, "q r s t u"), (5, long), (6, long + " y")], "doc_id long, text string")

@@ -128,11 +128,12 @@ def index(docs: DataFrame, join: Join) -> Index:
     nodes = rows.filter("n > 0").groupBy(F.xxhash64("k1", "k2", "n").alias("node"), "k1", "k2", "n").agg(F.min("doc_id").alias("doc_id"), F.min("at").alias("at"))
     nodes = written(nodes, "nodes")
 
-    lone = rows.select("at", F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("df"), F.min("at").alias("at")).filter("df = 1")
-    lone = lone.groupBy("at").agg(F.count("*").alias("lone"))
+    # By class, as different texts may have one id.
+    lone = rows.select(F.xxhash64("k1", "k2", "n").alias("node"), F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("df"), F.min("node").alias("node")).filter("df = 1")
+    lone = lone.groupBy("node").agg(F.count("*").alias("lone"))
     slack = F.expr(f"n * {100 - join.percent} div 100")
     # A set that has no room for one more token links to its equals alone; what is left out may lie in no larger set.
-    able = nodes.filter(f"100 * n >= {join.percent} * (n + 1)").join(lone, "at", "left")
+    able = nodes.filter(f"100 * n >= {join.percent} * (n + 1)").join(lone, "node", "left")
     able = written(able.filter(F.coalesce("lone", F.lit(0)) <= slack).select("node", "at", "k1", "k2", "n"), "able")
 
     sets = written(_full_sets(docs, able, join).dropDuplicates(["node"]), "sets")
