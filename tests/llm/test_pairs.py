@@ -199,6 +199,26 @@ def test_repeated_paragraphs_equal_brute_force(spark):
     assert paragraphs.repeated_paragraphs(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_passages_of_short_sentences_and_lines_repeat_whole(spark):
+    rng = random.Random(4)
+    host = lambda: sentence(rng, 30, "qrstuvé")
+    bits = [sentence(rng, rng.choice([1, 3, 5, 7, 10])) for _ in range(24)]
+    passages = [" ".join(bits[:14]), "\n".join(x[:-1] for x in bits[14:])]
+    docs = [(i, f"{host()} {sentence(rng, 3, 'xyz')}\n{passages[i % 2]}\n{sentence(rng, 2, 'xyz')} {host()}") for i in range(6)]
+    docs += [(6, f"{host()} {bits[0]} {host()} {bits[1]}"), (7, "No. Yes. " * 3)]
+    got = paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    for i, text in docs:
+        mine = sorted((r.start, r.end) for r in got if r.doc_id == i)
+        if i > 5:
+            assert not mine
+            continue
+        at = text.index(passages[i % 2])
+        assert [text[s:e] for s, e in mine] == [x.rstrip(".") if i % 2 else x for x in (bits[14:] if i % 2 else bits[:14])]
+        assert mine[0][0] == at and mine[-1][1] == at + len(passages[i % 2])
+        assert {r.passage_words for r in got if r.doc_id == i} == {len(passages[i % 2].split())}
+        assert {r.removed for r in got if r.doc_id == i} == {i > 1}
+
+
 def test_bands_reach_the_recall():
     bands, rows = paragraphs.tune_bands(80, 0.95)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.95

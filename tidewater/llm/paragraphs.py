@@ -2,6 +2,8 @@
 
 A paragraph is a stretch of text between sentence or line ends with at least ``min_words``
 words.  Paragraphs that small are found again wherever a passage was pasted, also in the middle of a line.
+A shorter stretch is compared word for word together with its neighbours: with the fewest that follow, and the
+fewest that precede it, so that ``min_words`` are reached.  So each stretch of a pasted passage lies in such a unit inside the passage.
 Its set of five-word shingles gets MinHash values, and bands of them are the keys of a join.
 Colliding paragraphs of different wording are verified by the exact Jaccard similarity, and components
 of the links are the clusters; of each cluster the first paragraph (least id, then place) is kept.
@@ -67,6 +69,25 @@ def _paragraphs(column: pa.Array, rule: Rule):
         yield words.row[head], words.start[head], words.end[tail], size, content, tokens, at
 
 
+def _units(row: np.ndarray, size: np.ndarray, content: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, key) of the units around stretches under ``min_words`` words; each range of stretches once."""
+    short = np.flatnonzero(size < rule.min_words)
+    sums = np.append(0, np.cumsum(size))
+    last = np.searchsorted(sums, sums[short] + rule.min_words) - 1
+    first = np.searchsorted(sums, sums[short + 1] - rule.min_words, "right") - 1
+    lo, hi = np.concatenate([short, first]), np.concatenate([last, short])
+    fits = (lo >= 0) & (hi < len(size))
+    lo, hi = lo[fits], hi[fits]
+    same = row[lo] == row[hi]
+    pairs = np.unique(lo[same] * (len(size) + 1) + hi[same])
+    lo, hi = pairs // (len(size) + 1), pairs % (len(size) + 1)
+    key = mix((hi - lo + 1).astype(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
+    for k in range(rule.min_words):  # a unit has a word of each stretch at least
+        on = lo + k <= hi
+        key[on] = mix(key[on] * np.uint64(3) + content[lo[on] + k])
+    return lo, hi, key
+
+
 def _char_places(text: str, places: np.ndarray) -> np.ndarray:
     """Code point offsets of byte offsets of a text."""
     data = np.frombuffer(text.encode(), np.uint8)
@@ -74,14 +95,17 @@ def _char_places(text: str, places: np.ndarray) -> np.ndarray:
 
 
 def band_keys(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(key, content) of every paragraph: its bands, and its content hash as a band of its own."""
+    """(key, content) of every paragraph: its bands, and its content hash as a band of its own; of a unit its key alone."""
     bands, rows = tune_bands(rule.percent, rule.recall)
     seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches):
         for batch in batches:
-            for _, _, _, size, content, tokens, at in _paragraphs(batch.column("text"), rule):
+            for row, _, _, size, content, tokens, at in _paragraphs(batch.column("text"), rule):
                 use = np.flatnonzero(size >= rule.min_words)
+                unit = pa.array(_units(row, size, content, rule)[2].view(np.int64))
+                if len(unit):
+                    yield pa.RecordBatch.from_arrays([unit, unit], ["key", "content"])
                 if not len(use):
                     continue
                 keys = [content[use]]
@@ -158,12 +182,13 @@ def near_links(docs: DataFrame, rule: Rule, mixed: DataFrame) -> tuple[DataFrame
 
 
 def repeated_paragraphs(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """(doc_id, start, end, n_words, cluster, passage_words, removed): paragraphs that repeat.
+    """(doc_id, start, end, n_words, cluster, passage_words, removed): paragraphs, and shorter stretches, that repeat.
 
     ``start`` and ``end`` are code points, end exclusive; ``cluster`` names the component;
     ``passage_words`` counts the words of the repeated paragraphs that stand together, of which at least
     ``rule.min_passage`` are asked for; ``removed`` is false for the first paragraph of its cluster (least id, null last, then
-    place).  Documents without repeats don't appear.  A null text has no paragraph; null ids are kept;
+    place).  A stretch of under ``rule.min_words`` words repeats if one of its units does; its cluster is its place in the
+    unit that is found first of all, and it stays where any of its units is the first of its kind.  Documents without repeats don't appear.  A null text has no paragraph; null ids are kept;
     repeated rows repeat each other.  An empty table gives an empty result.
     """
     counted = band_keys(docs, rule).groupBy("key").agg(F.count("*").alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi")).filter("n > 1")
@@ -186,28 +211,44 @@ def repeated_paragraphs(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
                     text = texts[int(row[a])].as_py()
                     if not text.isascii():
                         start[a:b], end[a:b] = _char_places(text, start[a:b]), _char_places(text, end[a:b])
-                use = np.flatnonzero(size >= rule.min_words)
-                # Short paragraphs in between do not part a passage: count the long ones only.
+                lo, hi, key = _units(row, size, content, rule)
+                # Each short stretch of a unit, with its place in it.
+                many = hi - lo + 1
+                of = np.repeat(np.arange(len(lo)), many)
+                place = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+                part = lo[of] + place
+                little = size[part] < rule.min_words
+                long = np.flatnonzero(size >= rule.min_words)
+                use = np.concatenate([long, part[little]])
+                found = np.concatenate([content[long], key[of[little]]]).view(np.int64)
+                place = np.concatenate([np.full(len(long), -1), place[little]])
+                # Short paragraphs that do not repeat don't part a passage: count the long ones only.
                 rank = np.cumsum(size >= rule.min_words)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(row[use])), pa.array(row[use] + seen), pa.array(rank[use]), pa.array(start[use]), pa.array(end[use]), pa.array(size[use]), pa.array(content[use].view(np.int64))],
-                    ["doc_id", "row", "rank", "start", "end", "n_words", "content"],
+                    [ids.take(pa.array(row[use])), pa.array(row[use] + seen), pa.array(rank[use]), pa.array(start[use]), pa.array(end[use]), pa.array(size[use]), pa.array(found), pa.array(place)],
+                    ["doc_id", "row", "rank", "start", "end", "n_words", "content", "place"],
                 )
             seen += len(texts)
 
-    found = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, row long, rank long, start long, end long, n_words long, content long")
+    found = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, row long, rank long, start long, end long, n_words long, content long, place long")
     found = found.withColumn("task", F.spark_partition_id())
-    hits = found.join(bounded(known), F.col("content") == F.col("node")).select("doc_id", "row", "rank", "start", "end", "n_words", F.col("component").alias("cluster"), "task")
+    hits = found.join(bounded(known), F.col("content") == F.col("node")).select("doc_id", "row", "rank", "start", "end", "n_words", F.when(F.col("place") < 0, F.col("component")).otherwise(F.xxhash64("component", "place")).alias("cluster"), (F.col("place") < 0).alias("long"), "task")
     return _passages(written(hits, "hits"), rule)
 
 
 def _passages(hits: DataFrame, rule: Rule) -> DataFrame:
-    # Repeats in a row have ranks in a row; their difference to a row number is the same.
-    own = W.partitionBy("doc_id", "task", "row").orderBy("start")
-    runs = hits.withColumn("run", F.col("rank") - F.row_number().over(own))
-    runs = runs.withColumn("passage_words", F.sum("n_words").over(W.partitionBy("doc_id", "task", "row", "run")))
+    # Between repeats of one passage no long paragraph is left out: the long ones up to here less the repeated ones stay
+    # the same.  A short stretch has a row for each unit; its words count once.
+    own = W.partitionBy("doc_id", "task", "row").orderBy("start", "cluster")
+    runs = hits.withColumn("again", F.coalesce(F.lag("start").over(own) == F.col("start"), F.lit(False)))
+    runs = runs.withColumn("run", F.col("rank") - F.sum(F.col("long").cast("long")).over(own.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    runs = runs.withColumn("passage_words", F.sum(F.when(F.col("again"), 0).otherwise(F.col("n_words"))).over(W.partitionBy("doc_id", "task", "row", "run")))
     runs = written(runs.filter(f"passage_words >= {rule.min_passage}"), "passages")
     first = runs.groupBy("cluster").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start", "task", "row")).alias("f"), F.count("*").alias("n")).filter("n > 1")
-    out = runs.join(bounded(written(first, "firsts")), "cluster")
+    # Rows too wide and too many to broadcast: every repeated stretch has one.
+    out = runs.join(written(first, "firsts"), "cluster")
     kept = (F.col("doc_id").eqNullSafe(F.col("f.doc_id"))) & (F.col("start") == F.col("f.start")) & (F.col("task") == F.col("f.task")) & (F.col("row") == F.col("f.row"))
-    return out.select("doc_id", "start", "end", "n_words", "cluster", "passage_words", (~kept).alias("removed"))
+    out = out.withColumn("removed", ~kept)
+    short = out.filter("not long").groupBy("doc_id", "task", "row", "start", "end", "n_words", "passage_words").agg(F.min(F.struct("f", "cluster")).alias("c"), F.min("removed").alias("removed"))
+    columns = ["doc_id", "start", "end", "n_words", "cluster", "passage_words", "removed"]
+    return out.filter("long").select(*columns).unionByName(short.withColumn("cluster", F.col("c.cluster")).select(*columns))
