@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, hosts, jaccard, language, mixing, paragraphs, pii, sharding, templates, tokens
+from tidewater.llm import chat, hosts, jaccard, language, merkle, mixing, paragraphs, pii, sharding, templates, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.attribute(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", PIECES)
+
+
+@query("op11_merkle_manifest", merkle.MANIFEST_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    # One more than the greatest long is still a number.
+    other = merkle.leaf("doc_id", "source", "lang", F.col("n_chars").cast("decimal(20,0)") + 1, "text")
+    rows = docs.select("doc_id", "lang", merkle.leaf("doc_id", "source", "lang", "n_chars", "text").alias("leaf"), F.when(tampered, other).alias("tampered"))
+    manifest = merkle.build(rows, "lang", ["doc_id"], "leaf", ["doc_id", "tampered"])
+    return merkle.fold(manifest, "tampered").drop("tampered")
