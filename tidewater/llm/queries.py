@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, hosts, jaccard, language, merkle, mixing, paragraphs, pii, sharding, templates, tokens
+from tidewater.llm import alignment, chat, hosts, jaccard, language, merkle, mixing, paragraphs, pii, sharding, templates, tokens
+from tidewater.llm.common import sha256_hex
+from tidewater.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +104,15 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", "lang", merkle.leaf("doc_id", "source", "lang", "n_chars", "text").alias("leaf"), F.when(tampered, other).alias("tampered"))
     manifest = merkle.build(rows, "lang", ["doc_id"], "leaf", ["doc_id", "tampered"])
     return merkle.fold(manifest, "tampered").drop("tampered")
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    first = alignment.ByteLevel(f"{TOKENIZERS}/byte_bpe_50k.json", PIECES)
+    aligned = alignment.align(docs, first, alignment.Pieces(f"{TOKENIZERS}/piece_bpe_32k.model"))
+    digest = F.when(F.col("n_groups") > 0, sha256_hex(F.col("groups"))).otherwise("")
+    aligned = written(aligned.select("*", digest.alias("groups_sha256"), F.monotonically_increasing_id().alias("row")).drop("groups"), "aligned")
+    usual = alignment.usual_links(aligned, "row", alignment.pair_counts(aligned))
+    rows = aligned.drop("pairs").join(usual, "row", "left").drop("row")
+    return rows.fillna(0, ["n_best", "count_sum"])
