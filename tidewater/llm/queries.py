@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import alignment, chat, hosts, jaccard, language, merkle, mixing, paragraphs, pii, sharding, templates, tokens
+from tidewater.llm import alignment, chat, hosts, jaccard, language, merkle, mixing, neighbours, paragraphs, pii, sharding, templates, tokens
 from tidewater.llm.common import sha256_hex
 from tidewater.session import written
 
@@ -116,3 +116,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     usual = alignment.usual_links(aligned, "row", alignment.pair_counts(aligned))
     rows = aligned.drop("pairs").join(usual, "row", "left").drop("row")
     return rows.fillna(0, ["n_best", "count_sum"])
+
+
+@query("op13_cosine_neighbours", neighbours.NEAREST_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
