@@ -20,7 +20,7 @@ def plain(value):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "conversations", "benchmark"):
+    for t in ("documents", "conversations", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, SF), duck.sql(queries.ORACLES[name])
     columns = sorted(got.columns)
