@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.contracts import IOT, WEATHER, BreakerPolicy, LifecycleSpec, SinkSpec, SourceSpec, WatermarkSpec
 from tidewater.functions.expressions import ExpressionError, sql_column
 from tidewater.operators.facts import write_fact
+from tidewater.operators import lifecycle
 from tidewater.operators.lifecycle import purge_table, rollup_then_purge
 from tidewater.operators.tables import Layers, append_batch, partition_values
 from tidewater.plans.load_queries import load_of, two_loads
@@ -38,6 +39,46 @@ def reading(city, minute=1, temperature=1.0):
     return {"city": city, "temperature": temperature, "forecast_timestamp": (AT + dt.timedelta(minutes=minute)).isoformat(" ")}
 
 
+def seen_rows(spark, name):
+    return sorted(((r["k"], r["t"] and r["t"].day, r["_batch_id"]) for r in spark.table(name).collect()), key=str)
+
+
+def seen_batch(spark, *rows):
+    return spark.createDataFrame([(k, None if d is None else AT + dt.timedelta(days=d - 1)) for k, d in rows], "k string, t timestamp")
+
+
+def test_rows_without_event_time_are_kept_once(spark, layers):
+    name = layers.table("silver", "seen")
+    sink = FirstSeen(name, ["k"], "t", "d", horizon_days=2)
+    sink(seen_batch(spark, ("a", None), ("b", None), ("b", 3)), 0)  # all without a day but one
+    for _ in range(2):
+        sink(seen_batch(spark, ("a", None), ("b", None), ("c", None), ("a", 20), ("d", 20)), 1)
+    assert seen_rows(spark, name) == [("a", None, 0), ("b", 3, 0), ("c", None, 1), ("d", 20, 1)]
+    sink(seen_batch(spark, (None, None), (None, 5)), 2)
+    sink(seen_batch(spark, (None, 5)), 3)
+    assert [r for r in seen_rows(spark, name) if r[0] is None] == [(None, 5, 2), (None, 5, 3), (None, None, 2)]
+
+
+def test_a_key_may_come_again_beyond_the_horizon(spark, layers):
+    name = layers.table("silver", "seen")
+    sink = FirstSeen(name, ["k"], "t", "d", horizon_days=2)
+    for batch, day in enumerate((5, 7, 4, 10, 20)):
+        sink(seen_batch(spark, ("a", day), ("x", 5 + batch)), batch)
+    assert seen_rows(spark, name) == [("a", 10, 3), ("a", 20, 4), ("a", 5, 0), ("x", 5, 0), ("x", 8, 3)]
+
+
+def test_days_that_cannot_hold_a_key_are_not_read(spark, layers):
+    name = layers.table("silver", "seen")
+    sink = FirstSeen(name, ["k"], "t", "d", horizon_days=30)
+    sink(seen_batch(spark, *((f"k{d}", d) for d in range(1, 11))), 0)
+    for file in spark.table(name).filter("d = '2024-01-04'").inputFiles():
+        with open(file.removeprefix("file://").removeprefix("file:"), "wb") as out:
+            out.write(b"whoever reads this fails")
+    sink(seen_batch(spark, ("k2", 12), ("k9", 12), ("new", 12)), 1)
+    rest = spark.table(name).filter("d > '2024-01-10'").collect()
+    assert [(r["k"], r["_batch_id"]) for r in rest] == [("new", 1)]
+
+
 def test_every_day_and_flag_is_landed(spark):
     days = spark.createDataFrame([(d,) for d in (None, -1, 0, 9, 10, 29, 30, 45, 400)], "batch_id long")
     drops = [r[0] for r in days.select(drop_of()).collect()]
@@ -122,6 +163,48 @@ def test_stragglers_add_to_the_gold_rows_of_their_day(spark, layers):
     assert gold(day + dt.timedelta(days=16)) == added and gold(day + dt.timedelta(days=17)) == added
 
 
+@pytest.mark.parametrize("dies_in", ["intend_purge", "drop_partitions", "overwrite_partitions"])
+def test_a_lost_purge_keeps_gold_whole(spark, layers, monkeypatch, dies_in):
+    """Ten degrees are rolled up; the run dies before, in or after the drop; fifty degrees come late."""
+    name, day = layers.table("silver", IOT.domain), dt.date(2024, 1, 1)
+
+    def store(batch, degrees):
+        made = [("s", "l", degrees, 1.0, 1.0, 1.0, AT, day, batch)]
+        schema = "sensor_id string, location_id string, temperature double, humidity double, ph double, soil_moisture double, reading_timestamp timestamp, reading_date date, _batch_id long"
+        append_batch(spark.createDataFrame(made, schema), name, ["reading_date"])
+
+    def run():
+        gold, _ = rollup_then_purge(spark, layers, IOT, day + dt.timedelta(days=20))
+        (row,) = spark.table(gold).collect()
+        return row["min_temperature"], row["max_temperature"], row["avg_temperature"]
+
+    def die(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    store(0, 10.0)
+    own, calls = getattr(lifecycle, dies_in), []
+
+    def last_but_one(*args, **kwargs):
+        # The ledger is written when the purge is noted, and again, as the last step, when it is done.
+        calls.append(args)
+        if dies_in != "overwrite_partitions" or (args[1].endswith("_purges") and sum(a[1].endswith("_purges") for a in calls) == 2):
+            die()
+        return own(*args, **kwargs)
+
+    def on_dropping(spark_, name_, specs):
+        return die() if specs else own(spark_, name_, specs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lifecycle, dies_in, on_dropping if dies_in == "drop_partitions" else last_but_one)
+        with pytest.raises(RuntimeError, match="lost"):
+            run()
+    store(1, 50.0)
+    for _ in range(2):
+        assert run() == (10.0, 50.0, 30.0)
+    store(0, 10.0)  # a batch that was purged is run once more
+    assert run() == (10.0, 50.0, 30.0) and spark.table(name).count() == 0
+
+
 def test_purge_takes_partitions_of_any_name(spark, layers):
     name = layers.table("silver", "odd")
     keys = ["s:x", "s:'x", "a b/c", "100%", "x=y", "plus+", None, "back\\slash"]

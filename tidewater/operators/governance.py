@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.contracts import CONTRACTS, Contract, struct_type
-from tidewater.operators.tables import Layers, create_table, overwrite_partitions
+from tidewater.operators.lifecycle import AUDIT_SCHEMA
+from tidewater.operators.tables import SEGMENT, Layers, create_table, overwrite_partitions
 from tidewater.operators.upsert import KEY_BUCKET, partition_layout
 
 ACTIVE, DEPRECATED = "active", "deprecated"
@@ -55,6 +56,11 @@ TABLES: dict[tuple[str, str], tuple[str, tuple[str, ...], str]] = {
         ("domain",),
         "One row per dataset and contract version",
     ),
+    ("system", "lifecycle_audit"): (
+        f"{AUDIT_SCHEMA}, _batch_id long",
+        ("_batch_id", "operation_type", "table_name"),
+        "One row per maintenance operation",
+    ),
 }
 
 
@@ -73,7 +79,8 @@ def create_tables(spark: SparkSession, layers: Layers, contracts: dict[str, Cont
             if p not in schema.names:
                 schema = schema.add(p, T.IntegerType() if p == KEY_BUCKET else T.DateType())
         if contract.sink.mode == "append":
-            parts.append("_batch_id")
+            schema = schema.add(SEGMENT, T.StringType())
+            parts.append(SEGMENT)
         name = layers.table("silver", contract.domain)
         create_table(spark, name, schema, parts, "Clean rows", {"load_mode": contract.sink.mode})
         names.append(name)

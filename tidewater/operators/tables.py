@@ -1,7 +1,7 @@
 """Catalog tables of the layers, and the writes that may be repeated safely.
 
-Every append table ends its partitioning with ``_batch_id``.  A batch overwrites
-only the partitions it fills, so a batch that is run again replaces its own rows.
+Every append table ends its partitioning with ``_segment``, which says what batches a partition is of.  A batch overwrites
+only the partitions it fills, so a batch that is run again replaces its own rows; closed batches are folded later (``compaction``).
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +19,9 @@ from pyspark.sql import types as T
 from tidewater.contracts import Contract
 from tidewater.functions.scalars import row_salt
 
+#: Last partition column of an append table: first and last batch of the partition's rows.
+SEGMENT = "_segment"
+
 LAYERS = {
     "bronze": "Raw rows as landed",
     "silver": "Clean rows with lineage columns",
@@ -120,29 +122,79 @@ def _for_table(
 def switch_partitions(df: DataFrame, name: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
     """Replace the partitions that ``df`` has rows for without touching the stored ones before the new ones are whole.
 
-    The rows go to new folders; then each partition is pointed to its folder and the old one is
-    removed.  A run that ends in between leaves every row in one version or the other, for rows that no replay
-    of the batch would bring back.
+    The rows go to a folder of this run; then new partitions are added by the hundred and stored ones pointed to
+    their new folder.  A run that ends in between leaves every row in one version or the other, for rows that no replay
+    of the batch would bring back.  Folders that are no longer pointed to stay for one more run, for queries that still read them:
+    the next run removes them.
     """
     spark = df.sparkSession
+    location = table_location(spark, name)
+    _remove_retired(spark, location)
+    specs = append_rows_to(df, f"{location}/_versions/{uuid.uuid4().hex[:12]}", name, partition_by, cluster_by)
+    written = set(specs)
+    stored = {tuple(sorted(r["spec"].items())) for r in partition_values(spark, name).collect()} if written else set()
+    new = sorted(path for path, spec in specs.items() if tuple(sorted(spec.items())) not in stored)
+    old = sorted(written.difference(new))
+    retired = {f.rpartition("/")[0] for f in _files_of(spark.table(name), [specs[path] for path in old])}
+    add_partitions(spark, name, [(specs[path], path) for path in new])
+    for path in old:
+        spark.sql(f"ALTER TABLE {name} PARTITION ({_spec(specs[path])}) SET LOCATION {_quoted(path)}")
+    if retired:
+        list_of = spark.createDataFrame([(unquote(f),) for f in sorted(retired)], "folder string")
+        list_of.coalesce(1).write.mode("overwrite").parquet(f"{location}/_retired")
+    spark.catalog.refreshTable(name)
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return details.select("data_type").first()[0].rstrip("/")
+
+
+def append_rows_to(df: DataFrame, folder: str, name: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> dict[str, dict[str, str | None]]:
+    """Write rows of the table to a new folder, by partition; gives the partitions' folders and values."""
     rows = _for_table(df, name, partition_by, cluster_by, {})
-    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").select("data_type").first()[0]
-    folder = f"{location.rstrip('/')}/_versions/{uuid.uuid4().hex[:12]}"
     rows.write.partitionBy(*partition_by).parquet(folder)
-    files = spark.read.schema(rows.drop(*partition_by).schema).parquet(folder).select(F.col("_metadata.file_path").alias("path"))
-    written = {unquote(r["path"].rpartition("/")[0]) for r in files.distinct().collect()}
-    for path in sorted(written):
-        # Folder names are escaped once more than the values they stand for.
-        spec = dict(map(unquote, p.split("=", 1)) for p in path.split("/")[-len(partition_by) :])
-        spec = {k: None if v == "__HIVE_DEFAULT_PARTITION__" else v for k, v in spec.items()}
-        old = _partition_location(spark, name, spec)
-        clause = f"PARTITION ({_spec(spec)})"
-        if old is None:
-            spark.sql(f"ALTER TABLE {name} ADD {clause} LOCATION {_quoted(path)}")
-        else:
-            spark.sql(f"ALTER TABLE {name} {clause} SET LOCATION {_quoted(path)}")
-            _remove_folder(spark, old)
-    spark.catalog.refreshTable(name)
+    files = df.sparkSession.read.schema(rows.drop(*partition_by).schema).parquet(folder).select(F.col("_metadata.file_path").alias("path"))
+    paths = {unquote(r["path"].rpartition("/")[0]) for r in files.distinct().collect()}
+    return {path: _folder_spec(path, len(partition_by)) for path in sorted(paths)}
+
+
+def add_partitions(spark: SparkSession, name: str, places: Sequence[tuple[Mapping[str, object], str]]) -> None:
+    """Add partitions with their folders, by the hundred; those that are there already stay as they are."""
+    for start in range(0, len(places), 100):
+        clauses = " ".join(f"PARTITION ({_spec(spec)}) LOCATION {_quoted(path)}" for spec, path in places[start : start + 100])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {clauses}")
+
+
+def _folder_spec(path: str, depth: int) -> dict[str, str | None]:
+    """Partition values of a folder; names in paths are escaped once more than the values they stand for."""
+    spec = dict(map(unquote, p.split("=", 1)) for p in path.split("/")[-depth:])
+    return {k: None if v == "__HIVE_DEFAULT_PARTITION__" else v for k, v in spec.items()}
+
+
+def _files_of(table: DataFrame, specs: Sequence[Mapping[str, object]]) -> list[str]:
+    """Files of some partitions, listed without opening them."""
+    files: list[str] = []
+    for start in range(0, len(specs), 100):
+        wanted = F.lit(False)
+        for spec in specs[start : start + 100]:
+            own = F.lit(True)
+            for column, value in spec.items():
+                own = own & F.col(f"`{column}`").eqNullSafe(F.lit(value).cast(table.schema[column].dataType))
+            wanted = wanted | own
+        files += table.filter(wanted).inputFiles()
+    return files
+
+
+def _remove_retired(spark: SparkSession, location: str) -> None:
+    """Remove the folders that the last run took out of the table."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{location}/_retired")
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(hadoop):
+        return
+    for row in spark.read.schema("folder string").parquet(f"{location}/_retired").collect():
+        _remove_folder(spark, row["folder"])
+    system.delete(hadoop, True)
 
 
 def _quoted(value: object) -> str:
@@ -153,17 +205,6 @@ def _spec(spec: Mapping[str, object]) -> str:
     return ", ".join(f"`{k}` = {_quoted(v)}" for k, v in spec.items())
 
 
-def _partition_location(spark: SparkSession, name: str, spec: Mapping[str, object]) -> str | None:
-    """Folder of one partition, None if there is no such partition."""
-    try:
-        lines = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({_spec(spec)})")
-        found = [r["data_type"] for r in lines.filter("col_name = 'Location'").collect()]
-    except AnalysisException:
-        return None
-    # The partition's own location comes before the table's.
-    return found[0] if found else None
-
-
 def _remove_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -183,13 +224,8 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 def bronze_append(df: DataFrame, layers: Layers, contract: Contract, batch_id: int) -> str:
     """Distinct raw rows of one batch, rescued data included; new columns widen the table."""
-    spark, name = df.sparkSession, layers.table("bronze", contract.domain)
     batch = {"_batch_id": F.lit(batch_id).cast("bigint")}
-    schema = df.withColumns(batch).schema
-    create_table(spark, name, schema, ["_batch_id"], "Raw rows as landed, one partition per batch")
-    add_missing_columns(spark, name, schema)
-    overwrite_partitions(df.dropDuplicates(), name, ["_batch_id"], constants=batch)
-    return name
+    return append_batch(df.dropDuplicates(), layers.table("bronze", contract.domain), comment="Raw rows as landed", constants=batch)
 
 
 def append_batch(
@@ -200,15 +236,29 @@ def append_batch(
     comment: str = "",
     constants: Mapping[str, Column] | None = None,
 ) -> str:
-    """Rows of one batch, by their ``_batch_id``; new columns widen the table."""
-    partitions = [*partition_by, "_batch_id"]
-    schema = df.withColumns(dict(constants or {})).schema
+    """Rows of one batch, by their ``_batch_id``, as a segment of their own; new columns widen the table."""
+    constants = dict(constants or {})
+    if "_batch_id" in constants:
+        constants[SEGMENT] = _own_segment(constants["_batch_id"])
+    else:
+        df = df.withColumn(SEGMENT, _own_segment(F.col("_batch_id")))
+    partitions = [*partition_by, SEGMENT]
+    schema = df.withColumns(constants).schema
     create_table(df.sparkSession, name, schema, partitions, comment)
     add_missing_columns(df.sparkSession, name, schema)
     overwrite_partitions(df, name, partitions, cluster_by, constants)
     return name
 
 
+def _own_segment(batch: Column) -> Column:
+    text = batch.cast("string")
+    return F.concat(text, F.lit("-"), text)
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def partition_values(spark: SparkSession, name: str) -> DataFrame:
     """The table's partition values, read from the catalog alone, as text columns.
 

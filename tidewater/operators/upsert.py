@@ -15,26 +15,29 @@ from pyspark.sql import functions as F
 
 from tidewater.contracts import Contract
 from tidewater.operators.dedup import best_per_key, distinct_rows
+from tidewater.operators.keyindex import KeyIndex
 from tidewater.operators.tables import Layers, append_batch, create_table, drop_partitions, switch_partitions
 from tidewater.session import written
 
 # Table providers that can MERGE by themselves.
 MERGE_PROVIDERS = ("delta", "iceberg")
 KEY_BUCKET = "_key_bucket"
+#: Buckets of the index of key places: enough that a batch's tasks share them, few enough that each is a file or two.
+INDEX_BUCKETS = 64
 
 
 def has_keys(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
 
 
-def source_winners(source: DataFrame, keys: Sequence[str], event_time: str, latest: bool = True) -> DataFrame:
-    """One row per key, the latest or earliest; rows with a NULL key are kept, exact copies of them once.
+def source_winners(source: DataFrame, keys: Sequence[str], event_time: str, latest: bool = True, then: Sequence[str] = ()) -> DataFrame:
+    """One row per key, the latest or earliest by ``event_time`` and ``then``; rows with a NULL key are kept, exact copies of them once.
 
     A row with a NULL key is grouped by all its values, so one pass serves both.
     """
     whole_row = F.struct(*(c for c in source.columns if c not in (*keys, "_file_path")))
     marked = source.withColumn("_keyless", F.when(~has_keys(keys), whole_row))
-    return best_per_key(marked, [*keys, "_keyless"], [event_time], latest).drop("_keyless")
+    return best_per_key(marked, [*keys, "_keyless"], [event_time, *then], latest).drop("_keyless")
 
 
 def matched(winners: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -82,9 +85,9 @@ def merge_table(
 
     A table whose provider can merge does so.  For plain parquet tables only the
     partitions with a changed row are rewritten: those of the source rows and
-    those that hold the old version of an updated row.  Old versions are found by
-    reading key and partition columns alone, and not at all where the partition
-    follows from the key or the contract promises that rows do not move.  Running the same batch again gives the same table.
+    those that hold the old version of an updated row.  Where rows may move, the old versions' partitions come from
+    the stored index of key places (``KeyIndex``); no other partition is read.  Where the partition
+    follows from the key, or the contract promises that rows do not move, there is no index.  Running the same batch again gives the same table.
     """
     name, keys = layers.table("silver", contract.domain), list(contract.sink.merge_keys)
     layout = partition_layout(contract)
@@ -103,9 +106,15 @@ def merge_table(
     try:
         arriving = {tuple(r) for r in winners.select(*parts).distinct().collect()}
         leaving: set[tuple] = set()
+        index = None
         if contract.sink.partition_moves and not contract.sink.key_buckets:
-            old = target.select(*keys, *parts).join(winners.select(*keys), keys, "left_semi")
-            leaving = {tuple(r) for r in old.select(*parts).distinct().collect()}
+            index = key_index(spark, layers, contract, parts)
+            if not index.exists:
+                index.build(target.filter(has_keys(keys)).select(*keys, *parts))
+            keyed = winners.filter(has_keys(keys)).select(*keys, *parts)
+            located = index.locate(keyed)
+            leaving = {tuple(r) for r in located.select(F.explode("places").alias("p")).select("p.*").distinct().collect()}
+            index.announce(keyed, located)
         touched = sorted(arriving | leaving, key=str)
         kept = target.filter(_in_partitions(parts, touched)).join(winners.select(*keys), keys, "left_anti")
         # Partitions that only lost rows may end up empty; an overwrite would leave them as they were.
@@ -116,11 +125,17 @@ def merge_table(
         result = kept.unionByName(winners.withColumns(constants).select(*kept.columns))
         switch_partitions(result, name, parts, contract.sink.cluster_by)
         drop_partitions(spark, name, [dict(zip(parts, values)) for values in sorted(emptied, key=str)])
+        if index:
+            index.commit()
     finally:
         winners.unpersist()
     return name
 
 
+def key_index(spark: SparkSession, layers: Layers, contract: Contract, parts: Sequence[str]) -> KeyIndex:
+    return KeyIndex(spark, layers.table("system", f"{contract.domain}_key_places"), contract.sink.merge_keys, parts, INDEX_BUCKETS)
+
+
 def write_clean(
     spark: SparkSession,
     rows: DataFrame,

@@ -19,14 +19,16 @@ from tidewater.contracts import (
     SourceSpec,
     WatermarkSpec,
 )
+from tidewater.operators.compaction import Compactor
 from tidewater.operators.dedup import distinct_rows
 from tidewater.operators.metadata import inject_metadata
 from tidewater.operators.splits import split_valid
-from tidewater.operators.tables import append_batch, bronze_append
-from tidewater.operators.upsert import matched, source_winners, unmatched, upsert, write_clean
+from tidewater.operators.tables import SEGMENT, append_batch, bronze_append, partition_values
+from tidewater.operators.upsert import matched, merge_table, source_winners, unmatched, upsert, write_clean
 from tidewater.plans.batch_queries import FAULTY_SQL, faulty_iot
 from tidewater.plans.mapping import (
     BAD_READING_SQL,
+    EPOCH_DAY,
     INGEST_TIME,
     INVENTORY_SQL,
     IOT_SQL,
@@ -173,6 +175,36 @@ def merge_null_keys(spark, sf_dir):
     return upsert(target, source, INVENTORY_KEYS, INVENTORY.event_time_column)
 
 
+def _moved_sql() -> str:
+    """Three loads: all lines on one of twenty days, then returned and accepted ones three days on, then accepted ones two more."""
+    rest = ", ".join(c for c in SALES_FIELDS if c not in ("amount", "transaction_timestamp", "transaction_date"))
+    loads = " UNION ALL ".join(
+        f"""SELECT {rest}, amount + {b} AS amount, DATE '2024-01-01' + CAST(quantity % 20 + {days} AS INTEGER) AS transaction_date,
+          transaction_date AS transaction_timestamp, {b} AS b FROM sales WHERE {chosen}"""
+        for b, (chosen, days) in enumerate((("true", 1), ("flag IN ('R', 'A')", 4), ("flag = 'A'", 6)))
+    )
+    order = _ordered(SALES_FIELDS, SALES_KEYS, "transaction_timestamp")
+    return f"""WITH sales AS (SELECT * EXCLUDE (transaction_date, transaction_timestamp) FROM ({SALES_SQL})), loads AS ({loads}),
+      placed AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY b DESC, {order}) AS rn FROM loads)
+    SELECT transaction_id, customer_id, amount, transaction_date FROM placed WHERE rn = 1"""
+
+
+@query("merge_moved_keys", _moved_sql(), dates="transaction_date")
+def merge_moved_keys(spark, sf_dir):
+    """Lines land on one of twenty days; most are corrected once or twice, and move to later days.
+
+    The sink is the contract's own, by day: moved keys are found in the index of key places.
+    """
+    layers, contract = new_layers(spark), SALES.with_options(metadata=())
+    rows = sales(spark, sf_dir)
+    for flags, days, more in ((None, 1, 0), (("R", "A"), 4, 1), (("A",), 6, 2)):
+        load = rows if flags is None else rows.filter(F.col("flag").isin(*flags))
+        day = F.date_add(F.lit(EPOCH_DAY), (F.col("quantity") % 20 + days).cast("int"))
+        load = load.withColumns({"transaction_date": day, "transaction_timestamp": day.cast("timestamp"), "amount": F.col("amount") + more})
+        name = merge_table(spark, load.select(*SALES_FIELDS), layers, contract)
+    return spark.table(name).select("transaction_id", "customer_id", "amount", "transaction_date")
+
+
 # -- table writes ------------------------------------------------------------------
 
 
@@ -191,7 +223,7 @@ def bronze(spark, sf_dir):
     for _ in range(2):
         bronze_append(rows.unionByName(rows), layers, WEATHER, 0)
     name = bronze_append(rows.withColumn("firmware", firmware()), layers, WEATHER, 1)
-    return spark.table(name)
+    return spark.table(name).drop(SEGMENT)
 
 
 @query(
@@ -208,7 +240,7 @@ def silver_append(spark, sf_dir):
     for drop in (*range(DROPS), 1):
         batch = rows.filter(drop_of() == drop).drop("batch_id", "event_id")
         name = write_clean(spark, inject_metadata(batch, bare, drop, INGEST_TIME).drop("_schema_version_id"), layers, bare)
-    return spark.table(name)
+    return spark.table(name).drop(SEGMENT)
 
 
 @query(
@@ -236,6 +268,34 @@ def silver_route(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+#: Batches of the compaction query, and how many segments of a size are folded.
+FOLDED_BATCHES, FAN = 9, 3
+
+
+@query(
+    "compact_batches",
+    f"""WITH weather AS ({WEATHER_SQL}), batches AS (SELECT *, CAST(event_id % {FOLDED_BATCHES} AS BIGINT) AS b FROM weather)
+    SELECT forecast_date, b AS _batch_id, count(*) AS n, count(DISTINCT event_id) AS events, max(temperature) AS hottest, true AS few_segments
+    FROM batches GROUP BY forecast_date, b""",
+    dates="forecast_date",
+)
+def compact_batches(spark, sf_dir):
+    """Nine batches, each with rows of every day; closed ones are folded after each batch, and the last one runs again."""
+    layers = new_layers(spark)
+    rows = weather(spark, sf_dir).drop("batch_id").withColumn("_batch_id", F.col("event_id") % FOLDED_BATCHES)
+    name, compactor = layers.table("silver", "weather"), Compactor(spark, layers.table("system", "weather_folds"), FAN)
+    for b in (*range(FOLDED_BATCHES), FOLDED_BATCHES - 1):
+        append_batch(rows.filter(F.col("_batch_id") == b), name, ["forecast_date"])
+        compactor.compact(name, b, ["forecast_date", "city"])
+    segments = partition_values(spark, name).groupBy(F.col("spec")["forecast_date"].alias("day")).count()
+    # Fewer than the fan of each size, and the open batch.
+    few = segments.agg(F.max("count") <= 2 * (FAN - 1) + 1).first()[0]
+    counts = spark.table(name).groupBy("forecast_date", "_batch_id").agg(
+        F.count("*").alias("n"), F.countDistinct("event_id").alias("events"), F.max("temperature").alias("hottest")
+    )
+    return counts.withColumn("few_segments", F.lit(few))
+
+
 @query("quarantine_rows", FAULTY_SQL + " SELECT event_id, reason, CAST(3 AS BIGINT) AS batch FROM faulty WHERE reason IS NOT NULL")
 def quarantine_rows(spark, sf_dir):
     """Corrupt rows with their reason, stored once although they landed twice and ran twice."""
@@ -450,17 +510,16 @@ def _merged_drops_sql(base: str, columns: list[str], keys: list[str], event_time
     dates="transaction_date",
 )
 def ingest_sales(spark, sf_dir):
-    """Three drops; updated rows stay in their key's partition."""
-    contract = SALES.with_options(source=SourceSpec("parquet", max_bytes_per_trigger=None), sink=BY_KEY)
+    """Three drops; an updated row leaves the month it was in."""
+    contract = SALES.with_options(source=SourceSpec("parquet", max_bytes_per_trigger=None), sink=MONTHLY)
     rows = sales(spark, sf_dir)
     drops = [rows.filter(load_of() == load).select(*SALES_FIELDS) for load in LOADS]
     job = ingest_drops(spark, contract, drops, "parquet")
     return spark.table(job.layers.table("silver", SALES.domain)).select(*SALES_FIELDS, "_batch_id")
 
 
-# The given order lines spread thinly over seven years, so days would be tiny partitions.  By a hash of
-# the key a changed day moves no row, so no batch has to look for old versions in the whole table.
-BY_KEY = replace(SALES.sink, key_buckets=8)
+# The given order lines spread thinly over seven years, so days would be tiny partitions.
+MONTHLY = replace(SALES.sink, partition_grain="month")
 
 
 @query(
@@ -500,3 +559,49 @@ def stream_dedup(spark, sf_dir):
             availableNow=True
         ).start().awaitTermination()
     return spark.table(name).select(*fields, "_batch_id")
+
+
+def _first_seen_sql(days: int) -> str:
+    """What three loads leave, each checked against the stored rows of those before it."""
+    columns = "operation_id, product_id, warehouse_id, quantity_available, at"
+    order = "at IS NULL, at, product_id, warehouse_id, quantity_available"
+
+    def near(one: str, other: str) -> str:
+        return f"({one}.at IS NULL OR {other}.at IS NULL OR date_trunc('month', {other}.at) >= date_trunc('month', {one}.at) - INTERVAL {days} DAYS)"
+
+    stored, tables = "SELECT * FROM s0", ["s0 AS (SELECT * FROM firsts WHERE b = 0)"]
+    for b in (1, 2):
+        tables.append(
+            f"s{b} AS (SELECT * FROM firsts f WHERE b = {b} AND NOT EXISTS (SELECT 1 FROM ({stored}) s WHERE s.operation_id = f.operation_id AND {near('f', 's')}))"
+        )
+        stored += f" UNION ALL SELECT * FROM s{b}"
+    return f"""WITH inventory AS ({INVENTORY_SQL}), timed AS (
+      SELECT operation_id, product_id, warehouse_id, quantity_available, {LOAD_SQL} AS b,
+        CASE WHEN quantity_reserved = 7 THEN NULL ELSE last_updated_timestamp END AS at FROM inventory),
+      firsts AS (SELECT {columns}, b FROM (
+        SELECT *, row_number() OVER (PARTITION BY b, operation_id ORDER BY {order}) AS rn FROM timed) WHERE rn = 1),
+      {", ".join(tables)}
+    SELECT operation_id, product_id, warehouse_id, quantity_available, at AS last_updated_timestamp, CAST(b AS BIGINT) AS _batch_id FROM ({stored})"""
+
+
+BOUNDED_DAYS = 400
+
+
+@query("stream_dedup_bounded", _first_seen_sql(BOUNDED_DAYS))
+def stream_dedup_bounded(spark, sf_dir):
+    """Each operation is kept once within a horizon; some have no event time.  Months that cannot hold a key are not read."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    fields = ["operation_id", "product_id", "warehouse_id", "quantity_available", "last_updated_timestamp"]
+    contract = INVENTORY.with_options(source=SourceSpec("parquet", max_bytes_per_trigger=None))
+    name = new_layers(spark).table("silver", "operations")
+    sink = FirstSeen(name, ["operation_id"], "last_updated_timestamp", "month", horizon_days=BOUNDED_DAYS, grain="month")
+    rows = inventory(spark, sf_dir)
+    timeless = F.when(F.col("quantity_reserved") != 7, F.col("last_updated_timestamp"))
+    rows = rows.withColumn("last_updated_timestamp", timeless)
+    for load in LOADS:
+        write_landing(rows.filter(load_of() == load).select(*INVENTORY_FIELDS), landing, "parquet")
+        stream = stream_landing(spark, contract, landing).select(*fields)
+        stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+    return spark.table(name).select(*fields, "_batch_id")

@@ -21,10 +21,11 @@ from tidewater.contracts import Contract
 from tidewater.functions.moments import collected, utc
 from tidewater.operators.alerts import record_alert
 from tidewater.operators.breaker import CLOSED, BreakerState, next_state, quarantine_attempts
+from tidewater.operators.compaction import Compactor
 from tidewater.operators.dedup import distinct_rows
 from tidewater.operators.metadata import batch_constants, inject_row_metadata
 from tidewater.operators.splits import is_corrupt, is_late, split_late, split_valid
-from tidewater.operators.tables import Layers, append_batch, bronze_append, create_table, overwrite_partitions
+from tidewater.operators.tables import Layers, append_batch, bronze_append
 from tidewater.operators.upsert import write_clean
 from tidewater.sources.evolution import evolve, observed_fields
 from tidewater.sources.landing import landed_schema, read_landed_files, stream_file_names, stream_landing, stream_lines
@@ -70,6 +71,7 @@ class Ingest:
         Tables belong to one checkpoint: batches of another one would replace theirs, so it is refused.
         """
         self.layers.create(self.spark)
+        Compactor(self.spark, self.layers.table("system", f"{self.contract.domain}_folds")).recover()
         if self.spark.catalog.tableExists(self.state_table):
             # Batches write from a session of their own; this one may still list the files they replaced.
             self.spark.catalog.refreshTable(self.state_table)
@@ -89,6 +91,28 @@ class Ingest:
 
     def run(self, landing: str, checkpoint: str) -> None:
         self.start(landing, checkpoint).awaitTermination()
+        self.compact()
+
+    def compact(self, fan: int = 8) -> int:
+        """Fold the closed batches of the append tables; gives the number of partitions that went.
+
+        A stream repeats its last batch at most, so all before the last one that left a state are closed.
+        """
+        c, spark = self.contract, self.spark
+        if not spark.catalog.tableExists(self.state_table):
+            return 0
+        spark.catalog.refreshTable(self.state_table)
+        last = spark.table(self.state_table).agg(F.max("_batch_id")).first()[0]
+        tables = {
+            self.layers.table("bronze", c.domain): (),
+            self.layers.table("bronze", f"{c.domain}_late"): (),
+            self.layers.table("quarantine", c.domain): (),
+            self.state_table: (),
+        }
+        if c.sink.mode == "append":
+            tables[self.layers.table("silver", c.domain)] = c.sink.cluster_by
+        compactor = Compactor(spark, self.layers.table("system", f"{c.domain}_folds"), fan)
+        return sum(compactor.compact(name, last, cluster) for name, cluster in tables.items() if spark.catalog.tableExists(name))
 
     @property
     def _evolves(self) -> bool:
@@ -223,7 +247,7 @@ class Ingest:
         return self.layers.table("system", f"{self.contract.domain}_batches")
 
     def previous(self, spark: SparkSession, batch_id: int) -> tuple[dict, bool]:
-        """(state, refused before): the state that this batch left if it was refused, else that of the batch before; two partitions are read."""
+        """(state, refused before): the state that this batch left if it was refused, else that of the batch before; two of its rows are read."""
         if spark.catalog.tableExists(self.state_table):
             rows = spark.table(self.state_table).filter(F.col("_batch_id").isin(batch_id, batch_id - 1)).collect()
             own = {r["_batch_id"]: r for r in rows}
@@ -244,5 +268,4 @@ class Ingest:
             clean, elapsed, elapsed > self.contract.max_batch_minutes * 60_000, at, refused, self._checkpoint, batch_id,
         )
         line = spark.createDataFrame([row], STATE_SCHEMA)
-        create_table(spark, self.state_table, line.schema, ["_batch_id"], "One row per batch: counts, watermark, breaker")
-        overwrite_partitions(line, self.state_table, ["_batch_id"])
+        append_batch(line, self.state_table, comment="One row per batch: counts, watermark, breaker")
