@@ -120,24 +120,21 @@ class _Side:
     def __init__(self, encode, entries: list[bytes]):
         self.encode, self.entries = encode, entries
         self.lengths = np.array([len(e) for e in entries], np.int64)
+        self.spelling, self.offsets = np.frombuffer(b"".join(entries), np.uint8), np.cumsum(self.lengths) - self.lengths
         # What is written for a token before another of its own, before the other side, and at the end of a group.
         self.written = [f"{i}{mark}" for i in range(len(entries)) for mark in ",|;"]
 
-    def ids(self, text: str, data: list[bytes]) -> np.ndarray | None:
-        """Ids of a text that was cut into pieces with these bytes; None if the tokens do not spell them."""
-        found = []
-        for piece, own in zip(_pieces(text), data, strict=True):
-            ids = self.encode(piece[1:] if found else piece)
-            ids = np.asarray(ids, np.int64)
-            if b"".join(map(self.entries.__getitem__, ids.tolist())) != own:
-                return None
-            found.append(ids)
-        return np.concatenate(found)
-
-
-def _bytes_of(text: str) -> list[bytes]:
-    """Bytes that the tokens of each piece must spell; pieces after the first begin with their blank."""
-    return [(piece if k else " " + piece).encode("utf-8", "surrogatepass") for k, piece in enumerate(_pieces(text))]
+    def ids(self, text: str, data: np.ndarray) -> np.ndarray | None:
+        """Ids of a blank and the text; None if the tokens do not spell its bytes."""
+        # Pieces after the first begin with a blank of their own, which the encoder adds.
+        found = [np.asarray(self.encode(piece[1:] if k else piece), np.int64) for k, piece in enumerate(_pieces(text))]
+        ids = found[0] if len(found) == 1 else np.concatenate(found)
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        if not len(ids) or ends[-1] != len(data):
+            return None
+        spelt = self.spelling[np.repeat(self.offsets[ids] - ends + lengths, lengths) + np.arange(len(data))]
+        return ids if (spelt == data).all() else None
 
 
 def align_block(texts: list[str], a: _Side, b: _Side) -> list[tuple]:
@@ -146,7 +143,7 @@ def align_block(texts: list[str], a: _Side, b: _Side) -> list[tuple]:
     rows, ids_a, ids_b = [], [], []
     for k, text in enumerate(texts):
         if text:
-            data = _bytes_of(text)
+            data = np.frombuffer((" " + text).encode("utf-8", "surrogatepass"), np.uint8)
             own_a = a.ids(text, data)
             own_b = b.ids(text, data) if own_a is not None else None
             if own_b is not None:
@@ -159,13 +156,16 @@ def align_block(texts: list[str], a: _Side, b: _Side) -> list[tuple]:
     stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
     cuts = shared_cuts(ends_a, ends_b, stop_a - n_a, stop_a.copy())
     cuts_b = np.searchsorted(ends_b, ends_a[cuts])
-    # Every stretch between neighbouring ends of any side is one link.
-    every = np.union1d(ends_a, ends_b)
-    pairs = all_a[np.searchsorted(ends_a, every)] << 32 | all_b[np.searchsorted(ends_b, every)]
     mark_a, mark_b = np.zeros(len(all_a), np.int64), np.zeros(len(all_b), np.int64)
     mark_a[cuts], mark_b[cuts_b] = 1, 2
+    # Every stretch between neighbouring ends of any side is one link: ends in order, with how many of each side came before.
+    every = np.concatenate([ends_a, ends_b[mark_b == 0]])
+    order = np.argsort(every, kind="stable")
+    every, of_a = every[order], order < len(ends_a)
+    of_b = np.append(mark_a == 1, np.ones(len(every) - len(ends_a), bool))[order]
+    pairs = all_a[np.cumsum(of_a) - of_a] << 32 | all_b[np.cumsum(of_b) - of_b]
     # Text of the groups: tokens in order of group, then side.
-    group_a, group_b = np.searchsorted(cuts, np.arange(len(all_a))), np.searchsorted(cuts_b, np.arange(len(all_b)))
+    group_a, group_b = np.cumsum(mark_a) - mark_a, (np.cumsum(mark_b) - mark_b) // 2
     codes = np.concatenate([all_a * 3 + mark_a, all_b * 3 + mark_b + 3 * len(a.entries)])
     order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
     table = a.written + b.written
