@@ -219,6 +219,55 @@ def test_passages_of_short_sentences_and_lines_repeat_whole(spark):
         assert {r.removed for r in got if r.doc_id == i} == {i > 1}
 
 
+def test_passages_without_a_sentence_end_are_found_in_the_middle_of_others(spark):
+    """Against brute force on equal windows of 50 words, not on the splitter: each such window has reported words in both documents."""
+    rng = random.Random(6)
+    word = lambda names: "".join(rng.choice(names) for _ in range(5))
+    passages = [" ".join(word("abcdefghi") for _ in range(n)) for n in (50, 55, 60, 90, 60)]
+    docs = []
+    for i in range(40):
+        before, after = (" ".join(word("qrstuv") for _ in range(rng.randrange(3, 60))) for _ in range(2))
+        docs.append((i, f"{sentence(rng, 9, 'xyz')} {before} {passages[i % 5]} {after}. {sentence(rng, 12, 'xyz')}"))
+    docs += [(100 + i, " ".join(word("jklmnop") for _ in range(rng.randrange(41, 300)))) for i in range(10)]
+    got = paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    seen = {}
+    for i, text in docs:
+        spans = [m.span() for m in re.finditer(r"\S+", text)]
+        for k in range(len(spans) - 49):
+            seen.setdefault(text[spans[k][0] : spans[k + 49][1]], []).append((i, spans[k][0], spans[k + 49][1]))
+    shared = [places for places in seen.values() if len(places) > 1]
+    assert sum(map(len, shared)) >= 40
+    for places in shared:
+        for doc, start, end in places:
+            own = [r for r in got if r.doc_id == doc and r.start >= start and r.end <= end]
+            assert sum(r.n_words for r in own) >= 30, (doc, start, end)
+    assert all(r.doc_id < 100 for r in got)
+    for i, text in docs[:40]:
+        at = text.index(passages[i % 5])
+        # A stretch at an edge may be 80% alike with a word of its host.
+        assert all(min(r.end, at + len(passages[i % 5])) - max(r.start, at) >= 0.7 * (r.end - r.start) for r in got if r.doc_id == i)
+    # One of each passage stays.
+    assert {r.doc_id for r in got if not r.removed} == set(range(5))
+
+
+def test_recall_of_the_bands_on_pairs_of_paragraphs(spark):
+    """Measured: pairs of similarity 0.8 to 0.9 that end in one cluster."""
+    rng = random.Random(12)
+    docs, wanted = [], []
+    for k in range(400):
+        one = sentence(rng, 60, "abcdefghijklmnop")[:-1].split(" ")[: rng.randrange(26, 39)]
+        two = list(one)
+        two[rng.choice([0, 1, len(two) - 1, len(two) // 2])] = "changed"
+        sets = [shingles(" ".join(x), 5) for x in (one, two)]
+        likeness = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+        docs += [(2 * k, " ".join(one)), (2 * k + 1, " ".join(two))]
+        if 0.8 <= likeness <= 0.95:
+            wanted.append(k)
+    cluster = {r.doc_id: r.cluster for r in paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert len(wanted) > 150
+    assert sum(2 * k in cluster and cluster[2 * k] == cluster.get(2 * k + 1) for k in wanted) >= 0.95 * len(wanted)
+
+
 def test_bands_reach_the_recall():
     bands, rows = paragraphs.tune_bands(80, 0.95)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.95

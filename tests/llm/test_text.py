@@ -195,6 +195,20 @@ def test_layouts_are_known_by_their_paths(spark):
 ITEM = "In 1990 the town of Brest had 500 km of roads and 500 km of rails beside the sea and hills"
 
 
+def test_conversations_of_any_length_are_formatted(spark):
+    """Texts beyond what a JSON reader takes, and text that looks like the references inside."""
+    giant = "Ab </s> é\n" * 2_100_000
+    rows = [(1, 0, "user", giant), (1, 1, "assistant", "0"), (2, 0, "user", "1"), (2, 1, "tool", "x"), (2, 2, "assistant", giant[:100])]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.digests(chat.read_back(chat.formatted(chat.canonical_turns(chat.turn_records(frame))))).collect()}
+    for conv, layout in ((1, "prompt_completion"), (2, "messages")):
+        own = [r for r in rows if r[0] == conv]
+        loss = "".join(t for _, _, role, t in own if role == "assistant")
+        sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        want = (layout, len(own), sha("".join(f"{role}\n{t}\n" for _, _, role, t in own)), len(loss), sha(loss))
+        assert (got[conv].layout, got[conv].n_turns, got[conv].turns_sha256, got[conv].loss_chars, got[conv].loss_sha256) == want
+
+
 def test_leaks_of_templates(spark):
     filler = "Some other words that nobody asked for came before it, and"
     docs = [
@@ -220,6 +234,44 @@ def test_leaks_of_templates(spark):
     assert templates.matches(frame, items.limit(0)).collect() == [] and templates.clean(frame, items.limit(0)).count() == len(docs)
 
 
+LONG = "In the spring of 1990 a ship of the Brest line carried 500 km of rails to the new port and its crew went home on foot afterwards"
+MIDDLE = "the plain people of this quiet harbour town have never once asked for any such ship"  # 16 words
+SMALL = "our old harbour clock was always seven minutes slow on cold winter mornings"  # 13 words
+
+
+@pytest.mark.parametrize("host", ["before it came words ", ""])
+def test_items_with_one_change_anywhere_are_found(spark, host):
+    """One word changed, added or left out, at every place of items of several lengths, and at every place of the document."""
+    docs, wanted = [], {}
+    items = {1: LONG, 2: MIDDLE, 3: SMALL, 4: "seven plain words stand in this line", 5: "nine of ten sailors like the sea"}
+    for k, item in items.items():
+        words = item.split()
+        for at in range(1, len(words)) if k <= 3 else ():
+            for changed in (words[:at] + ["zzz"] + words[at + 1 :], words[:at] + ["zzz"] + words[at:], words[:at] + words[at + 1 :]):
+                docs.append((len(docs), f"{host * (at % 5)}so {' '.join(changed)} and more"))
+                wanted[len(docs) - 1] = k
+        docs.append((len(docs), f"{host}so {item} and more"))
+        wanted[len(docs) - 1] = k
+    for text in (LONG.replace("Brest", "New York"), LONG.replace("1990", "19 000").replace("500 km", "7 miles"), LONG.replace("Brest", "Rio Grande Do Sul"), LONG.lower(), LONG.upper()):
+        docs.append((len(docs), f"{host}so {text} and more"))
+        wanted[len(docs) - 1] = 1
+    clean = len(docs)
+    docs += [(clean, "seven plain ships stand in this line"), (clean + 1, " ".join(LONG.split()[:12]) + " and then something else went on"), (clean + 2, host * 30)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bank = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {r.doc_id: r.item_id for r in templates.matches(frame, bank).collect()}
+    assert got == wanted
+
+
+def test_slots_must_be_consistent_under_drift(spark):
+    item = "Then Anna met Boris and later Anna left while 20 people and another 20 people stayed on the pier"
+    same = item.replace("Anna", "Maria Luisa").replace("20", "35")
+    mixed = same.replace("Maria Luisa left", "Clara left")
+    docs = spark.createDataFrame([(1, "So. " + same), (2, "So. " + mixed)], "doc_id long, text string")
+    got = [(r.doc_id, r.n_slots, r.changed) for r in templates.matches(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()]
+    assert got == [(1, 5, 4)]
+
+
 def brute_leaks(docs, items):
     """Plain copies: items whose words, without marks and letter case, stand in a row in a document, but for the first."""
     plain = lambda t: [x for x in (re.sub(r"[^\w]+", "", w.lower()) for w in (t or "").split()) if x]

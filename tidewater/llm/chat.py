@@ -3,6 +3,9 @@
 A record is JSON.  The paths of its fields, types left out, are hashed to a fingerprint, and
 the fingerprint selects a mapping from a table of layouts.  A record of no known
 layout stays in the result with a null ``layout`` and no turns, so that its fingerprint can be looked up and a layout added.
+
+A record may hold its texts itself, or numbers of texts that stand beside it: JSON readers refuse very long strings, and the shape of a record
+needs none.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.llm.common import sha256_hex
 
@@ -79,12 +83,18 @@ def _listed(record: Column, layout: Layout, turn) -> Column:
 
 
 def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
-    """Add fingerprint, layout and turns (role, text) to rows with a JSON text ``record``.
+    """Add fingerprint, layout and turns (role, text) to rows with a JSON text ``record``, or a struct of such a text, ``json``, and its ``texts``.
 
-    Null texts and roles become empty.  A record that is null, no JSON or of no known layout has null layout and no turns.
+    With ``texts``, the texts in the JSON are places in that list, from 0, and the texts are of any length.
+    Null texts and roles become empty.  A record that is null, no JSON or of no known layout has null layout and no turns; so has one with
+    a string of over 20 million characters or of over 128 MiB in all, which the JSON reader refuses.  With ``texts`` these are errors: such records are made by
+    a program and hold no text.
     """
-    df = records.withColumn("_v", F.try_parse_json(F.col(record))).withColumn("fingerprint", fingerprint(F.col("_v")))
-    turn = lambda role, text: F.struct(F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+    apart = isinstance(records.schema[record].dataType, T.StructType)
+    json = F.col(f"{record}.json") if apart else F.col(record)
+    df = records.withColumn("_v", F.try_parse_json(json)).withColumn("fingerprint", fingerprint(F.col("_v")))
+    told = (lambda text: F.get(F.col(f"{record}.texts"), text.cast("int"))) if apart else (lambda text: text)
+    turn = lambda role, text: F.struct(F.coalesce(role, F.lit("")).alias("role"), F.coalesce(told(text), F.lit("")).alias("text"))
     name, turns = F.lit(None).cast("string"), F.array().cast("array<struct<role:string,text:string>>")
     for x in LAYOUTS:
         known = F.col("fingerprint").isin(*[fingerprint(F.parse_json(F.lit(e))) for e in x.examples])
@@ -93,6 +103,8 @@ def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
         else:
             made = F.array(*[turn(F.lit(role), F.variant_get(F.col("_v"), f"$.{f}", "string")) for f, role in x.fields])
         name, turns = F.when(known, F.lit(x.name)).otherwise(name), F.when(known, made).otherwise(turns)
+    if apart:
+        name = F.coalesce(name, F.raise_error(F.concat(F.lit("record of no known layout: "), F.left(F.coalesce(json, F.lit("null")), F.lit(200)))).cast("string"))
     return df.withColumns({"layout": name, "turns": turns}).drop("_v")
 
 
@@ -128,21 +140,21 @@ def read_back(df: DataFrame) -> DataFrame:
 
 
 def turn_records(rows: DataFrame) -> DataFrame:
-    """(conv_id, record): one JSON record for each conversation of rows conv_id, turn, role, text.
+    """(conv_id, record): one record for each conversation of rows conv_id, turn, role, text: its JSON, and its texts beside it.
 
     Its layout follows from its roles: prompt and completion, system, prompt and response, or
-    messages.  Rows stand by turn, null first, then role and text; null texts and roles are empty; rows with a null conv_id are one conversation.
-    A conversation is one row from here on, as its digest is.
+    messages; where a text would stand in the JSON is its place in the texts.  Rows stand by turn, null first, then role and text; null texts and roles are empty; rows with a null conv_id are one conversation.
+    Texts may be of any length; a conversation is one row from here on, as its digest is.  Other columns take no part.
     """
     one = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
     df = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(one)).alias("m")).withColumn("_roles", F.col("m.role"))
-    text = lambda k: F.get("m", F.lit(k))["content"]
-    pair = F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("completion")))
-    three = F.to_json(F.struct(text(0).alias("system"), text(1).alias("prompt"), text(2).alias("response")))
-    any_ = F.to_json(F.struct(F.transform("m", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages")))
+    place = lambda k: F.lit(str(k))
+    pair = F.to_json(F.struct(place(0).alias("prompt"), place(1).alias("completion")))
+    three = F.to_json(F.struct(place(0).alias("system"), place(1).alias("prompt"), place(2).alias("response")))
+    any_ = F.to_json(F.struct(F.transform("_roles", lambda r, k: F.struct(r.alias("role"), k.cast("string").alias("content"))).alias("messages")))
     roles = lambda *x: F.col("_roles") == F.array(*map(F.lit, x))
     record = F.when(roles("user", "assistant"), pair).when(roles("system", "user", "assistant"), three).otherwise(any_)
-    return df.select("conv_id", record.alias("record"))
+    return df.select("conv_id", F.struct(record.alias("json"), F.col("m.content").alias("texts")).alias("record"))
 
 
 def digests(df: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ A paragraph is a stretch of text between sentence or line ends with at least ``m
 words.  Paragraphs that small are found again wherever a passage was pasted, also in the middle of a line.
 A shorter stretch is compared word for word together with its neighbours: with the fewest that follow, and the
 fewest that precede it, so that ``min_words`` are reached.  So each stretch of a pasted passage lies in such a unit inside the passage.
+A stretch of over ``long_words`` words is cut by content: after every word whose hash is the least of some ``cut_words`` words in a row.  A
+passage without any sentence end, pasted into the middle of other sentences, is cut alike wherever it stands, but for ``cut_words - 1`` words at its edges.
 Its set of five-word shingles gets MinHash values, and bands of them are the keys of a join.
 Colliding paragraphs of different wording are verified by the exact Jaccard similarity, and components
 of the links are the clusters; of each cluster the first paragraph (least id, then place) is kept.
@@ -46,6 +48,25 @@ class Rule:
     #: Words of the least paragraph, and of the least passage that is reported.
     min_words: int = 8
     min_passage: int = 20
+    #: Stretches of more words are cut by content, at least once in so many words.
+    long_words: int = 40
+    cut_words: int = 10
+
+
+def content_cuts(hashes: np.ndarray, group: np.ndarray, chosen: np.ndarray, width: int) -> np.ndarray:
+    """Numbers of the words that are least among some ``width`` words in a row of one chosen group: the last of equal ones.
+
+    ``chosen`` tells for each word whether its group is cut.
+    """
+    if len(hashes) < width:
+        return np.zeros(0, np.int64)
+    # Two words in a row: a frequent word alone would be least too often, or never.
+    pair = mix(hashes ^ mix(np.append(hashes[:1], hashes[:-1])))
+    at = np.flatnonzero(chosen[: len(hashes) - width + 1] & (group[: len(hashes) - width + 1] == group[width - 1 :]))
+    # The first pair of a group has a word of another one: it is never least.
+    pair[np.flatnonzero(np.append(True, group[1:] != group[:-1]))] = np.iinfo(np.uint64).max
+    least = np.lib.stride_tricks.sliding_window_view(pair, width)[at][:, ::-1].argmin(axis=1)
+    return np.unique(at + width - 1 - least)
 
 
 def _paragraphs(column: pa.Array, rule: Rule):
@@ -61,6 +82,12 @@ def _paragraphs(column: pa.Array, rule: Rule):
         group = np.cumsum(np.append(0, ends[:-1].astype(np.int64)))
         head = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         size = np.diff(np.append(head, len(group)))
+        if (size > rule.long_words).any():
+            ends = ends.copy()
+            ends[content_cuts(words.hash, group, np.repeat(size > rule.long_words, size), rule.cut_words)] = True
+            group = np.cumsum(np.append(0, ends[:-1].astype(np.int64)))
+            head = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            size = np.diff(np.append(head, len(group)))
         tokens, of = shingles(words.hash, group, rule.words)
         at = np.searchsorted(of, np.arange(len(head) + 1))
         shaped = mix(words.hash + mix((np.arange(len(group)) - np.repeat(head, size)).astype(np.uint64)))
@@ -125,20 +152,29 @@ MARKS = [f"mark{k}" for k in range(4)]
 
 
 def _contents(docs: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
-    """(content, tokens, marks) of the wanted contents."""
+    """(content, tokens, marks) of the wanted contents.
 
-    def run(batches):
+    Shingles are listed as they come; only what is wanted is made a set and marked.
+    """
+
+    def listed(batches):
         for batch in batches:
             for _, _, _, size, content, tokens, at in _paragraphs(batch.column("text"), rule):
-                use = np.flatnonzero(size >= rule.min_words)
-                kept = [np.unique(tokens[at[k] : at[k + 1]]).view(np.int64) for k in use]
-                flat = np.concatenate(kept) if kept else np.zeros(0, np.int64)
-                lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, kept)]).astype(np.int32), flat)
-                marks = np.array([parity_marks(x, 64 * len(MARKS)) for x in kept], np.int64).reshape(-1, len(MARKS))
-                yield pa.RecordBatch.from_arrays([pa.array(content[use].view(np.int64)), lists, *map(pa.array, marks.T.copy())], ["content", "tokens", *MARKS])
-
-    found = small_batches(docs).select("text").mapInArrow(run, "content long, tokens array<long>, " + ", ".join(f"{m} long" for m in MARKS))
-    return found.join(bounded(wanted), "content", "left_semi").dropDuplicates(["content"])
+                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(tokens.view(np.int64)))
+                use = pa.array(np.flatnonzero(size >= rule.min_words))
+                yield pa.RecordBatch.from_arrays([pa.array(content.view(np.int64)).take(use), lists.take(use)], ["content", "tokens"])
+
+    def marked(batches):
+        for batch in batches:
+            kept = [np.unique(np.asarray(x.values)) for x in batch.column("tokens")]
+            flat = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, kept)]).astype(np.int32), flat)
+            marks = np.array([parity_marks(x, 64 * len(MARKS)) for x in kept], np.int64).reshape(-1, len(MARKS))
+            yield pa.RecordBatch.from_arrays([batch.column("content"), lists, *map(pa.array, marks.T.copy())], ["content", "tokens", *MARKS])
+
+    found = small_batches(docs).select("text").mapInArrow(listed, "content long, tokens array<long>")
+    found = found.join(bounded(wanted), "content", "left_semi").dropDuplicates(["content"])
+    return found.mapInArrow(marked, "content long, tokens array<long>, " + ", ".join(f"{m} long" for m in MARKS))
 
 
 def near_links(docs: DataFrame, rule: Rule, mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
