@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.llm import jaccard, language, mixing, sharding, templates
 from tidewater.session import scratch_path
@@ -18,8 +19,11 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Rejected are texts without a letter (or null), and those that no mixture of the languages explains better than chance.
     """
-    found = language.identify(docs, language.fit(docs), tuple(docs.columns))
-    return found.filter(f"lang_pred <> '{language.UNKNOWN}' and gain > 0").select(*docs.columns)
+    # Documents may have columns of any name.
+    names = [f"own{k}" for k in range(len(docs.columns))]
+    kept = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)), "text")
+    found = language.identify(kept, language.fit(docs.select("doc_id", "text", "lang")), tuple(names))
+    return found.filter(f"lang_pred <> '{language.UNKNOWN}' and gain > 0").select(*names).toDF(*docs.columns)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

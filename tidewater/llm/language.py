@@ -4,7 +4,7 @@ Each language is a multinomial over hashed letter trigrams, learned from labelle
 A document is a mixture of languages: expectation-maximisation estimates the
 shares from the trigrams' likelihoods.  The set of languages is chosen by penalised
 likelihood: from the best single language on, a language is added while the
-log likelihood gains more than ``log(n)`` for ``n`` trigrams.
+log likelihood gains more than ``log(n) + 1`` for ``n`` trigrams.
 """
 
 from __future__ import annotations
@@ -48,6 +48,10 @@ def trigrams(text: str | None, letters: np.ndarray) -> np.ndarray:
     return (((mixed ^ mixed >> np.uint32(15)) * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - _BITS))[is_letter[1:-1]].astype(np.int64)
 
 
+#: Parts that rows are thinned by.
+_PARTS = 1_000_003
+
+
 def held_out(doc_id: Column) -> Column:
     """CRC-32 of the id as text, modulo 4, is 2; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
@@ -56,16 +60,18 @@ def held_out(doc_id: Column) -> Column:
 def fit(labelled: DataFrame, sample: int = 4000) -> Model | None:
     """Learn from text and lang of ``labelled`` rows; about ``sample`` rows of a language at most.
 
-    A language with more rows is thinned by a hash of the text.  Only trigram counts come to
+    A language with more rows is thinned by a hash of all columns, id included, so that copies of one text are thinned like other rows; the row
+    with the least hash always stays.  Only trigram counts come to
     the driver: 65,536 a language at most.  Rows with a null text or language teach nothing; without
     any row there is no model.
     """
-    rows = labelled.filter("text is not null and lang is not null").select("text", "lang")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = labelled.filter("text is not null and lang is not null")
+    rows = rows.select("text", "lang", F.pmod(F.xxhash64(*labelled.columns), F.lit(_PARTS)).alias("_part"))
+    counts = {r.lang: r for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("_part").alias("least")).collect()}
     if not counts:
         return None
-    part = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample / n))])
-    chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < F.element_at(part, F.col("lang")) * 1_000_003)
+    part = F.create_map(*[F.lit(x) for lang, r in counts.items() for x in (lang, max(sample * _PARTS // r.n, r.least))])
+    chosen = rows.filter(F.col("_part") <= F.element_at(part, F.col("lang"))).select("text", "lang")
 
     def run(batches):
         letters = _letters()
@@ -101,6 +107,15 @@ def _shares(p: np.ndarray, n: np.ndarray, rounds: int = 25) -> tuple[np.ndarray,
     return share, float(n @ np.log(share @ p))
 
 
+def _bound(p: np.ndarray, n: np.ndarray, rounds: int = 8) -> float:
+    """A log likelihood that no shares of these languages exceed.
+
+    The likelihood is concave in the shares, so its tangent at any shares bounds it; after a few rounds the tangent is near.
+    """
+    share, likelihood = _shares(p, n, rounds)
+    return likelihood + float((p @ (n / (share @ p))).max() - n.sum())
+
+
 def infer(model: Model, grams: np.ndarray) -> tuple[list[tuple[str, float]], float]:
     """[(language, share)] by falling share, then name, and the gain per trigram over chance in nats.
 
@@ -115,8 +130,9 @@ def infer(model: Model, grams: np.ndarray) -> tuple[list[tuple[str, float]], flo
     if len(single) > 1:
         scaled = np.exp(logs - logs.max(0))
         base = float(n @ logs.max(0))
-        _, bound = _shares(scaled, n, 8)
-        while len(chosen) < len(single) and bound + base - best > penalty / 2:
+        bound = _bound(scaled, n)
+        # No set of languages is worth a penalty more if all of them together are not.
+        while len(chosen) < len(single) and bound + base - best > penalty:
             tries = [(_shares(scaled[[*chosen, k]], n), k) for k in range(len(single)) if k not in chosen]
             (new, likelihood), k = max(tries, key=lambda x: x[0][1])
             if likelihood + base - best <= penalty:
@@ -131,8 +147,10 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
 
     ``score`` is the share of the language found; ``gain`` how much better than chance the mixture gives a
     trigram, in nats.  A null text, or one without a letter, is ``und`` with score 0, gain 0 and no
-    languages; so is all without a model.  Whole texts are read; a text is one task's memory at most.
+    languages; so is all without a model.  Columns of these names cannot be kept and are refused.  Whole texts are read; a text is one task's memory at most.
     """
+    if clash := {*keep} & {"lang_pred", "score", "gain", "languages", "_text"}:
+        raise ValueError(f"names of the result: {sorted(clash)}")
     sent = docs.sparkSession.sparkContext.broadcast(model and (model.languages, model.log_p))
     kept = docs.select(*keep, F.col("text").alias("_text"))
 

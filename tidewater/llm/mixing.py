@@ -89,14 +89,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1,), share: float = 1.0, ca
     """(documents, sources): what the mix takes of every row, and the plan of every source.
 
     Documents: doc_id, source, key, size, source_size, target, taken, shard (of its first
-    words taken, else null).  ``key`` is a hash of id and text for joining back.  Null text: size 0, nothing
+    words taken, else null).  ``key`` is a hash of id, text and source for joining back.  Null text: size 0, nothing
     taken.  A null source is a source.  Repeated rows stand one by one.  An empty
     table gives empty results.
 
     The running sum of sizes is cut by the top bits of the seeded order, so that a source
     that holds a third of all rows is summed in many parts.
     """
-    sizes = docs.select("doc_id", "source", F.xxhash64("doc_id", "text").alias("key"), word_count(F.col("text")).alias("size"), seeded(F.col("doc_id"), seed).alias("_at"))
+    sizes = docs.select("doc_id", "source", F.xxhash64("doc_id", "text", "source").alias("key"), word_count(F.col("text")).alias("size"), seeded(F.col("doc_id"), seed).alias("_at"))
     sizes = written(sizes, "sizes")
     bits = min(30, max(0, math.ceil(math.log2(max(1, sizes.count()) / PART_ROWS))))
     sizes = sizes.withColumn("_part", F.shiftright("_at", _BITS - bits))
@@ -125,12 +125,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1,), share: float = 1.0, ca
 def mixed(docs: DataFrame, **rules) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its words are taken, rounded; a row cut by half or more is left out.
 
-    ``rules`` are those of ``mix``.  Equal rows are counted together.
+    ``rules`` are those of ``mix``.  Rows that agree in id, text and source are counted together, and come as one of them.
     """
     taken, _ = mix(docs, **rules)
     per = taken.filter("size > 0").groupBy("key").agg(F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).alias("_times"), F.count("*").alias("_rows"))
     per = written(per.filter("_times > 0").withColumnRenamed("key", "_key"), "times")
-    key = F.xxhash64("doc_id", "text")
+    key = F.xxhash64("doc_id", "text", "source")
     more = per.filter("_rows > 1")
     out = docs.join(bounded(per.filter("_rows = 1").select("_key", "_times")), key == F.col("_key"))
     if not more.isEmpty():

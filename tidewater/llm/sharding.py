@@ -97,14 +97,18 @@ def assign(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def shard(docs: DataFrame, limit: int = 256 << 20) -> DataFrame:
-    """``docs`` with shard, page, depth, shard_bytes; bytes are those of the text in UTF-8 (null: none).
+    """``docs`` with shard, page, depth, shard_bytes and bytes, which are those of the text in UTF-8 (null: none).
 
-    Columns of these names that ``docs`` has are replaced.  An empty table gives an empty result;
+    Columns of these five names that ``docs`` has are replaced, others of any name stay.  An empty table gives an empty result;
     texts are read where they lie and not shuffled while the directory may be broadcast.
     """
-    rows = docs.drop("shard", "page", "depth", "shard_bytes", "hash", "bytes")
+    own, docs = docs.columns, docs.drop("shard", "page", "depth", "shard_bytes", "bytes")
+    # The hash has a name inside that a column of the documents may have, in any letter case.
+    safe = {c: f"_own{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    rows = docs.withColumnsRenamed(safe)
     rows = rows.withColumn("hash", row_hash(F.col("doc_id"), F.col("text"))).withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
-    return assign(rows, limit).drop("hash")
+    done = assign(rows, limit).drop("hash")
+    return done.select(*(F.col(safe.get(c, c)).alias(c) for c in own if c in docs.columns), "bytes", *(c for c in done.columns if c in ("shard", "page", "depth", "shard_bytes")))
 
 
 def shard_sql(limit: int) -> str:
