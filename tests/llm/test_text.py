@@ -333,3 +333,32 @@ def test_labelers_add_what_strict_rules_miss(spark):
     assert {r.found for r in more} >= {"(212) 555-0187"}
     true, tables = pii.reliabilities([((1, 1, 1), 50), ((1, 1, 0), 30), ((0, -1, 0), 40), ((-1, -1, -1), 20)])
     assert true[(1, 1, 1)] > 0.9 > 0.1 > true[(-1, -1, -1)] and tables[0][1][0] > tables[0][1][1]
+
+
+ANNOUNCED = {
+    "ssn": "The social security number on file is 219-09-9999 since May",
+    "handle": "Please follow @harbour_clock for more",
+    "ip": "The server address was 2001:0db8:85a3:0000:0000:8a2e:0370:7334 last year",
+    "email": "Reach me by mail: jane at mail dot com if you like",
+    "phone": "Our phone: (212) 555-0187 all day",
+    "secret": 'then token = "9233A8ECF7C5B09FE1236B6B82BC439E9329B55A" was set',
+}
+PLAIN_TEXTS = ["We meet at 12:30:15 and pay 219-09-99 then", "look @ this and @that", "A word_of_many_parts_and_more stands here", "Version 2001-02-03 and 555-1234", "serial AAAAAAAAAAAAAAAAAAAAAAAA1 on the box", "the commit of may 1990"]
+
+
+@pytest.mark.parametrize("alone", [True, False])
+def test_every_kind_is_found_where_a_word_announces_it(spark, alone):
+    """Each kind by itself, and all of them among strict ones and plain texts, which stay untouched."""
+    common = [] if alone else [f"Please mail jo{k}@mail{k}.com or call +1 (988) 555-{k:04d} today." for k in range(60)] + [f"words {k} only" for k in range(40)]
+    for kinds in ([k] for k in ANNOUNCED) if alone else [list(ANNOUNCED)]:
+        texts = [*common, *PLAIN_TEXTS, *(ANNOUNCED[k] for k in kinds)]
+        rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+        more = [(r.row, r.kind) for r in pii.find(rows).collect() if not r.base]
+        assert sorted(more) == sorted((texts.index(ANNOUNCED[k]), k) for k in kinds)
+
+
+def test_planted_secrets_are_found(spark):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    wanted = {r.doc_id for r in docs.collect() if re.search(r'token = "[0-9a-f]{40}"', r.text or "", re.I)}
+    got = {r.doc_id for r in pii.document_spans(docs).collect() if "secret:" in r.spans}
+    assert wanted and got == wanted

@@ -1,9 +1,10 @@
 """Personal data by weak supervision.
 
-Candidates are all spans that a wide pattern of some kind finds.  Labelers vote on each: a strict
-regex, a gazetteer and the words before it.  Expectation-maximisation over the table
+Candidates are all spans that a wide pattern of some kind finds.  Labelers vote on each: its form (the strict
+rule where there is one, else the checks that the kind allows), a gazetteer and the words before it.  For each kind, and for strict and wide candidates apart,
+expectation-maximisation over the table
 of vote patterns estimates how reliable each labeler is and, for each pattern, how likely the candidate is personal
-data.  Those likelihoods train a span classifier over plain features; its score decides about
+data: labelers differ from kind to kind, and so do the shares of real candidates.  Those likelihoods train a span classifier over plain features; its score decides about
 candidates that the strict rules do not settle.  What the strict rules accept stays.
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql.window import Window as W
 from tidewater.llm.common import bounded, sha256_hex
 from tidewater.session import written
 
-KINDS = ("email", "ip", "card", "phone", "ssn", "handle")
+KINDS = ("email", "ip", "card", "phone", "ssn", "handle", "secret")
 #: Possessive forms of the strict patterns: the same leftmost matches, in linear time.  ``\G`` lets a match begin where the last one ended.
 BASE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -33,15 +34,17 @@ WIDE = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9.-])",
     "handle": r"(?<![A-Za-z0-9._%+@-])@[A-Za-z][A-Za-z0-9_]{2,30}(?![A-Za-z0-9_.@-])",
+    "secret": r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]{0,80}[0-9])(?=[0-9_+/=-]{0,80}[A-Za-z])[A-Za-z0-9_+/=-]{20,256}+(?![A-Za-z0-9_+/=@-])",
 }
 #: Cheap tests without which a pattern cannot match.
 NEEDS = {
     "email": "contains(t, '@')", "ip": r"t rlike '[0-9]\\.[0-9]'", "card": "t rlike '[0-9]'", "phone": r"t rlike '\\+[0-9]'",
     "wide_email": "contains(t, ' dot ') or contains(t, 'dot]') or contains(t, 'dot)') or contains(t, 'dot ]') or contains(t, 'dot )')", "wide_ip": "contains(t, ':') and t rlike '[0-9A-Fa-f]:[0-9A-Fa-f]'", "wide_ssn": "t rlike '[0-9]-[0-9]'",
     "wide_phone": r"t rlike '[0-9]\\)? ?[-. ]?[0-9]{3}[-. ][0-9]'", "wide_handle": "contains(t, '@')",
+    "wide_secret": "t rlike '[A-Za-z0-9_+/=-]{20}'",
 }
 #: Words that announce a kind, looked for in the 32 characters before a span.
-CUES = {"email": "mail|contact|write|reach", "ip": "ip|host|server|addr|login", "card": "card|visa|credit|pay|account", "ssn": "ssn|social|security|tax", "phone": "tel|phone|call|fax|mobile|cell|contact", "handle": "follow|twitter|user|handle|insta|account"}
+CUES = {"email": "mail|contact|write|reach", "ip": "ip|host|server|addr|login", "card": "card|visa|credit|pay|account", "ssn": "ssn|social|security|tax", "phone": "tel|phone|call|fax|mobile|cell|contact", "handle": "follow|twitter|user|handle|insta|account", "secret": "token|secret|passw|passphrase|credential|bearer|auth|api|access|private|key"}
 #: Gazetteer: endings of mail domains and first digits of card issuers and well-known prefixes.
 GAZETTEER = {
     "email": r"(?i)(?:\.|dot[ \])]*)(?:com|org|net|edu|gov|io|de|fr|es|it|uk|eu|ch|at|us|ca|info)$",
@@ -49,8 +52,19 @@ GAZETTEER = {
     "card": r"^[3-6]",
     "phone": r"^\+?\(?[1-9]",
     "ssn": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)",
-    "handle": r"^@[a-z0-9_]*[0-9_][a-z0-9_]*$",
+    "secret": r"^(?:sk-|ghp_|gho_|xox[abp]-|AKIA|AIza|eyJ)|^(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{128})$",
 }
+#: Form of a wide candidate, for kinds whose form says something: what speaks for it, and whether anything else speaks against it.
+FORM = {
+    "email": (r"[\[(] ?(?:at|dot) ?[\])]", False),
+    "ip": (r"[A-Fa-f]", False),
+    "phone": (r"^\(?[2-9][0-9]{2}\)?[-. ]?[2-9]", True),
+    "ssn": (r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)", True),
+    "handle": (r"[0-9_]|[a-z][A-Z]", False),
+    "secret": (r"^(?=.*[0-9].*[0-9].*[0-9])(?=.*[A-Za-z].*[A-Za-z].*[A-Za-z])(?!.*(.)\1{5})", True),
+}
+#: Kinds that stand in ordinary text too: without a word that announces them, the context speaks against them.
+ANNOUNCED = ("handle", "secret")
 _LEFT = 32
 
 
@@ -107,17 +121,23 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def votes(spans: DataFrame) -> DataFrame:
-    """Add v_regex, v_gazetteer and v_context: 1 for, -1 against, 0 no opinion."""
-    listed, cue = F.lit(False), F.lit(False)
+    """Add v_regex, v_gazetteer and v_context: 1 for, -1 against, 0 no opinion.
+
+    ``v_regex`` is the strict rule's verdict, and for what only a wide pattern finds that of the kind's form.
+    """
+    form, listed, cue = F.lit(0), F.lit(0), F.lit(False)
+    for k, (pattern, against) in FORM.items():
+        form = F.when(F.col("kind") == k, F.when(F.col("found").rlike(pattern), 1).otherwise(-1 if against else 0)).otherwise(form)
+    for k, pattern in GAZETTEER.items():
+        listed = F.when(F.col("kind") == k, F.when(F.col("found").rlike(pattern), 1).otherwise(-1)).otherwise(listed)
     for k in KINDS:
-        listed = F.when(F.col("kind") == k, F.col("found").rlike(GAZETTEER[k])).otherwise(listed)
         cue = F.when(F.col("kind") == k, F.lower("left").rlike(rf"(?:{CUES[k]})[^.!?]*$")).otherwise(cue)
     glued = F.col("left").rlike(r"[\p{L}\p{N}_]$")
     return spans.withColumns(
         {
-            "v_regex": F.when(F.col("base"), 1).when(F.col("strict"), -1).otherwise(0),
-            "v_gazetteer": F.when(listed, 1).otherwise(-1),
-            "v_context": F.when(cue, 1).otherwise(F.when(glued, -1).otherwise(0)),
+            "v_regex": F.when(F.col("base"), 1).when(F.col("strict"), -1).otherwise(form),
+            "v_gazetteer": listed,
+            "v_context": F.when(cue, 1).otherwise(F.when(glued | F.col("kind").isin(*ANNOUNCED), -1).otherwise(0)),
         }
     )
 
@@ -130,7 +150,7 @@ def reliabilities(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50)
     """Expectation-maximisation for independent labelers over (votes, count) rows.
 
     Returns the probability that a pattern's candidates are real, and for each labeler and vote its
-    probability among real and among false candidates.  The table has 27 rows at most, however many candidates there are.
+    probability among real and among false candidates.  A table has 27 rows at most, however many candidates there are.
     """
     true = {p: 1 / (1 + math.exp(-1.5 * sum(p))) for p, _ in patterns}
     tables: list[dict[int, tuple[float, float]]] = []
@@ -158,32 +178,43 @@ def reliabilities(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50)
 
 
 def features(spans: DataFrame) -> DataFrame:
-    """Add f_*: small categorical features of a span that the votes are not part of."""
+    """Add class, kind and whether a strict pattern found it, and f_*: small categorical features of a span, told apart by class."""
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("found", r"\p{L}+", "a"), "[0-9]+", "9"), r"\s+", " ")
     left = F.right("left", F.lit(1))
     side = F.when(left == "", "none").when(left.rlike(r"\s"), "blank").when(left.rlike(r"\p{L}"), "letter").when(left.rlike("[0-9]"), "digit").otherwise("mark")
-    return spans.withColumns(
-        {
-            "f_state": F.concat("kind", F.lit("/"), F.when(F.col("base"), "holds").when(F.col("strict"), "fails").otherwise("wide")),
-            "f_shape": F.concat("kind", F.lit("/"), F.when(F.length(shape) <= 12, shape).otherwise("long")),
-            "f_size": F.concat("kind", F.lit("/"), F.least(F.floor(F.col("end") - F.col("start")) / 4, F.lit(12)).cast("int").cast("string")),
-            "f_left": F.concat("kind", F.lit("/"), side),
-            "f_cue": F.concat("kind", F.lit("/"), F.lower("left").rlike(f"(?:{'|'.join(CUES.values())})").cast("string")),
-        }
-    )
+    values = {
+        "f_state": F.when(F.col("base"), "holds").when(F.col("strict"), "fails").otherwise("wide"),
+        "f_shape": F.when(F.length(shape) <= 12, shape).otherwise("long"),
+        "f_size": F.least(F.floor(F.col("end") - F.col("start")) / 4, F.lit(12)).cast("int").cast("string"),
+        "f_left": side,
+        "f_cue": F.col("v_context").cast("string"),
+    }
+    spans = spans.withColumn("class", F.concat("kind", F.when(F.col("strict"), "/strict").otherwise("/wide")))
+    return spans.withColumns({name: F.concat("class", F.lit("/"), value) for name, value in values.items()})
 
 
 FEATURES = ("f_state", "f_shape", "f_size", "f_left", "f_cue")
 
 
-def train(spans: DataFrame, bias: float) -> DataFrame:
-    """(feature, value, weight): log odds of each value of a feature under the soft labels ``p``, a naive Bayes classifier.
+def log_odds(yes: float, n: float) -> float:
+    """Smoothed log odds of ``yes`` of ``n``."""
+    return math.log((yes + 1) / (n - yes + 1))
+
+
+def train(spans: DataFrame, bias: dict[str, float]) -> DataFrame:
+    """(feature, value, weight): log odds of each value of a feature under the soft labels ``p`` against those of its class: a naive Bayes classifier.
 
     Shapes are as many as the texts have, so the weights stay a table.
     """
-    each = spans.select("p", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in FEATURES])).alias("x")).select("p", "x.*")
-    sums = each.groupBy("feature", "value").agg(F.sum("p").alias("yes"), F.count("*").alias("n"))
-    return sums.select("feature", "value", ((F.log((F.col("yes") + 1) / (F.col("n") - F.col("yes") + 1)) - bias) / 2).alias("weight"))
+    each = spans.select("p", "class", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in FEATURES])).alias("x")).select("p", "class", "x.*")
+    sums = each.groupBy("class", "feature", "value").agg(F.sum("p").alias("yes"), F.count("*").alias("n"))
+    own = F.log((F.col("yes") + 1) / (F.col("n") - F.col("yes") + 1))
+    return sums.select("feature", "value", ((own - _by_class(bias)) / 2).alias("weight"))
+
+
+def _by_class(values: dict[str, float]) -> Column:
+    listed = F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair]) if values else F.lit(None).cast("map<string,double>")
+    return F.coalesce(F.element_at(listed, F.col("class")), F.lit(0.0))
 
 
 def find(docs: DataFrame, least: float = 0.5) -> DataFrame:
@@ -193,17 +224,21 @@ def find(docs: DataFrame, least: float = 0.5) -> DataFrame:
     not overlap a span of the strict rules.  Without candidates the result is empty.
     """
     spans = written(features(votes(candidates(docs))), "spans")
-    table = [(tuple(r[v] for v in VOTES), r.n) for r in spans.groupBy(*VOTES).agg(F.count("*").alias("n")).collect()]
-    true, _ = reliabilities(table)
-    pattern = F.concat_ws("/", *[F.col(v).cast("string") for v in VOTES])
-    p = F.lit(0.5)
-    for votes_, value in true.items():
-        p = F.when(pattern == "/".join(map(str, votes_)), F.lit(value)).otherwise(p)
-    spans = spans.withColumn("p", p)
-    total = spans.agg(F.sum("p").alias("yes"), F.count("*").alias("n")).first()
-    bias = math.log(((total.yes or 0.0) + 1) / (total.n - (total.yes or 0.0) + 1))
+    # At most 27 vote patterns of each kind, strict and wide.
+    tables: dict[tuple[str, bool], list] = {}
+    for r in spans.groupBy("kind", "strict", *VOTES).agg(F.count("*").alias("n")).collect():
+        tables.setdefault((r.kind, r.strict), []).append((tuple(r[v] for v in VOTES), r.n))
+    pattern = F.concat_ws("/", "kind", F.col("strict").cast("string"), *[F.col(v).cast("string") for v in VOTES])
+    known = {}
+    for (kind, strict), table in sorted(tables.items()):
+        for votes_, value in reliabilities(sorted(table))[0].items():
+            known["/".join([kind, str(strict).lower(), *map(str, votes_)])] = value
+    listed = F.create_map(*[F.lit(x) for pair in known.items() for x in pair]) if known else F.lit(None).cast("map<string,double>")
+    spans = spans.withColumn("p", F.coalesce(F.element_at(listed, pattern), F.lit(0.5)))
+    totals = spans.groupBy("class").agg(F.sum("p").alias("yes"), F.count("*").alias("n")).collect()  # two classes a kind
+    bias = {r["class"]: log_odds(r.yes, r.n) for r in totals}
     weights = written(train(spans, bias), "weights")
-    score = F.lit(bias)
+    score = _by_class(bias)
     for f in FEATURES:
         own = bounded(weights.filter(F.col("feature") == f).select(F.col("value").alias(f), F.col("weight").alias(f"_{f}")))
         spans = spans.join(own, f, "left")

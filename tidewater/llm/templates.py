@@ -2,7 +2,7 @@
 
 Numbers, names and units become typed placeholders, and a run of names or of numbers one placeholder, so that a question asked again with
 other numbers or names has the same template.  Windows of template words, at every word of items and documents, meet in a hash
-join.  An item's windows are as long as the run that any one changed, added or missing word must leave whole: half of the item, eight words at most.
+join.  An item's windows are no longer than the run that any one changed, added or missing word must leave whole, which is half of the item: seven words, of short items four.
 From where a window agrees, item and document are aligned in both directions, a few words more or fewer allowed, and the item is found where
 enough of its words agree in order and its slots are consistent: one value of the item is always replaced by one and the same value of the document.
 """
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import bounded
 from tidewater.session import written
 
+#: Words of the windows of items that have twice as many, and of shorter ones.  Each length costs a pass over the documents' words.
+LONG, SHORT = 7, 4
 WINDOW = 8
 #: Items of fewer words stand in any text; those of fewer than ``WINDOW`` words are looked for word for word, values included.
 LEAST_ITEM = 4
@@ -55,8 +57,8 @@ def _template(word: Column) -> Column:
 
 
 def window_length(n: Column) -> Column:
-    """Words of an item's windows: a run that is left whole by any one change; short items are a window themselves."""
-    return F.when(n < WINDOW, n).otherwise(F.least(F.lit(WINDOW), F.floor(n / 2).cast("int")))
+    """Words of an item's windows: a run that is left whole by any one change; items of under ``WINDOW`` words are a window themselves."""
+    return F.when(n < WINDOW, n).when(n < 2 * LONG, SHORT).otherwise(LONG)
 
 
 def _grams(df: DataFrame, longest: int) -> DataFrame:
@@ -131,20 +133,25 @@ def _aligned(item: str, mine: str, off: str) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.size(item) - 1), zero, step, F.array_max)
 
 
+def _once(value: Column) -> Column:
+    """``value`` as the output of a generator, so that it is not made anew for each of its uses."""
+    return F.explode(F.array(value))
+
+
 def matches(docs: DataFrame, items: DataFrame, least: int = 70) -> DataFrame:
     """(doc_id, item_id, n_hits, n_words, n_slots, changed): documents that hold an item, with the best occurrence of each.
 
     ``least``: percent of the item's words that must agree in order.  ``changed``:
     slots whose value differs, so 0 for a plain copy.  ``docs`` has doc_id and text, ``items``
     item_id and text.  An item of 8 words or more is found if one word is changed, added or left out anywhere, or slots have other values of any number of words; with more
-    changes, if eight words in a row agree (half of the item where it has under 16) and enough words in all.  Items of 4 to 7 words are found word for word; items
+    changes, if seven words in a row agree (four where it has under 14) and enough words in all.  Items of 4 to 7 words are found word for word; items
     of fewer are ordinary phrases and are not looked for.  Null texts match nothing; null ids are
     kept; repeated rows give one result; other columns take no part.  Either table may be empty.
     """
     bank = items.select("item_id", "text", F.xxhash64("item_id", "text").alias("item")).dropDuplicates(["item"])
     bank = written(with_words(bank).select("item_id", "item", "words"), "items").filter(f"size(words) >= {LEAST_ITEM}")
     plain = bank.select("item", window_length(F.size("words")).alias("w"), F.transform("words", _template).alias("words"))
-    lengths = sorted(r[0] for r in plain.select("w").distinct().collect())  # eight lengths at most
+    lengths = sorted(r[0] for r in plain.select("w").distinct().collect())  # six lengths at most
     wanted = written(windows(plain, lengths).filter("length = w").drop("w"), "windows")
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("doc"))
     texts = with_words(keyed.select("doc", "text"), values=False).select("doc", "words")
@@ -157,8 +164,8 @@ def matches(docs: DataFrame, items: DataFrame, least: int = 70) -> DataFrame:
     # Only the part of a document that the item can lie in is carried along.
     first = F.greatest(F.col("off") - DRIFT, F.lit(0))
     part = F.slice("mine", first + 1, F.size("words") + 2 * DRIFT + F.least(F.col("off") - DRIFT, F.lit(0)))
-    both = both.select("doc", "item", "doc_id", "item_id", "words", "off", part.alias("part"), (F.col("off") - first).alias("_off"))
-    both = both.withColumn("z", _aligned("words", "part", "_off"))
+    both = both.select("doc", "item", "doc_id", "item_id", "words", "off", _once(part).alias("part"), (F.col("off") - first).alias("_off"))
+    both = both.select("*", _once(_aligned("words", "part", "_off")).alias("z"))
     both = both.withColumns({"n_hits": F.col("z.agree").cast("long"), "n_words": F.size("words").cast("long"), "_d": F.array_distinct("z.slots")})
     changed = F.size(F.filter("z.slots", lambda z: z["a"] != z["b"])).cast("long")
     both = both.withColumns({"n_slots": F.size("z.slots").cast("long"), "changed": changed})
