@@ -2,12 +2,14 @@
 
 import datetime as dt
 import random
+import uuid
 
 import pytest
 
 from tidewater.contracts import BreakerPolicy, MaskingPolicy
-from tidewater.operators.alerts import mask_alerts
+from tidewater.operators.alerts import advance_stored, mask_alerts, note_alert
 from tidewater.operators.breaker import BreakerState, breaker_actions, breaker_states, next_state, quarantine_attempts
+from tidewater.operators.tables import Layers
 
 START = dt.datetime(2024, 1, 1)
 
@@ -78,3 +80,39 @@ def test_alert_log_equals_the_sequential_walk(spark):
         assert (row["occurrence_count"], row["silenced_until"]) == (count, until)
         assert (row["first_occurrence"], row["last_occurrence"]) == (times[0], times[-1])
         assert len(row["error_message"]) == 500 and len(row["alert_id"]) == 16
+
+
+def test_alerts_from_batch_to_batch_equal_the_sequential_walk(spark, tmp_path):
+    """Decisions and log of each batch; batches of one moment, empty ones and a repeated last one."""
+    layers = Layers(str(tmp_path / "tables"), f"a{uuid.uuid4().hex[:8]}_")
+    layers.create(spark)
+    rng, name, policy = random.Random(9), layers.table("system", "alert_state"), MaskingPolicy(silence_hours=1)
+    silence, walked = dt.timedelta(hours=1), {}
+    schema = "error_type string, error_message string, domain string, batch_id long, occurred_at timestamp"
+    for batch in range(5):
+        # Batches follow each other in time; a kind may fall silent for one of them.
+        rows = [(k, "m", "iot", batch, START + dt.timedelta(hours=3 * batch, seconds=rng.choice([rng.randint(0, 10_000), 3600, 7200]))) for k in "ab" if batch != 2 or k == "a" for _ in range(rng.choice([1, 30]))]
+        want = set()
+        for k, *_, t in sorted(rows, key=lambda r: r[4]):
+            count, until, first, last = walked.get(k, (0, None, t, t))
+            if until is None or t > until:
+                count, until = count + 1, t + silence
+                want.add((k, t))
+            walked[k] = count, until, first, max(last, t)
+        frame = spark.createDataFrame(rows, schema)
+        decisions = advance_stored(spark, name, frame, policy).collect()
+        assert len(decisions) == len({(r[0], r[4]) for r in rows}) and sum(d["notifies"] for d in decisions) == len(want)
+        assert {d["at"] for d in decisions if d["notifies"]} == {t for _, t in want}
+    advance_stored(spark, name, frame.limit(0), policy)
+    got = {r["error_type"]: (r["occurrence_count"], r["silenced_until"], r["first_occurrence"], r["last_occurrence"]) for r in spark.table(name).collect()}
+    assert got == walked
+
+
+def test_an_error_notifies_once_in_its_silence(spark, tmp_path):
+    layers = Layers(str(tmp_path / "tables"), f"a{uuid.uuid4().hex[:8]}_")
+    layers.create(spark)
+
+    def told(batch, minutes, text="gone"):
+        return note_alert(spark, layers, MaskingPolicy(silence_hours=1), "iot", batch, "silver", OSError(text), START + dt.timedelta(minutes=minutes))
+
+    assert [told(0, 0), told(1, 30), told(2, 31, "other"), told(3, 61), told(4, 100)] == [True, False, True, True, False]

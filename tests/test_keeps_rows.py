@@ -16,7 +16,7 @@ from tidewater.operators.tables import Layers, append_batch, partition_values
 from tidewater.plans.load_queries import load_of, two_loads
 from tidewater.plans.source_queries import drop_of
 from tidewater.session import scratch_path
-from tidewater.sources.landing import read_landing
+from tidewater.sources.landing import read_landed_files, read_landing
 from tidewater.streaming.dedup import FirstSeen
 from tidewater.streaming.ingest import BatchRefused, Ingest, OtherCheckpoint
 
@@ -278,6 +278,43 @@ def test_csv_with_columns_in_another_order_fails(spark):
         read_landing(spark, contract, path).collect()
 
 
+def test_streamed_csv_goes_by_the_names_in_its_header(spark, layers, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    files = {
+        "plain": "city,temperature,humidity,forecast_timestamp,forecast_date\na,1.5,60,2024-01-01 00:00:00,2024-01-01\n",
+        "turned": '\ufeff"humidity", temperature,city,forecast_date,forecast_timestamp\n61,2.5,b,2024-01-01,2024-01-01 01:00:00\n',
+        "more": "city,firmware,temperature,humidity,forecast_timestamp,forecast_date\nc,v2,3.5,62,2024-01-01 02:00:00,2024-01-01\n",
+        "fewer": "city,forecast_timestamp,forecast_date\nd,2024-01-01 03:00:00,2024-01-01\n",
+        "odd": "x,y\n1,2\n",
+        "twice": "city,City\ne,f\n",
+        "empty": "",
+    }
+    for name, text in files.items():
+        (landing / f"{name}.csv").write_text(text, encoding="utf-8")
+    contract = WEATHER.with_options(source=SourceSpec("csv", max_bytes_per_trigger=None), watermark=None)
+    Ingest(spark, contract, layers, clock=lambda _: AT).run(str(landing), str(tmp_path / "cp"))
+    got = sorted((r["city"], r["temperature"], r["humidity"]) for r in spark.table(layers.table("silver", contract.domain)).collect())
+    assert got == [("a", 1.5, 60.0), ("b", 2.5, 61.0), ("d", None, None)]
+    aside = sorted(r["_rescued_data"] for r in spark.table(layers.table("quarantine", contract.domain)).collect())
+    assert aside == ['{"_malformed":"1,2"}', '{"_malformed":"city,City"}', '{"_malformed":"e,f"}', '{"_malformed":"x,y"}', '{"firmware":"v2"}']
+
+
+def test_schemas_of_many_files_cost_few_jobs(spark, tmp_path):
+    path = str(tmp_path / "in")
+    rows = spark.range(500).select(F.col("id").cast("string").alias("city"), F.lit(1.0).alias("temperature"), F.lit(2.0).alias("humidity"), F.lit(AT).alias("forecast_timestamp"), F.lit(AT.date()).alias("forecast_date"))
+    rows.repartition(500, "city").write.parquet(path)
+    files = spark.read.parquet(path).inputFiles()
+    contract = WEATHER.with_options(source=SourceSpec("parquet"))
+    spark.sparkContext.setJobGroup("schemas", "schemas")
+    try:
+        frame = read_landed_files(spark, contract, files)
+        assert len(files) > 250 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("schemas")) < 5
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert frame.count() == 500 and frame.filter("_rescued_data is not null").count() == 0
+
+
 def test_streamed_parquet_rescues_drift(spark, layers):
     landing = scratch_path(spark, "landing")
     contract = WEATHER.with_options(source=SourceSpec("parquet", max_bytes_per_trigger=None), watermark=None)

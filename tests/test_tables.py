@@ -13,6 +13,7 @@ from tidewater.contracts import (
     SALES,
     WEATHER,
     BreakerPolicy,
+    RollupMetric,
     SinkSpec,
     SourceSpec,
     WatermarkSpec,
@@ -21,6 +22,7 @@ from tidewater.operators.alerts import alert_log, refresh_alert_log
 from tidewater.operators.facts import star_totals
 from tidewater.operators.governance import register_contract
 from tidewater.operators.lifecycle import audited, purge_late, purge_table, rollup_then_purge
+from tidewater.operators.rollup import rollup_grains
 from tidewater.operators.tables import Layers, append_batch, clustered, partition_values
 from tidewater.operators.upsert import merge_table, provider, source_winners, upsert
 from tidewater.session import scratch_path
@@ -374,6 +376,36 @@ def test_clustering_splits_one_hot_value(spark):
     assert sum(r["count"] for r in sizes) == 20_000 and max(r["count"] for r in sizes) < 6_000
 
 
+def test_two_columns_are_clustered_at_once(spark, tmp_path):
+    """A third of the rows have one value in a, and text with a long common start; nulls are rows too."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, 500).when(F.col("id") % 101 != 0, F.xxhash64("id") % 1000).alias("a"),
+        F.concat(F.lit("SENSOR-000"), F.lpad((F.xxhash64("id", F.lit(1)) % 900 + 900).cast("string"), 4, "0")).alias("b"),
+        "id",
+    )
+    clustered(rows, ["a", "b"], 32).write.parquet(str(tmp_path / "out"))
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert stored.count() == 20_000 and stored.exceptAll(rows).isEmpty()
+    files = stored.groupBy(F.input_file_name()).agg(*(f(c).alias(f"{n}_{c}") for c in "ab" for n, f in (("lo", F.min), ("hi", F.max))), F.count("*").alias("n")).collect()
+    assert len(files) == 32 and max(f["n"] for f in files) < 3000
+    for column, values in (("a", (-700, -20, 333, 900)), ("b", ("SENSOR-0000100", "SENSOR-0000900", "SENSOR-0001700"))):
+        for v in values:
+            opened = sum(f[f"lo_{column}"] is not None and f[f"lo_{column}"] <= v <= f[f"hi_{column}"] for f in files)
+            assert opened < 32 / 3, (column, v, opened)
+
+
+def test_grains_are_merged_upwards(spark):
+    at = [AT + dt.timedelta(days=d, hours=h) for d in range(0, 40, 3) for h in (0, 5)]
+    rows = spark.createDataFrame([("s", t, float(i), None) for i, t in enumerate(at)] + [("s", None, 1e9, 1.0)], "k string, t timestamp, v double, w double")
+    metrics = [RollupMetric("v", ("min", "avg"), "daily"), RollupMetric("v", ("max",), "weekly"), RollupMetric("w", ("avg",), "monthly")]
+    got = rollup_grains(rows, ["k"], "t", metrics).collect()
+    by = {g: [r for r in got if r["grain"] == g] for g in ("daily", "weekly", "monthly")}
+    assert len(by["daily"]) == 14 and len(by["weekly"]) == 6 and len(by["monthly"]) == 2 and len(got) == 22
+    assert sorted(r["avg_v"] for r in by["daily"]) == [i + 0.5 for i in range(0, 28, 2)]
+    assert max(r["max_v"] for r in by["weekly"]) == 27.0 and {r["max_v"] for r in by["daily"]} == {None}
+    assert {r["avg_w"] for r in got} == {None}
+
+
 def test_star_totals(spark):
     fact = spark.createDataFrame([("a", "x", 1.0), ("a", "x", 2.0), ("b", "y", 4.0)], "c string, p string, v double")
     customers = spark.createDataFrame([("a", "north"), ("b", "north")], "c string, region string")

@@ -74,8 +74,11 @@ class WatermarkSpec:
 
 @dataclass(frozen=True)
 class LateDataSpec:
+    """``table_name`` is a name in the bronze layer; without one it is the dataset's, ending in ``_late``."""
+
     enabled: bool = False
     storage_days: int = 7
+    table_name: str = ""
 
 
 @dataclass(frozen=True)
@@ -116,6 +119,8 @@ class LifecycleSpec:
     rollups: tuple[RollupMetric, ...] = ()
     #: Gold table of the rollup, and columns that have another name there.
     output_table: str = ""
+    #: Fact tables reach up to so many days before the day of the run; None: there are none.
+    sync_days: int | None = None
     rollup_names: tuple[tuple[str, str], ...] = ()
 
 
@@ -201,6 +206,10 @@ class Contract:
         if missing:
             raise ContractError(f"{self.domain}: columns {missing} are not in the contract")
 
+    @property
+    def late_table(self) -> str:
+        return self.late_data.table_name or f"{self.domain}_late"
+
     @property
     def required(self) -> tuple[str, ...]:
         return tuple(f.name for f in self.fields if not f.nullable)
@@ -241,6 +250,9 @@ def contract_from_config(config: dict[str, Any]) -> Contract:
     late, retry, watchdog = dlq.get("late_data") or {}, dlq.get("retry_policy") or {}, dlq.get("watchdog") or {}
     rollup = lifecycle.get("pre_aggregation") or {}
     ttl = lifecycle.get("ttl")
+    window = str(lifecycle.get("sync_window") or "")
+    if window and not (window.startswith("D-") and window[2:].isdigit() and int(window[2:])):
+        raise ContractError(f"unknown sync window {window!r}; use D-1, D-2, ...")
     limit = (source.get("options") or {}).get("cloudFiles.maxBytesPerTrigger", 134_217_728)
     return Contract(
         domain=info["domain"],
@@ -254,6 +266,7 @@ def contract_from_config(config: dict[str, Any]) -> Contract:
             cluster_by=tuple(optimization.get("z_order_by") or ()),
             partition_grain=sink.get("partition_grain", "day"),
             key_buckets=int(sink.get("key_buckets", 0)),
+            partition_moves=bool(sink.get("partition_moves", True)),
         ),
         event_time_column=event_time,
         metadata=metadata,
@@ -267,7 +280,7 @@ def contract_from_config(config: dict[str, Any]) -> Contract:
         )
         if watermark.get("enabled")
         else None,
-        late_data=LateDataSpec(bool(late.get("enabled")), late.get("storage_days", 7)),
+        late_data=LateDataSpec(bool(late.get("enabled")), late.get("storage_days", 7), (late.get("table_name") or "").rpartition(".")[2]),
         breaker=BreakerPolicy(
             breaker.get("max_error_percentage", 5),
             breaker.get("degradation_duration_minutes", 30),
@@ -283,6 +296,7 @@ def contract_from_config(config: dict[str, Any]) -> Contract:
                 for f in validation["fields"]
                 if f["type"] == "StringType" and not f.get("nullable", True)
             ),
+            sync_days=int(window[2:]) if window else None,
             output_table=next((a["output_table"].rpartition(".")[2] for a in rollup.get("aggregations", ()) if a.get("output_table")), ""),
             rollups=tuple(
                 RollupMetric(a["metric"], tuple(a["operations"]), a.get("frequency", "daily"))
@@ -339,6 +353,7 @@ SALES = Contract(
     ),
     event_time_column="transaction_timestamp",
     metadata=_lineage("sales_online", "transaction_timestamp", "MERGE", "indefinite", "transaction_date"),
+    lifecycle=LifecycleSpec(sync_days=1),
     breaker=BreakerPolicy(2, 30, "degrade_mode", True),
     max_retries=4,
     retry_wait_seconds=2.0,
@@ -366,6 +381,7 @@ INVENTORY = Contract(
     ),
     event_time_column="last_updated_timestamp",
     metadata=_lineage("inventory_erp", "last_updated_timestamp", "MERGE", "indefinite", "last_updated"),
+    lifecycle=LifecycleSpec(sync_days=1),
     breaker=BreakerPolicy(1, 15, "fail_fast", False),
     max_retries=3,
     retry_wait_seconds=5.0,

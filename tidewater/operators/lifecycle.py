@@ -74,7 +74,7 @@ def purge_late(spark: SparkSession, layers: Layers, contract: Contract, as_of: d
 
     How long a batch has been stored is in its state row.
     """
-    name = layers.table("bronze", f"{contract.domain}_late")
+    name = layers.table("bronze", contract.late_table)
     if not spark.catalog.tableExists(name):
         return 0
     oldest = dt.datetime.combine(as_of, dt.time(), dt.timezone.utc) - dt.timedelta(days=contract.late_data.storage_days)

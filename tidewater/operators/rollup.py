@@ -55,9 +55,41 @@ def merged_rollup(parts: DataFrame, keys: Sequence[str], metrics: Sequence[Rollu
     return parts.groupBy(*keys, "date").agg(*columns)
 
 
+def rollup_grains(df: DataFrame, keys: Sequence[str], event_time: str, metrics: Sequence[RollupMetric]) -> DataFrame:
+    """(keys, grain, date, ``<operation>_<metric>``) for metrics of any frequencies; ``date`` is the start of the period.
+
+    The data are read and reduced once, to the finest period that is asked for; those partial rows are merged upwards.  Hours and days
+    are parts of every longer period, and weeks are made from days, as they cross months.  A column is NULL at a
+    grain that its metric is not asked for.  Rows without event time are of no period.
+    """
+    units = {FREQUENCIES[m.frequency]: m.frequency for m in metrics}
+    finest = "hour" if "hour" in units else "day"
+    pairs = {m.metric for m in metrics}
+    parts = [f(m).alias(f"_{name}_{m}") for m in sorted(pairs) for name, f in (("n", F.count), ("sum", F.sum), ("min", F.min), ("max", F.max))]
+    partial = df.filter(F.col(event_time).isNotNull()).groupBy(*keys, F.date_trunc(finest, event_time).alias("_at")).agg(*parts)
+    periods = [F.struct(F.lit(name).alias("grain"), F.date_trunc(unit, F.col("_at")).alias("date")) for unit, name in units.items()]
+    grown = partial.withColumn("_p", F.explode(F.array(*periods))).select("*", "_p.*")
+    asked = {}
+    for m in metrics:
+        for operation in m.operations:
+            asked.setdefault((operation, m.metric), set()).add(m.frequency)
+    columns = []
+    for (operation, metric), grains in asked.items():
+        merged = {
+            "min": F.min(f"_min_{metric}"),
+            "max": F.max(f"_max_{metric}"),
+            # Of no value at all there is no average.
+            "avg": F.round(F.try_divide(F.sum(f"_sum_{metric}"), F.sum(f"_n_{metric}")), 6),
+        }[operation]
+        columns.append(F.when(F.col("grain").isin(sorted(grains)), merged).alias(f"{operation}_{metric}"))
+    return grown.groupBy(*keys, "grain", "date").agg(*columns)
+
+
 def contract_rollup(df: DataFrame, contract: Contract) -> DataFrame:
+    """What the contract lists: of one frequency without, of several with a column ``grain``."""
     life = contract.lifecycle
-    return rollup(df, life.rollup_keys, contract.event_time_column, life.rollups)
+    several = len({m.frequency for m in life.rollups}) > 1
+    return (rollup_grains if several else rollup)(df, life.rollup_keys, contract.event_time_column, life.rollups)
 
 
 def iot_daily(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ only the partitions it fills, so a batch that is run again replaces its own rows
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -290,12 +290,55 @@ def drop_partitions(spark: SparkSession, name: str, specs: Sequence[dict[str, ob
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {clauses}")
 
 
+#: Bits of a column's rank in a space-filling order: 256 ranges of equal numbers of rows.
+RANK_BITS = 8
+
+
+def _ordinal(df: DataFrame, column: str) -> Column:
+    """A number in the column's order; of text the six bytes after those that all values share."""
+    value, kind = F.col(f"`{column}`"), df.schema[column].dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        least, most = df.agg(F.min(value.cast("binary")), F.max(value.cast("binary"))).first()
+        shared = next((i for i, (x, y) in enumerate(zip(least, most)) if x != y), min(len(least), len(most))) if least is not None else 0
+        return F.conv(F.rpad(F.hex(F.substring(value.cast("binary"), shared + 1, 6)), 12, "0"), 16, 10).cast("double")
+    return (F.unix_date(value) if isinstance(kind, T.DateType) else value).cast("double")
+
+
+def _bisected(value: Column, known: Column) -> Callable[[Column, Column], Column]:
+    """Step of a bisection: how many of the ``known`` numbers are not above ``value``."""
+    return lambda so_far, step: F.when(F.get(known, so_far + step - 1) <= value, so_far + step).otherwise(so_far)
+
+
+def in_space_filling_order(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """Add a number that is near for rows which are near in all ``columns``: the columns' ranks with their bits interleaved.
+
+    A rank is the number of quantiles up to the value, found by bisection; they come from one aggregate over the rows, 255 numbers a column.  NULL is less
+    than any value.
+    """
+    shares = [k / 2**RANK_BITS for k in range(1, 2**RANK_BITS)]
+    values = [_ordinal(df, c) for c in columns]
+    cuts = df.agg(*(F.percentile_approx(v, shares, 10_000).alias(f"q{k}") for k, v in enumerate(values))).first()
+    steps = F.array(*(F.lit(1 << b) for b in reversed(range(RANK_BITS))))
+    ranks = {}
+    for k, value in enumerate(values):
+        known = F.array(*(F.lit(float(x)) for x in cuts[k])) if cuts[k] else F.array().cast("array<double>")
+        ranks[f"{name}{k}"] = F.aggregate(steps, F.lit(0), _bisected(value, known))
+    place = F.lit(0).cast("long")
+    for k, rank in enumerate(ranks):
+        for b in range(RANK_BITS):
+            place = place + F.shiftleft(F.shiftright(rank, b).bitwiseAND(F.lit(1)).cast("long"), b * len(columns) + len(columns) - 1 - k)
+    return df.withColumns(ranks).withColumn(name, place).drop(*ranks)
+
+
 def clustered(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Rows in ranges of ``columns``, sorted within each, so that files cover narrow ranges.
+    """Rows in ranges of ``columns``, sorted within each, so that files cover narrow ranges of every one of them.
 
-    A hash of the row ends the range key; the rows of one hot value can then
+    One column is its own order; of several the ranges follow a space-filling order, so a filter on any of them skips files.
+    A hash of the row ends the range key; the rows of one hot value, or of one hot combination, can then
     spread over several ranges instead of filling one.
     """
-    ranges = [*(F.col(c) for c in columns), row_salt(df)]
-    ordered = df.repartitionByRange(partitions, *ranges) if partitions else df.repartitionByRange(*ranges)
-    return ordered.sortWithinPartitions(*columns)
+    keys = [F.col(f"`{columns[0]}`")] if len(columns) == 1 else [F.col("_place")]
+    placed = df if len(columns) == 1 else in_space_filling_order(df, columns, "_place")
+    ranges = [*keys, row_salt(df)]
+    ordered = placed.repartitionByRange(partitions, *ranges) if partitions else placed.repartitionByRange(*ranges)
+    return ordered.sortWithinPartitions(*keys, *columns).drop("_place")

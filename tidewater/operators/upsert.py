@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.contracts import Contract
+from tidewater.operators.changes import ChangedDays
 from tidewater.operators.dedup import best_per_key, distinct_rows
 from tidewater.operators.keyindex import KeyIndex
 from tidewater.operators.tables import Layers, append_batch, create_table, drop_partitions, switch_partitions
@@ -116,7 +117,10 @@ def merge_table(
             leaving = {tuple(r) for r in located.select(F.explode("places").alias("p")).select("p.*").distinct().collect()}
             index.announce(keyed, located)
         touched = sorted(arriving | leaving, key=str)
-        kept = target.filter(_in_partitions(parts, touched)).join(winners.select(*keys), keys, "left_anti")
+        inside = target.filter(_in_partitions(parts, touched))
+        if contract.lifecycle.sync_days is not None:
+            changed_days(spark, layers, contract).note(_days(contract, parts, touched, inside, winners))
+        kept = inside.join(winners.select(*keys), keys, "left_anti")
         # Partitions that only lost rows may end up empty; an overwrite would leave them as they were.
         emptied = leaving - arriving
         if emptied:
@@ -132,6 +136,28 @@ def merge_table(
     return name
 
 
+def event_day(contract: Contract) -> str:
+    """The day column of a merged dataset: its one date field."""
+    dates = [f.name for f in contract.fields if f.type == "DateType"]
+    if len(dates) != 1:
+        raise ValueError(f"{contract.domain}: a daily run needs one date field, found {dates}")
+    return dates[0]
+
+
+def changed_days(spark: SparkSession, layers: Layers, contract: Contract) -> ChangedDays:
+    return ChangedDays(spark, layers.table("system", f"{contract.domain}_changed_days"))
+
+
+def _days(contract: Contract, parts: Sequence[str], touched: Sequence[tuple], inside: DataFrame, winners: DataFrame) -> set:
+    """Days of the rows that a merge brings and of those it replaces: the touched partitions where these are days, else read from them."""
+    day = event_day(contract)
+    if list(parts) == [day]:
+        return {values[0] for values in touched}
+    replaced = inside.join(winners.select(*contract.sink.merge_keys), list(contract.sink.merge_keys), "left_semi")
+    both = replaced.select(day).union(winners.select(day)).distinct()
+    return {r[0] for r in both.collect()}
+
+
 def key_index(spark: SparkSession, layers: Layers, contract: Contract, parts: Sequence[str]) -> KeyIndex:
     return KeyIndex(spark, layers.table("system", f"{contract.domain}_key_places"), contract.sink.merge_keys, parts, INDEX_BUCKETS)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.contracts import IOT, WEATHER, BreakerPolicy, MaskingPolicy, WatermarkSpec
-from tidewater.operators.alerts import mask_alerts
+from tidewater.operators.alerts import advance_stored, mask_alerts
 from tidewater.operators.breaker import breaker_actions, breaker_states
 from tidewater.operators.metrics import batch_counts, batch_watermarks, error_rate, monotone_watermark, with_cutoff
 from tidewater.operators.quality import (
@@ -23,7 +23,7 @@ from tidewater.operators.quality import (
 )
 from tidewater.operators.splits import REASON, is_corrupt, is_late, split_late, split_valid
 from tidewater.plans.mapping import BAD_READING_SQL, IOT_SQL, WEATHER_SQL, iot, table, weather, when_every
-from tidewater.plans.registry import query
+from tidewater.plans.registry import new_layers, query
 from tidewater.plans.source_queries import BAD_LINES_SQL, IOT_FIELDS, bad_temperature, firmware, iot_lines, json_lines
 from tidewater.session import written
 from tidewater.sources.evolution import observed_fields
@@ -290,18 +290,32 @@ FROM (SELECT fp, min(event_type) AS event_type, min(user_id) AS user_id, min(ts)
       FROM seen GROUP BY fp) JOIN counted USING (fp)"""
 
 
-@query("alert_masking", ALERTS_SQL)
-def alert_masking(spark, sf_dir):
-    """Every error event is an occurrence; each kind is silent for four hours after it notified."""
+def error_occurrences(spark, sf_dir):
+    """Every error event is an occurrence."""
     events = table(spark, sf_dir, "events").filter("event_type = 'error'")
-    occurrences = events.select(
+    return events.select(
         F.col("event_type").alias("error_type"),
         F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("error_message"),
         F.lit("iot_sensors").alias("domain"),
         F.datediff("ts", F.lit(dt.date(2024, 1, 1))).alias("batch_id"),
         F.col("ts").cast("timestamp").alias("occurred_at"),
     )
-    return mask_alerts(occurrences, MaskingPolicy(silence_hours=4))
+
+
+@query("alert_masking", ALERTS_SQL)
+def alert_masking(spark, sf_dir):
+    """Each kind of error is silent for four hours after it notified."""
+    return mask_alerts(error_occurrences(spark, sf_dir), MaskingPolicy(silence_hours=4))
+
+
+@query("alert_incremental", ALERTS_SQL)
+def alert_incremental(spark, sf_dir):
+    """The same log, kept from batch to batch: each reads its own occurrences and the kinds that they are of."""
+    name = new_layers(spark).table("system", "alert_state")
+    occurrences = written(error_occurrences(spark, sf_dir), "occurrences")
+    for first, last in ((-100_000, 9), (10, 19), (20, 100_000)):
+        advance_stored(spark, name, occurrences.filter(F.col("batch_id").between(first, last)), MaskingPolicy(silence_hours=4))
+    return spark.table(name).drop("_bucket")
 
 
 # -- quality rules -----------------------------------------------------------------

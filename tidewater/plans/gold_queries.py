@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.contracts import INVENTORY, IOT, SALES, WEATHER, RollupMetric
+from tidewater.functions.moments import timestamp
 from tidewater.operators import lifecycle
-from tidewater.operators.facts import dimension, inventory_fact, sales_fact, star_totals
+from tidewater.operators.facts import dimension, inventory_fact, sales_fact, star_totals, sync_fact
 from tidewater.operators.governance import create_tables, landed_schemas, registry
+from tidewater.operators.history import Dimension
 from tidewater.operators.lifecycle import audited, purge_table, roll_up_expiring, rollup_then_purge, within_ttl
 from tidewater.operators.metadata import inject_metadata
 from tidewater.operators.rollup import contract_rollup, iot_daily, rollup, weather_daily
@@ -92,6 +95,31 @@ def rollup_monthly(spark, sf_dir):
     return rollup(inventory(spark, sf_dir), ["warehouse_id"], "last_updated_timestamp", metrics)
 
 
+MIXED = (
+    RollupMetric("temperature", ("min", "max", "avg"), "hourly"),
+    RollupMetric("temperature", ("avg",), "monthly"),
+    RollupMetric("humidity", ("avg",), "daily"),
+    RollupMetric("ph", ("max",), "weekly"),
+)
+
+
+def _mixed_sql() -> str:
+    names = list(dict.fromkeys(f"{o}_{m.metric}" for m in MIXED for o in m.operations))
+    grains = []
+    for frequency, unit in (("hourly", "hour"), ("daily", "day"), ("weekly", "week"), ("monthly", "month")):
+        own = {f"{o}_{m.metric}": f"{o}({m.metric})" for m in MIXED if m.frequency == frequency for o in m.operations}
+        columns = ", ".join(f"{f'round({own[n]}, 6)' if n.startswith('avg') and n in own else own.get(n, 'CAST(NULL AS DOUBLE)')} AS {n}" for n in names)
+        grains.append(f"SELECT sensor_id, location_id, '{frequency}' AS grain, CAST(date_trunc('{unit}', reading_timestamp) AS TIMESTAMP) AS date, {columns} FROM iot GROUP BY ALL")
+    return f"WITH iot AS ({IOT_SQL}) " + " UNION ALL ".join(grains)
+
+
+@query("rollup_mixed_grains", _mixed_sql())
+def rollup_mixed_grains(spark, sf_dir):
+    """One contract, four frequencies: hours are made once, the others from them."""
+    contract = IOT.with_options(lifecycle=replace(IOT.lifecycle, rollups=MIXED))
+    return contract_rollup(iot(spark, sf_dir), contract)
+
+
 # -- facts ---------------------------------------------------------------------
 
 FACT_DAY = dt.date(2000, 1, 1)
@@ -171,6 +199,59 @@ def sales_dimensions(spark, sf_dir):
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
+SECOND_RUN = dt.date(2024, 1, 16)
+
+
+@query(
+    "facts_incremental",
+    f"""WITH sales AS ({SALES_SQL}), loads AS (
+      SELECT transaction_id, customer_id, currency, product_id, quantity, amount, 0 AS b, DATE '2024-01-01' + CAST(quantity % 20 AS INTEGER) AS day FROM sales
+      UNION ALL SELECT transaction_id, customer_id, currency, product_id, quantity, amount + 1, 1, DATE '2024-01-01' + CAST(quantity % 20 + 4 AS INTEGER) FROM sales WHERE flag = 'R'),
+      placed AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY b DESC, day DESC, customer_id DESC, product_id DESC, amount DESC, quantity DESC) AS rn FROM loads)
+    SELECT transaction_id, customer_id, amount, currency, day AS transaction_date, CAST(b AS VARCHAR) AS batch_id FROM placed
+    WHERE rn = 1 AND day < DATE '2024-01-16'""",
+    dates="transaction_date",
+)
+def facts_incremental(spark, sf_dir):
+    """Stored facts after two daily runs: returned lines were corrected and moved in between, and days had come of age."""
+    layers, contract = new_layers(spark), SALES.with_options(metadata=())
+    rows = sales(spark, sf_dir)
+    for batch, (load, days, run) in enumerate(((rows, 0, dt.date(2024, 1, 11)), (rows.filter("flag = 'R'"), 4, SECOND_RUN))):
+        day = F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("quantity") % 20 + days).cast("int"))
+        load = load.withColumns({"transaction_date": day, "transaction_timestamp": day.cast("timestamp"), "amount": F.col("amount") + batch})
+        stamped = inject_metadata(load.drop("flag"), contract, batch, INGEST_TIME)
+        write_clean(spark, stamped, layers, contract)
+        name, _ = sync_fact(spark, layers, contract, run)
+    return spark.table(name).select("transaction_id", "customer_id", "amount", "currency", "transaction_date", "batch_id")
+
+
+@query(
+    "star_as_of",
+    f"""WITH sales AS ({SALES_SQL}), sold AS (
+      SELECT CASE WHEN c_custkey % 3 = 0 AND transaction_date >= DATE '1996-01-01' THEN 'MOVED'
+        WHEN c_custkey % 6 = 0 AND transaction_date >= DATE '1994-01-01' THEN 'EARLY' ELSE c_mktsegment END AS segment,
+        year(transaction_date) AS year, amount, c_custkey % 6 = 0 AND transaction_date >= DATE '1994-01-01' AND transaction_date < DATE '1996-01-01' AS early
+      FROM sales JOIN customer ON customer_id = CAST(c_custkey AS VARCHAR))
+    SELECT segment, year, count(*) AS facts, round(sum(amount), 2) AS amount FROM sold GROUP BY ALL""",
+)
+def star_as_of(spark, sf_dir):
+    """Sales by the segment that the customer was in at the time; one change is reported late, behind a later one."""
+    dim = Dimension(spark, new_layers(spark).table("gold", "dim_customer"), "customer_id", ["segment"])
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey"), F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_mktsegment").alias("segment"))
+    reports = (
+        (customers, dt.datetime(1990, 1, 1), None),
+        (customers.filter("c_custkey % 3 = 0"), dt.datetime(1996, 1, 1), "MOVED"),
+        (customers.filter("c_custkey % 6 = 0"), dt.datetime(1994, 1, 1), "EARLY"),
+    )
+    for members, at, segment in reports:
+        changed = members if segment is None else members.withColumn("segment", F.lit(segment))
+        dim.apply(changed.withColumn("at", timestamp(at)), "at")
+    # A customer's day is one row before it meets the versions.
+    days = sales(spark, sf_dir).groupBy("customer_id", "transaction_date").agg(F.count("*").alias("facts"), F.sum("amount").alias("amount"))
+    placed = dim.as_of(days, "transaction_date").withColumn("year", F.year("transaction_date").cast("long"))
+    return placed.groupBy("segment", "year").agg(F.sum("facts").alias("facts"), F.round(F.sum("amount"), 2).alias("amount"))
+
+
 # -- retention --------------------------------------------------------------------
 
 

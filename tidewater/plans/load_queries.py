@@ -563,11 +563,11 @@ def stream_dedup(spark, sf_dir):
 
 def _first_seen_sql(days: int) -> str:
     """What three loads leave, each checked against the stored rows of those before it."""
-    columns = "operation_id, product_id, warehouse_id, quantity_available, at"
-    order = "at IS NULL, at, product_id, warehouse_id, quantity_available"
+    columns = "operation_id, product_id, warehouse_id, quantity_available, moment"
+    order = "moment IS NULL, moment, product_id, warehouse_id, quantity_available"
 
     def near(one: str, other: str) -> str:
-        return f"({one}.at IS NULL OR {other}.at IS NULL OR date_trunc('month', {other}.at) >= date_trunc('month', {one}.at) - INTERVAL {days} DAYS)"
+        return f"({one}.moment IS NULL OR {other}.moment IS NULL OR date_trunc('month', {other}.moment) >= date_trunc('month', {one}.moment) - INTERVAL {days} DAYS)"
 
     stored, tables = "SELECT * FROM s0", ["s0 AS (SELECT * FROM firsts WHERE b = 0)"]
     for b in (1, 2):
@@ -577,11 +577,11 @@ def _first_seen_sql(days: int) -> str:
         stored += f" UNION ALL SELECT * FROM s{b}"
     return f"""WITH inventory AS ({INVENTORY_SQL}), timed AS (
       SELECT operation_id, product_id, warehouse_id, quantity_available, {LOAD_SQL} AS b,
-        CASE WHEN quantity_reserved = 7 THEN NULL ELSE last_updated_timestamp END AS at FROM inventory),
+        CASE WHEN quantity_reserved = 7 THEN NULL ELSE last_updated_timestamp END AS moment FROM inventory),
       firsts AS (SELECT {columns}, b FROM (
         SELECT *, row_number() OVER (PARTITION BY b, operation_id ORDER BY {order}) AS rn FROM timed) WHERE rn = 1),
       {", ".join(tables)}
-    SELECT operation_id, product_id, warehouse_id, quantity_available, at AS last_updated_timestamp, CAST(b AS BIGINT) AS _batch_id FROM ({stored})"""
+    SELECT operation_id, product_id, warehouse_id, quantity_available, moment AS last_updated_timestamp, CAST(b AS BIGINT) AS _batch_id FROM ({stored})"""
 
 
 BOUNDED_DAYS = 400

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,28 +87,78 @@ def landed_schema(contract: Contract) -> T.StructType:
 
 
 def stream_file_names(spark: SparkSession, contract: Contract, path: str) -> DataFrame:
-    """The file of every row of new columnar files, no column of which is read: see ``read_landed_files``."""
-    reader = spark.readStream.schema(struct_type(contract.fields))
+    """The file of every row of new files, no column of which is read: see ``read_landed_files`` and ``read_csv_files``."""
+    reader = spark.readStream
     if contract.source.max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", contract.source.max_bytes_per_trigger)
-    return reader.parquet(path).select(F.col("_metadata.file_path").alias(SOURCE_FILE))
+    rows = reader.schema(struct_type(contract.fields)).parquet(path) if contract.source.format == "parquet" else reader.text(path)
+    return rows.select(F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def read_landed_files(spark: SparkSession, contract: Contract, files: list[str]) -> DataFrame:
-    """Columnar files with the types that each carries; files of one schema are read together.
+    """Columnar files with the types that each carries; files whose types do not conflict are read together.
 
     Values of another type and undeclared columns are rescued; no file stops the others.
     """
-    alike: dict[str, list[str]] = {}
-    for file in files:
-        alike.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
     groups = []
-    for group in alike.values():
-        rows = spark.read.parquet(*group)
+    for schema, group in _without_conflict(spark, files):
+        rows = spark.read.schema(schema).parquet(*group)
         groups.append(type_columnar(rows.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)), contract))
     return reduce(DataFrame.unionByName, groups)
 
 
+def _without_conflict(spark: SparkSession, files: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """(schema, files): all files at once if their columns agree in type, which one job over the footers finds out; else halves of them.
+
+    A few drifted files among many cost as many jobs as the logarithm of the number of files, each.
+    """
+    try:
+        return [(spark.read.option("mergeSchema", "true").parquet(*files).schema, files)]
+    except (PySparkException, Py4JJavaError):
+        # The session hands the failed job's own error on.
+        if len(files) == 1:
+            raise
+    middle = len(files) // 2
+    merged: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, group in _without_conflict(spark, files[:middle]) + _without_conflict(spark, files[middle:]):
+        merged.setdefault(schema.json(), (schema, []))[1].extend(group)
+    return list(merged.values())
+
+
+#: Ways of writing the header that the files of one batch may have.
+MOST_HEADERS = 1000
+
+
+def read_csv_files(spark: SparkSession, contract: Contract, files: list[str]) -> DataFrame:
+    """CSV files by the names in their headers, in whatever order each has them.
+
+    One job finds the header lines; files of one header are read together.  Undeclared columns are rescued and missing ones NULL.  A file whose header names no
+    declared column, or a column twice, is no file of this dataset: each of its lines is kept whole under ``_malformed``, so that it ends in quarantine and no file
+    stops the stream.
+    """
+    lines = spark.read.text(files).select("value", F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"), F.col("_metadata.file_path").alias("file"))
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    alike: dict[str, list[str]] = {}
+    for row in first.collect():  # the files of one batch
+        alike.setdefault(row["header"], []).append(row["file"])
+    if len(alike) > MOST_HEADERS:
+        raise ValueError(f"{contract.domain}: {len(alike)} different CSV headers in one batch")
+    declared = {f.name for f in contract.fields}
+    groups = []
+    for header, group in sorted(alike.items()):
+        names = [n.strip() for n in next(csv.reader([header.removeprefix("\ufeff")]), [])]
+        traced = F.col("_metadata.file_path").alias(SOURCE_FILE)
+        if declared.isdisjoint(names) or len({n.lower() for n in names}) < len(names):
+            odd = spark.read.text(group).select(F.col("value").alias(CORRUPT_COLUMN), traced)
+            groups.append(type_text_columns(odd, contract, CORRUPT_COLUMN))
+            continue
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT_COLUMN)])
+        reader = spark.read.schema(schema).option("header", "true").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        rows = reader.csv(group).select("*", traced)
+        groups.append(type_text_columns(rows, contract, CORRUPT_COLUMN, [n for n in names if n not in declared]))
+    return reduce(DataFrame.unionByName, groups)
+
+
 def _avro(reader, contract: Contract, path: str) -> DataFrame:
     try:
         return reader.format("avro").schema(epoch_struct(contract)).load(path)

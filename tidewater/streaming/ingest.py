@@ -8,6 +8,7 @@ rows are set aside before errors are counted.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -19,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.contracts import Contract
 from tidewater.functions.moments import collected, utc
-from tidewater.operators.alerts import record_alert
+from tidewater.operators.alerts import note_alert
 from tidewater.operators.breaker import CLOSED, BreakerState, next_state, quarantine_attempts
 from tidewater.operators.compaction import Compactor
 from tidewater.operators.dedup import distinct_rows
@@ -28,9 +29,11 @@ from tidewater.operators.splits import is_corrupt, is_late, split_late, split_va
 from tidewater.operators.tables import Layers, append_batch, bronze_append
 from tidewater.operators.upsert import write_clean
 from tidewater.sources.evolution import evolve, observed_fields
-from tidewater.sources.landing import landed_schema, read_landed_files, stream_file_names, stream_landing, stream_lines
+from tidewater.sources.landing import landed_schema, read_csv_files, read_landed_files, stream_file_names, stream_landing, stream_lines
 from tidewater.sources.rescue import SOURCE_FILE, type_json_lines
 
+log = logging.getLogger(__name__)
+
 STATE_SCHEMA = (
     "domain string, total long, late long, on_time long, corrupt long, error_pct double, "
     "max_event_time timestamp, watermark timestamp, cutoff timestamp, breaker_state string, open_until timestamp, "
@@ -79,7 +82,8 @@ class Ingest:
             if others:
                 raise OtherCheckpoint(f"{self.contract.domain}: its tables belong to checkpoint {others[0][0]!r}, not {checkpoint!r}")
         self._checkpoint = checkpoint
-        read = stream_file_names if self.contract.source.format == "parquet" else stream_lines if self._evolves else stream_landing
+        by_file = self.contract.source.format in ("parquet", "csv")
+        read = stream_file_names if by_file else stream_lines if self._evolves else stream_landing
         stream = read(self.spark, self.contract, landing)
         return (
             stream.writeStream.foreachBatch(lambda batch, batch_id: self.process(self._as_landed(batch), batch_id))
@@ -105,7 +109,7 @@ class Ingest:
         last = spark.table(self.state_table).agg(F.max("_batch_id")).first()[0]
         tables = {
             self.layers.table("bronze", c.domain): (),
-            self.layers.table("bronze", f"{c.domain}_late"): (),
+            self.layers.table("bronze", c.late_table): (),
             self.layers.table("quarantine", c.domain): (),
             self.state_table: (),
         }
@@ -119,7 +123,7 @@ class Ingest:
         return self.contract.source.format == "json" and self.contract.evolution_mode != "none"
 
     def _as_landed(self, batch: DataFrame) -> DataFrame:
-        """The batch's rows; columnar files are read once more with their own schemas, as a stream has one for all.
+        """The batch's rows; columnar and CSV files are read once more with their own schemas or headers, as a stream has one for all.
 
         Only the names of the files come to the driver, as many as the read limit allows in one batch.  Where the
         contract lets fields be added, those of the batch become text columns, here and in the tables;
@@ -128,12 +132,13 @@ class Ingest:
         if self._evolves:
             added = evolve(self.contract.with_options(evolution_mode="additive"), observed_fields(batch, self.contract))
             return type_json_lines(batch, added)
-        if self.contract.source.format != "parquet":
+        if self.contract.source.format not in ("parquet", "csv"):
             return batch
         files = [r[0] for r in batch.select(SOURCE_FILE).distinct().collect()]
         if not files:
             return batch.sparkSession.createDataFrame([], landed_schema(self.contract))
-        return read_landed_files(batch.sparkSession, self.contract, files)
+        read = read_landed_files if self.contract.source.format == "parquet" else read_csv_files
+        return read(batch.sparkSession, self.contract, files)
 
     # -- one batch ------------------------------------------------------------
 
@@ -233,12 +238,14 @@ class Ingest:
         append_batch(rows, name, comment="Rows that break their contract", constants=constants)
 
     def _late(self, late: DataFrame, constants: Constants) -> None:
-        name = self.layers.table("bronze", f"{self.contract.domain}_late")
+        name = self.layers.table("bronze", self.contract.late_table)
         append_batch(late, name, comment="Rows behind the cutoff", constants=constants)
 
     def _alert(self, spark: SparkSession, batch_id: int, step: str, error: Exception, at: dt.datetime) -> None:
-        if self.contract.masking.enabled:
-            record_alert(spark, self.layers, self.contract.domain, batch_id, step, error, at)
+        """Tell of an error once in a time of silence; without masking every time."""
+        c = self.contract
+        if not c.masking.enabled or note_alert(spark, self.layers, c.masking, c.domain, batch_id, step, error, at):
+            log.warning("%s, batch %d, %s: %s: %s", c.domain, batch_id, step, type(error).__name__, error)
 
     # -- state ----------------------------------------------------------------
 
