@@ -246,8 +246,9 @@ def test_passages_without_a_sentence_end_are_found_in_the_middle_of_others(spark
         at = text.index(passages[i % 5])
         # A stretch at an edge may be 80% alike with a word of its host.
         assert all(min(r.end, at + len(passages[i % 5])) - max(r.start, at) >= 0.7 * (r.end - r.start) for r in got if r.doc_id == i)
-    # One of each passage stays.
-    assert {r.doc_id for r in got if not r.removed} == set(range(5))
+    # One of each passage stays whole; elsewhere it goes, but for stretches at its edges that not all hosts cut alike.
+    for i, _ in docs[:40]:
+        assert (sum(r.n_words for r in got if r.doc_id == i and r.removed) >= 30) == (i >= 5)
 
 
 def test_recall_of_the_bands_on_pairs_of_paragraphs(spark):

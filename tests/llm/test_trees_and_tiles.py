@@ -156,7 +156,7 @@ def test_blocks_of_texts_equal_brute_force(sides, encoders):
 
 def test_very_long_text_is_cut_where_both_begin_a_token(sides, encoders):
     rng = random.Random(8)
-    text = "".join(rng.choice(["word", "漢字", "x", " y", " ", " z\n", "́"]) + " " for _ in range(40_000))
+    text = "".join(rng.choice(["word", "漢字", "x", " y", " ", " z\n", "́"]) + " " for _ in range(60_000))
     assert len(text) > 2 * (1 << 16)
     ((n_a, n_b, *_),) = alignment.align_block([text], *sides)
     assert (n_a, n_b) == tuple(len(f(text)) for f in encoders)

@@ -269,7 +269,7 @@ def repeated_paragraphs(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     found = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, row long, rank long, start long, end long, n_words long, content long, place long")
     found = found.withColumn("task", F.spark_partition_id())
     hits = found.join(bounded(known), F.col("content") == F.col("node")).select("doc_id", "row", "rank", "start", "end", "n_words", F.when(F.col("place") < 0, F.col("component")).otherwise(F.xxhash64("component", "place")).alias("cluster"), (F.col("place") < 0).alias("long"), "task")
-    return _passages(written(hits, "hits"), rule)
+    return _passages(hits, rule)
 
 
 def _passages(hits: DataFrame, rule: Rule) -> DataFrame:
