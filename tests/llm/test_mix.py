@@ -169,5 +169,5 @@ def test_pipeline_stages_take_effect(spark):
 
 
 def test_every_dealt_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert jaccard and templates
