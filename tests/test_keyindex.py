@@ -103,3 +103,21 @@ def test_switching_many_partitions_takes_few_statements(spark, layers, monkeypat
     assert len([s for s in statements if "ADD IF NOT EXISTS" in s and "transaction_date" in s]) == 2
     assert not [s for s in statements if s.startswith("DESCRIBE") and "PARTITION" in s]
     assert tables.partition_values(spark, name).count() == 120
+
+
+def test_a_first_load_is_neither_joined_nor_folded(spark, layers, monkeypatch):  # noqa: F811
+    def never(*args, **kwargs):
+        raise AssertionError("there is nothing to fold")
+
+    monkeypatch.setattr(upsert, "INDEX_BUCKETS", 1)
+    monkeypatch.setattr(keyindex.KeyIndex, "fold", never)
+    rows = sales(spark, *(sale(f"k{i}", i % 5, i) for i in range(1100)))
+    name = merge_table(spark, rows, layers, SALES_SMALL)
+    assert spark.table(name).count() == 1100 and index_of(spark, layers)._properties()["base"] == "1100"
+
+
+def test_all_places_of_a_key_are_named(spark, layers):  # noqa: F811
+    for day in (0, 1, 2, 3):
+        merge_table(spark, sales(spark, sale("a", day, day), sale("b", 6, day)), layers, SALES_SMALL)
+    index, keyed = index_of(spark, layers), sales(spark, sale("a", 4, 4), sale("new", 5, 5)).select("transaction_id", "transaction_date")
+    assert sorted(r[0].day for r in index.places(index.locate(keyed)).collect()) == [1, 2, 3, 4]

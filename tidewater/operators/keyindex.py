@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.tables import create_table, switch_partitions
@@ -46,41 +46,72 @@ class KeyIndex:
         self._append(entries)
         self._set(base=str(self.spark.table(self.name).count()), added="0", folded="0")
 
+    @property
+    def empty(self) -> bool:
+        return self.spark.table(self.name).isEmpty()
+
     def locate(self, keyed: DataFrame) -> DataFrame:
-        """(h1, h2, places, last): partitions that may hold a stored version of a key, and the latest of them.
+        """Each key's hashes and coming place, with ``entries``, the number of its places in the index, and of these the ``first`` and the ``last``.
 
-        Only buckets that the keys fall into are read.  A written table.
+        One join of narrow rows; only buckets that the keys fall into are read, none of an empty index.  A written table.
         """
-        wanted = self._hashed(keyed).select(BUCKET, "h1", "h2").distinct()
-        buckets = [r[0] for r in wanted.select(BUCKET).distinct().collect()]  # as many as the index has, at most
+        hashed = self._hashed(keyed).select(BUCKET, "h1", "h2", *self.parts)
+        if self.empty:
+            nothing = F.lit(None).cast(hashed.select(F.struct(*self.parts).alias("p")).schema["p"].dataType)
+            return hashed.withColumns({"entries": F.lit(0).cast("long"), "first": nothing, "last": nothing})
+        buckets = [r[0] for r in hashed.select(BUCKET).distinct().collect()]  # as many as the index has, at most
+        own = {p: f"_own{i}" for i, p in enumerate(self.parts)}
+        entries = self.spark.table(self.name).filter(F.col(BUCKET).isin(buckets)).select("h1", "h2", "at", *self.parts)
+        pairs = hashed.withColumnsRenamed(own).join(entries, ["h1", "h2"], "left")
+        # Grouped where they were joined; columns of fixed width are aggregated without a sort, so each is its own.
+        ends = [F.min_by(p, "at").alias(f"_first{i}") for i, p in enumerate(self.parts)]
+        ends += [F.max_by(p, "at").alias(f"_last{i}") for i, p in enumerate(self.parts)]
+        grouped = pairs.groupBy("h1", "h2", BUCKET, *own.values()).agg(F.count("at").alias("entries"), *ends)
+
+        def place(end: str) -> Column:
+            return F.struct(*(F.col(f"_{end}{i}").alias(p) for i, p in enumerate(self.parts))).alias(end)
+
+        placed = (F.col(o).alias(p) for p, o in own.items())
+        return written(grouped.select(BUCKET, "h1", "h2", *placed, "entries", place("first"), place("last")), "located")
+
+    def places(self, located: DataFrame) -> DataFrame:
+        """The partitions that may hold a stored version of a key, each once."""
+        known = located.filter("entries > 0")
+        ends = known.select("first.*").union(known.select("last.*")).distinct()
+        more = located.filter("entries > 2")
+        if more.isEmpty():
+            return ends
+        # A key's entries between its first and its last one.
+        buckets = [r[0] for r in more.select(BUCKET).distinct().collect()]
         entries = self.spark.table(self.name).filter(F.col(BUCKET).isin(buckets))
-        place = F.struct(*self.parts)
-        known = entries.join(wanted, [BUCKET, "h1", "h2"], "left_semi").groupBy("h1", "h2")
-        return written(known.agg(F.collect_set(place).alias("places"), F.max(F.struct("at", place.alias("place")))["place"].alias("last")), "located")
+        between = entries.join(more.select("h1", "h2"), ["h1", "h2"], "left_semi").select(*self.parts)
+        return ends.union(between).distinct()
 
-    def announce(self, keyed: DataFrame, located: DataFrame) -> None:
+    def announce(self, located: DataFrame) -> None:
         """Add the places that this merge is about to give its keys; keys that stay where they are add nothing."""
         at = int(self._properties()["merges"]) + 1
-        last = located.select("h1", "h2", "last")
-        moved = self._entries(keyed, at).join(last, ["h1", "h2"], "left")
-        stays = F.col("last").isNotNull() & F.struct(*self.parts).eqNullSafe(F.col("last"))
-        self._append(written(moved.filter(~stays).drop("last"), "entries"))
+        stays = (F.col("entries") > 0) & F.struct(*self.parts).eqNullSafe(F.col("last"))
+        self._append(located.filter(~stays).withColumn("at", F.lit(at).cast("long")))
 
     def commit(self) -> None:
         """The merge is done: its entries are the true places of their keys."""
         properties = self._properties()
         merges = int(properties["merges"]) + 1
         self._set(merges=str(merges))
-        base, added = int(properties["base"]), self.spark.table(self.name).count() - int(properties["base"])
-        if merges - int(properties["folded"]) >= FOLD_AFTER or added > max(base, self.buckets * 1000):
+        base, stored = int(properties["base"]), self.spark.table(self.name).count()
+        added = stored - base
+        if not base:
+            # The first entries of an empty index: there is nothing to fold.
+            self._set(base=str(stored), folded=str(merges))
+        elif merges - int(properties["folded"]) >= FOLD_AFTER or added > max(base, self.buckets * 1000):
             self.fold(merges)
 
     def fold(self, committed: int) -> None:
         """Keep of each key the latest committed entry and all later ones; whole buckets are replaced, so a run that dies here loses none."""
         stored = self.spark.table(self.name)
         settled = F.when(F.col("at") <= committed, F.col("at"))
-        latest = stored.groupBy(BUCKET, "h1", "h2").agg(F.max(settled).alias("settled"))
-        kept = stored.join(latest, [BUCKET, "h1", "h2"]).filter(F.col("settled").isNull() | (F.col("at") >= F.col("settled")))
+        latest = F.max(settled).over(Window.partitionBy(BUCKET, "h1", "h2"))
+        kept = stored.withColumn("settled", latest).filter(F.col("settled").isNull() | (F.col("at") >= F.col("settled")))
         switch_partitions(kept.drop("settled").distinct(), self.name, [BUCKET], ["h1"])
         self._set(base=str(self.spark.table(self.name).count()), folded=str(committed))
 

@@ -119,13 +119,13 @@ def _for_table(
     return aligned
 
 
-def switch_partitions(df: DataFrame, name: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
+def switch_partitions(df: DataFrame, name: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> list[dict[str, str | None]]:
     """Replace the partitions that ``df`` has rows for without touching the stored ones before the new ones are whole.
 
     The rows go to a folder of this run; then new partitions are added by the hundred and stored ones pointed to
     their new folder.  A run that ends in between leaves every row in one version or the other, for rows that no replay
     of the batch would bring back.  Folders that are no longer pointed to stay for one more run, for queries that still read them:
-    the next run removes them.
+    the next run removes them.  Gives the values of the partitions that were written, as text.
     """
     spark = df.sparkSession
     location = table_location(spark, name)
@@ -135,7 +135,7 @@ def switch_partitions(df: DataFrame, name: str, partition_by: Sequence[str], clu
     stored = {tuple(sorted(r["spec"].items())) for r in partition_values(spark, name).collect()} if written else set()
     new = sorted(path for path, spec in specs.items() if tuple(sorted(spec.items())) not in stored)
     old = sorted(written.difference(new))
-    retired = {f.rpartition("/")[0] for f in _files_of(spark.table(name), [specs[path] for path in old])}
+    retired = {_partition_location(f) for f in _files_of(spark.table(name), [specs[path] for path in old])}
     add_partitions(spark, name, [(specs[path], path) for path in new])
     for path in old:
         spark.sql(f"ALTER TABLE {name} PARTITION ({_spec(specs[path])}) SET LOCATION {_quoted(path)}")
@@ -143,6 +143,7 @@ def switch_partitions(df: DataFrame, name: str, partition_by: Sequence[str], clu
         list_of = spark.createDataFrame([(unquote(f),) for f in sorted(retired)], "folder string")
         list_of.coalesce(1).write.mode("overwrite").parquet(f"{location}/_retired")
     spark.catalog.refreshTable(name)
+    return list(specs.values())
 
 
 def table_location(spark: SparkSession, name: str) -> str:
@@ -155,7 +156,7 @@ def append_rows_to(df: DataFrame, folder: str, name: str, partition_by: Sequence
     rows = _for_table(df, name, partition_by, cluster_by, {})
     rows.write.partitionBy(*partition_by).parquet(folder)
     files = df.sparkSession.read.schema(rows.drop(*partition_by).schema).parquet(folder).select(F.col("_metadata.file_path").alias("path"))
-    paths = {unquote(r["path"].rpartition("/")[0]) for r in files.distinct().collect()}
+    paths = {unquote(_partition_location(r["path"])) for r in files.distinct().collect()}
     return {path: _folder_spec(path, len(partition_by)) for path in sorted(paths)}
 
 
@@ -172,6 +173,11 @@ def _folder_spec(path: str, depth: int) -> dict[str, str | None]:
     return {k: None if v == "__HIVE_DEFAULT_PARTITION__" else v for k, v in spec.items()}
 
 
+def _partition_location(file: str) -> str:
+    """Folder of one of a partition's files."""
+    return file.rpartition("/")[0]
+
+
 def _files_of(table: DataFrame, specs: Sequence[Mapping[str, object]]) -> list[str]:
     """Files of some partitions, listed without opening them."""
     files: list[str] = []

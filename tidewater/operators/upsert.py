@@ -17,7 +17,7 @@ from tidewater.contracts import Contract
 from tidewater.operators.changes import ChangedDays
 from tidewater.operators.dedup import best_per_key, distinct_rows
 from tidewater.operators.keyindex import KeyIndex
-from tidewater.operators.tables import Layers, append_batch, create_table, drop_partitions, switch_partitions
+from tidewater.operators.tables import Layers, append_batch, create_table, drop_partitions, partition_values, switch_partitions
 from tidewater.session import written
 
 # Table providers that can MERGE by themselves.
@@ -103,39 +103,45 @@ def merge_table(
         return name
 
     target = spark.table(name)
-    winners = source_winners(rows, keys, contract.event_time_column).persist()
-    try:
-        arriving = {tuple(r) for r in winners.select(*parts).distinct().collect()}
-        leaving: set[tuple] = set()
-        index = None
-        if contract.sink.partition_moves and not contract.sink.key_buckets:
-            index = key_index(spark, layers, contract, parts)
-            if not index.exists:
-                index.build(target.filter(has_keys(keys)).select(*keys, *parts))
-            keyed = winners.filter(has_keys(keys)).select(*keys, *parts)
-            located = index.locate(keyed)
-            leaving = {tuple(r) for r in located.select(F.explode("places").alias("p")).select("p.*").distinct().collect()}
-            index.announce(keyed, located)
-        touched = sorted(arriving | leaving, key=str)
-        inside = target.filter(_in_partitions(parts, touched))
-        if contract.lifecycle.sync_days is not None:
-            changed_days(spark, layers, contract).note(_days(contract, parts, touched, inside, winners))
+    # Stored once: the index, the days, the old versions and the write each read the columns they need.
+    winners = written(source_winners(rows, keys, contract.event_time_column), "winners")
+    nothing_stored = partition_values(spark, name).isEmpty()
+    arriving = {tuple(r) for r in winners.select(*parts).distinct().collect()}
+    leaving: set[tuple] = set()
+    index = None
+    if contract.sink.partition_moves and not contract.sink.key_buckets:
+        index = key_index(spark, layers, contract, parts)
+        if not index.exists:
+            index.build(target.filter(has_keys(keys)).select(*keys, *parts))
+        keyed = winners.filter(has_keys(keys)).select(*keys, *parts)
+        located = index.locate(keyed)
+        leaving = {tuple(r) for r in index.places(located).collect()}
+        index.announce(located)
+    touched = sorted(arriving | leaving, key=str)
+    inside = target.filter(_in_partitions(parts, touched))
+    if contract.lifecycle.sync_days is not None:
+        changed_days(spark, layers, contract).note(_days(contract, parts, touched, inside, winners))
+    result = winners.withColumns(constants)
+    if not nothing_stored:
         kept = inside.join(winners.select(*keys), keys, "left_anti")
-        # Partitions that only lost rows may end up empty; an overwrite would leave them as they were.
-        emptied = leaving - arriving
-        if emptied:
-            remaining = kept.filter(_in_partitions(parts, sorted(emptied, key=str))).select(*parts).distinct()
-            emptied -= {tuple(r) for r in remaining.collect()}
-        result = kept.unionByName(winners.withColumns(constants).select(*kept.columns))
-        switch_partitions(result, name, parts, contract.sink.cluster_by)
+        result = kept.unionByName(result.select(*kept.columns))
+    filled = switch_partitions(result, name, parts, contract.sink.cluster_by)
+    # Partitions that only lost rows may be empty now; a write leaves them as they were.
+    emptied = leaving - arriving
+    if emptied:
+        emptied -= _values_of(target, parts, filled)
         drop_partitions(spark, name, [dict(zip(parts, values)) for values in sorted(emptied, key=str)])
-        if index:
-            index.commit()
-    finally:
-        winners.unpersist()
+    if index:
+        index.commit()
     return name
 
 
+def _values_of(table: DataFrame, parts: Sequence[str], specs: Sequence[Mapping[str, str | None]]) -> set[tuple]:
+    """Partition values in the types of their columns."""
+    texts = table.sparkSession.createDataFrame([tuple(spec[p] for p in parts) for spec in specs], ", ".join(f"`{p}` string" for p in parts))
+    return {tuple(r) for r in texts.select(*(F.col(f"`{p}`").cast(table.schema[p].dataType) for p in parts)).collect()}
+
+
 def event_day(contract: Contract) -> str:
     """The day column of a merged dataset: its one date field."""
     dates = [f.name for f in contract.fields if f.type == "DateType"]
