@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.operators.dayfilters import DayFilters
 from tidewater.operators.tables import append_batch
 from tidewater.operators.upsert import has_keys, source_winners
+from tidewater.session import written
 
 
 def within_watermark(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
@@ -42,22 +43,20 @@ class FirstSeen:
         )
         # The earliest is the least, and NULL is less than any time: rows without time are put behind the others.
         rows = rows.withColumn("_timeless", F.col(self.event_time).isNull())
-        fresh = source_winners(rows, self.keys, "_timeless", latest=False, then=[self.event_time]).drop("_timeless").persist()
-        try:
-            if fresh.isEmpty():
-                return
-            filters = DayFilters(spark, f"{self.table}_filters", self.keys, self.date, self.blocks)
-            keyed = fresh.filter(has_keys(self.keys)).select(*self.keys, self.date)
-            unseen = fresh
-            if spark.catalog.tableExists(self.table):
-                days = filters.possible(keyed, self.horizon_days)
-                # A batch that is run again must not meet its own rows.
-                stored = spark.table(self.table).filter(filters.listed(days) & (F.col("_batch_id") < batch_id))
-                seen = stored.select(*self.keys, F.col(self.date).alias("_seen")).alias("s")
-                same = [F.col(f"f.{k}") == F.col(f"s.{k}") for k in self.keys]
-                near = F.col("_seen").isNull() | F.col(f"f.{self.date}").isNull() | (F.col("_seen") >= F.date_sub(F.col(f"f.{self.date}"), self.horizon_days))
-                unseen = fresh.alias("f").join(seen, [*same, near], "left_anti")
-            filters.add(unseen.filter(has_keys(self.keys)).select(*self.keys, self.date))
-            append_batch(unseen, self.table, [self.date])
-        finally:
-            fresh.unpersist()
+        winners = source_winners(rows, self.keys, "_timeless", latest=False, then=[self.event_time]).drop("_timeless")
+        fresh = written(winners, "firsts")
+        if fresh.isEmpty():
+            return
+        filters = DayFilters(spark, f"{self.table}_filters", self.keys, self.date, self.blocks)
+        unseen = fresh
+        if spark.catalog.tableExists(self.table):
+            days = filters.possible(fresh.filter(has_keys(self.keys)).select(*self.keys, self.date), self.horizon_days)
+            # A batch that is run again must not meet its own rows.
+            stored = spark.table(self.table).filter(filters.listed(days) & (F.col("_batch_id") < batch_id))
+            seen = stored.select(*self.keys, F.col(self.date).alias("_seen")).alias("s")
+            same = [F.col(f"f.{k}") == F.col(f"s.{k}") for k in self.keys]
+            near = F.col("_seen").isNull() | F.col(f"f.{self.date}").isNull() | (F.col("_seen") >= F.date_sub(F.col(f"f.{self.date}"), self.horizon_days))
+            # Needed twice, by the filters and by the table.
+            unseen = written(fresh.alias("f").join(seen, [*same, near], "left_anti"), "unseen")
+        filters.add(unseen.filter(has_keys(self.keys)).select(*self.keys, self.date))
+        append_batch(unseen, self.table, [self.date])
