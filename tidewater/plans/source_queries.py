@@ -23,7 +23,7 @@ from tidewater.plans.mapping import (
     when_every,
 )
 from tidewater.plans.registry import new_layers, query
-from tidewater.session import scratch_path
+from tidewater.session import scratch_path, written
 from tidewater.sources.evolution import evolve, observed_fields
 from tidewater.sources.landing import decode_epochs, read_landing, stream_landing, write_landing
 from tidewater.sources.rescue import type_json_lines
@@ -370,9 +370,30 @@ def opened_share(df, column: str) -> float:
     """The largest share of files that a filter for one of the column's deciles opens, by the ranges in the files."""
     text = F.col(column).cast("string")
     files = df.groupBy(F.input_file_name()).agg(F.min(text).alias("least"), F.max(text).alias("most")).collect()  # one row a file
-    values = df.select(text.alias("v")).distinct().orderBy("v")
-    ranked = values.withColumn("tile", F.ntile(10).over(Window.orderBy("v"))).groupBy("tile").agg(F.max("v").alias("v"))
-    return max(sum(f["least"] <= r["v"] <= f["most"] for f in files) / len(files) for r in ranked.collect())
+    deciles = last_of_tiles(df.select(text.alias("v")).distinct(), "v", 10)
+    return max(sum(f["least"] <= v <= f["most"] for f in files) / len(files) for v in deciles)
+
+
+def last_of_tiles(rows, column: str, tiles: int) -> list:
+    """The greatest value of each of ``tiles`` equal parts of the rows in the column's order, as ``ntile`` deals them.
+
+    Rows go to ranges; counts of the ranges tell which of them hold the wanted places, and only those are ranked, each by itself.
+    """
+    rows = rows.filter(F.col(column).isNotNull())
+    ranged = written(rows.repartitionByRange(column).withColumn("_range", F.spark_partition_id()), "ranges")
+    before, first = 0, {}
+    for r in ranged.groupBy("_range").count().orderBy("_range").collect():  # one row a range
+        first[r["_range"]] = (before, before + r["count"])
+        before += r["count"]
+    small, larger = divmod(before, tiles)
+    places = [p for p in dict.fromkeys(small * t + min(t, larger) for t in range(1, tiles + 1)) if p]
+    wanted = [(r, p - start) for p in places for r, (start, end) in first.items() if start < p <= end]
+    if not wanted:
+        return []
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(column))
+    ranked = ranged.filter(F.col("_range").isin([r for r, _ in wanted])).withColumn("_place", place)
+    found = ranked.join(F.broadcast(rows.sparkSession.createDataFrame(wanted, "_range int, _place int")), ["_range", "_place"])
+    return [r[0] for r in found.orderBy(column).select(column).collect()]
 
 
 @query(
