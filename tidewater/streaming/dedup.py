@@ -27,7 +27,7 @@ class FirstSeen:
 
     Copies within a batch collapse inside the tasks before the shuffle, so a key
     with a third of a batch cannot fill one task.  Days that may hold a key of the batch come from the stored Bloom filters of each day, in
-    the table ``<table>_filters``; other days are not read, however long the horizon is.  The stored rows themselves decide.
+    the table ``<table>_filters``; other days are not read, however long the horizon is.  A batch of many keys reads all days within its horizon.  The stored rows themselves decide.
     """
 
     def __init__(
