@@ -219,6 +219,27 @@ def test_passages_of_short_sentences_and_lines_repeat_whole(spark):
         assert {r.removed for r in got if r.doc_id == i} == {i > 1}
 
 
+def test_a_unit_of_short_stretches_is_one_row_until_its_document_is_reported(spark, monkeypatch):
+    rng = random.Random(14)
+    bits = [sentence(rng, 2) for _ in range(40)]
+    docs = [(1, " ".join(bits)), (2, " ".join(bits)), (2, "  ".join(bits))]
+    stored = {}
+
+    def kept(rows, purpose, store=paragraphs.written):
+        stored[purpose] = store(rows, purpose)
+        return stored[purpose]
+
+    monkeypatch.setattr(paragraphs, "written", kept)
+    got = paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string"))
+    # Four sentences make a unit: 37 in a text, of which a sentence in the middle stands in four.
+    assert stored["passages"].count() == 3 * 37 and stored["firsts"].count() == 37
+    got = got.collect()
+    assert len(got) == 3 * 40 and {r.passage_words for r in got} == {80}
+    assert sorted(r.start for r in got if not r.removed) == sorted(r.start for r in got if r.doc_id == 1)
+    assert all(docs[0][1][r.start : r.end] in bits and r.n_words == 2 for r in got if r.doc_id == 1)
+    assert len({r.cluster for r in got}) == 40
+
+
 def test_passages_without_a_sentence_end_are_found_in_the_middle_of_others(spark):
     """Against brute force on equal windows of 50 words, not on the splitter: each such window has reported words in both documents."""
     rng = random.Random(6)

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -248,43 +248,61 @@ def repeated_paragraphs(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
                     if not text.isascii():
                         start[a:b], end[a:b] = _char_places(text, start[a:b]), _char_places(text, end[a:b])
                 lo, hi, key = _units(row, size, content, rule)
-                # Each short stretch of a unit, with its place in it.
-                many = hi - lo + 1
-                of = np.repeat(np.arange(len(lo)), many)
-                place = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
-                part = lo[of] + place
-                little = size[part] < rule.min_words
-                long = np.flatnonzero(size >= rule.min_words)
-                use = np.concatenate([long, part[little]])
-                found = np.concatenate([content[long], key[of[little]]]).view(np.int64)
-                place = np.concatenate([np.full(len(long), -1), place[little]])
-                # Short paragraphs that do not repeat don't part a passage: count the long ones only.
-                rank = np.cumsum(size >= rule.min_words)
+                little = size < rule.min_words
+                long = np.flatnonzero(~little)
+                # The short stretches of a unit stand together: a long one ends it, or begins it.
+                lead = (~little[lo]).astype(np.int64)
+                first, last = np.concatenate([long, lo + lead]), np.concatenate([long, hi - ~little[hi]])
+                many = last - first + 1
+                at = np.concatenate([[0], np.cumsum(many)])
+                part = np.repeat(first - at[:-1], many) + np.arange(at[-1])
+                # Words of short stretches up to here, and long stretches up to here.
+                words = np.append(0, np.cumsum(np.where(little, size, 0)))
+                rank = np.cumsum(~little)
+                lists = [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(x[part].astype(np.int32))) for x in (start, end, size)]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(row[use])), pa.array(row[use] + seen), pa.array(rank[use]), pa.array(start[use]), pa.array(end[use]), pa.array(size[use]), pa.array(found), pa.array(place)],
-                    ["doc_id", "row", "rank", "start", "end", "n_words", "content", "place"],
-                )
+                    [
+                        ids.take(pa.array(row[first])), pa.array(row[first] + seen), pa.array(rank[first]), pa.array(start[first]), pa.array(words[first]), pa.array(words[last + 1]), *lists,
+                        pa.array(np.concatenate([content[long], key]).view(np.int64)), pa.array(np.concatenate([np.full(len(long), -1), lead])),
+                    ],
+                    ["doc_id", "row", "rank", "first", "before", "upto", "starts", "ends", "sizes", "content", "place"],
+                )
             seen += len(texts)
 
-    found = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, row long, rank long, start long, end long, n_words long, content long, place long")
-    found = found.withColumn("task", F.spark_partition_id())
-    hits = found.join(bounded(known), F.col("content") == F.col("node")).select("doc_id", "row", "rank", "start", "end", "n_words", F.when(F.col("place") < 0, F.col("component")).otherwise(F.xxhash64("component", "place")).alias("cluster"), (F.col("place") < 0).alias("long"), "task")
+    columns = "doc_id long, row long, rank long, first long, before long, upto long, starts array<int>, ends array<int>, sizes array<int>, content long, place long"
+    found = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, columns)
+    # One number for a row of the table: its task, and its place among the rows of that.
+    found = found.withColumn("row", F.shiftleft(F.spark_partition_id().cast("long"), 40) + F.col("row"))
+    hits = found.join(bounded(known), F.col("content") == F.col("node")).drop("content", "node")
     return _passages(hits, rule)
 
 
 def _passages(hits: DataFrame, rule: Rule) -> DataFrame:
+    """``hits`` has a row for each repeated long paragraph (``place`` -1) and for each repeated unit, with lists of its short stretches."""
     # Between repeats of one passage no long paragraph is left out: the long ones up to here less the repeated ones stay
-    # the same.  A short stretch has a row for each unit; its words count once.
-    own = W.partitionBy("doc_id", "task", "row").orderBy("start", "cluster")
-    runs = hits.withColumn("again", F.coalesce(F.lag("start").over(own) == F.col("start"), F.lit(False)))
-    runs = runs.withColumn("run", F.col("rank") - F.sum(F.col("long").cast("long")).over(own.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    runs = runs.withColumn("passage_words", F.sum(F.when(F.col("again"), 0).otherwise(F.col("n_words"))).over(W.partitionBy("doc_id", "task", "row", "run")))
-    runs = written(runs.filter(f"passage_words >= {rule.min_passage}"), "passages")
-    first = runs.groupBy("cluster").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start", "task", "row")).alias("f"), F.count("*").alias("n")).filter("n > 1")
+    # the same.  A short stretch may stand in several units; its words count once, where the first of them has it.
+    own = W.partitionBy("row").orderBy("first")
+    seen = F.max(F.when(F.col("place") >= 0, F.col("upto"))).over(own.rowsBetween(W.unboundedPreceding, -1))
+    more = F.greatest(F.lit(0), F.col("upto") - F.greatest("before", F.coalesce(seen, "before")))
+    runs = hits.withColumn("words", F.when(F.col("place") < 0, F.col("sizes")[0]).otherwise(more))
+    runs = runs.withColumn("run", F.col("rank") - F.sum((F.col("place") < 0).cast("long")).over(own.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    runs = runs.withColumn("passage_words", F.sum("words").over(W.partitionBy("row", "run"))).filter(f"passage_words >= {rule.min_passage}")
+    runs = written(runs.select("doc_id", "row", "starts", "ends", "sizes", "place", "component", "passage_words"), "passages")
+    first = runs.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "starts", "row")).alias("f"), F.count("*").alias("n")).filter("n > 1")
+    first = written(first.select("component", F.col("f.doc_id").alias("f_doc_id"), F.col("f.starts").alias("f_starts"), F.col("f.row").alias("f_row")), "firsts")
     # Rows too wide and too many to broadcast: every repeated stretch has one.
-    out = runs.join(written(first, "firsts"), "cluster")
-    kept = (F.col("doc_id").eqNullSafe(F.col("f.doc_id"))) & (F.col("start") == F.col("f.start")) & (F.col("task") == F.col("f.task")) & (F.col("row") == F.col("f.row"))
-    out = out.withColumn("removed", ~kept)
-    short = out.filter("not long").groupBy("doc_id", "task", "row", "start", "end", "n_words", "passage_words").agg(F.min(F.struct("f", "cluster")).alias("c"), F.min("removed").alias("removed"))
+    out = runs.join(first, "component")
+    kept = (F.col("row") == F.col("f_row")) & (F.col("starts") == F.col("f_starts"))
     columns = ["doc_id", "start", "end", "n_words", "cluster", "passage_words", "removed"]
-    return out.filter("long").select(*columns).unionByName(short.withColumn("cluster", F.col("c.cluster")).select(*columns))
+
+    def stretches(rows: DataFrame, *columns: Column) -> DataFrame:
+        return rows.select("doc_id", *columns, *(F.col(f"s.{k}").cast("long").alias(v) for k, v in (("starts", "start"), ("ends", "end"), ("sizes", "n_words"))), "passage_words", (~kept).alias("removed"))
+
+    listed = F.arrays_zip("starts", "ends", "sizes")
+    long = stretches(out.filter("place < 0").withColumn("s", listed[0]), F.col("component").alias("cluster"))
+    # A unit goes back to its document as one row; there its stretches are parted.
+    units = out.filter("place >= 0").repartition("row").select("*", F.posexplode(listed).alias("k", "s"))
+    where = F.struct(F.col("f_doc_id").isNull(), "f_doc_id", F.col("f_starts")[F.col("k")], "f_row", F.xxhash64("component", F.col("place") + F.col("k")).alias("cluster"))
+    short = stretches(units, F.col("row"), where.alias("c"))
+    short = short.groupBy("row", "start").agg(F.min("c").alias("c"), F.min("removed").alias("removed"), *(F.first(x).alias(x) for x in ("doc_id", "end", "n_words", "passage_words")))
+    return long.select(*columns).unionByName(short.withColumn("cluster", F.col("c.cluster")).select(*columns))
