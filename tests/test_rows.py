@@ -58,6 +58,16 @@ def test_blank_and_null_lines(spark):
     assert all(r["city"] is None for r in rows)
 
 
+def test_whether_a_line_is_one_object_is_told_without_a_look_at_each_character(spark):
+    flat, nested = '{"city": "aé"}', '{"city": {"a": "}{"}}'
+    alone = [flat, f"{flat}  ", nested, '{"city": "{"}', '{"city": "}"}', "{}"]
+    others = [f"{flat} x", flat + flat, f"{flat},{flat}", "}}", "{{", "", "é"]
+    rows = type_json_lines(lines(spark, *alone, *others, None), WEATHER)
+    assert "translate" not in rows._jdf.queryExecution().toString()
+    malformed = [json.loads(r["_rescued_data"] or "{}").get("_malformed") for r in rows.collect()]
+    assert malformed == [None] * len(alone) + others + [None]
+
+
 def test_unreadable_lines_are_kept_whole(spark):
     rows = type_json_lines(lines(spark, "{bad", "[1, 2]"), WEATHER).collect()
     assert [json.loads(r["_rescued_data"])["_malformed"] for r in rows] == ["{bad", "[1, 2]"]

@@ -87,9 +87,10 @@ def _one_object(line: Column) -> Column:
     """The line's object, NULL if text follows it, which the parser would leave out without a word.
 
     A flat object has one brace of each kind and ends with it; only other lines are parsed once more,
-    as the one element that a list of them must have.
+    as the one element that a list of them must have.  Braces are found by a search over bytes: this runs for every line.
     """
-    braces = F.length(line) - F.length(F.translate(line, "{}", ""))
+    bare = F.replace(F.replace(line, F.lit("{"), F.lit("")), F.lit("}"), F.lit(""))
+    braces = F.octet_length(line) - F.octet_length(bare)
     plain = (braces == 2) & F.rtrim(line).endswith("}")
     alone = plain | (F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1)
     return F.when(alone, F.from_json(line, TEXT_MAP))
